@@ -219,10 +219,10 @@ def pieces(batch: pa.RecordBatch, most: int = PIECE) -> Iterator[pa.RecordBatch]
         lo = hi
 
 
-def batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+def batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, most: int = PIECE) -> DataFrame:
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            for piece in pieces(batch):
+            for piece in pieces(batch, most):
                 yield work(piece)
 
     return df.mapInArrow(run, schema)

@@ -27,7 +27,8 @@ POWER = 0.8  # 1 would give both classes the same weight
 #: The classifier is fitted on at most so many labelled rows of each class, those first by a
 #: hash of their id; every text is scored.
 TRAIN_ROWS_PER_CLASS = 3000
-TRAIN_BYTES = 48_000_000
+TRAIN_BYTES = 24_000_000
+PIECE = 2_000_000  # bytes of text that a worker takes at a time
 
 
 class Model:
@@ -39,29 +40,34 @@ class Model:
         self.offset = float(bias[1] - bias[0])
 
 
-def gram_keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and word index of every n-gram, words in order.  A word's own hash is one gram;
-    its n-grams run over the word with a border sign on each side."""
+def each_gram(words: Words):
+    """For each gram length, buckets and word index of the n-grams: of the word with a border
+    sign on each side, from the first byte of a character."""
     size = words.end - words.start
-    bag, owner = [(words.hash % np.uint64(BUCKETS)).astype(np.int32)], [np.arange(len(size))]
     padded = int(size.sum() + 2 * len(size))
-    at = np.concatenate(([0], np.cumsum(size + 2)))[:-1]
+    at = np.cumsum(size + 2) - (size + 2)
     text = np.full(padded, ord("#"), np.uint8)
-    inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-    text[np.repeat(at + 1, size) + inside] = words.data[np.repeat(words.start, size) + inside]
-    code = BYTE_CODE[text]
-    whose = np.repeat(np.arange(len(size)), size + 2)
-    left = np.repeat(at + size + 2, size + 2) - np.arange(padded)
+    whose = np.repeat(np.arange(len(size), dtype=np.int32), size + 2)
+    inside = np.ones(padded, bool)
+    inside[at] = inside[at + size + 1] = False
+    text[inside] = words.data[np.arange(int(size.sum())) + np.repeat(words.start - (np.cumsum(size) - size), size)]
+    left = (np.repeat(at + size + 2, size + 2) - np.arange(padded)).astype(np.int32)
     # a UTF-8 continuation byte begins no gram
-    begins = (text & 0xC0) != 0x80
+    left[(text & 0xC0) == 0x80] = 0
+    code = BYTE_CODE[text]
     rolled = np.zeros(padded, np.uint64)
-    for n in range(1, max(GRAMS) + 1):
-        rolled[: padded - n + 1] = rolled[: padded - n + 1] * np.uint64(0x100000001B3) + code[n - 1 :]
+    for n in range(1, min(max(GRAMS), padded) + 1):
+        rolled[: padded - n + 1] *= np.uint64(0x100000001B3)
+        rolled[: padded - n + 1] += code[n - 1 :]
         if n in GRAMS:
-            keep = np.flatnonzero((left >= n) & begins)
-            bag.append((mix64(rolled[keep] + np.uint64(n)) % np.uint64(BUCKETS)).astype(np.int32))
-            owner.append(whose[keep])
-    bag, owner = np.concatenate(bag), np.concatenate(owner)
+            keep = np.flatnonzero(left >= n)
+            yield (mix64(rolled[keep] + np.uint64(n)) % np.uint64(BUCKETS)).astype(np.int32), whose[keep]
+
+
+def gram_keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and word index of every gram, words in order; a word's own hash is one of them."""
+    parts = [((words.hash % np.uint64(BUCKETS)).astype(np.int32), np.arange(len(words.hash), dtype=np.int32)), *each_gram(words)]
+    bag, owner = (np.concatenate(x) for x in zip(*parts))
     order = np.argsort(owner, kind="stable")
     return bag[order], owner[order]
 
@@ -87,13 +93,27 @@ def window_odds(words: Words, model: Model):
     return model.offset + (total[hi] - total[lo]) / np.maximum(1, hi - lo), doc, bag, lo, hi
 
 
+def word_odds(words: Words, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each word the sum of its grams' log-odds and their number, without a list of the grams."""
+    n = len(words.hash)
+    total = table[(words.hash % np.uint64(BUCKETS)).astype(np.intp)].astype(np.float64)
+    count = np.ones(n)
+    for bucket, owner in each_gram(words):
+        total += np.bincount(owner, table[bucket], n)
+        count += np.bincount(owner, minlength=n)
+    return total, count
+
+
 def odds(texts: pa.Array, model: Model) -> np.ndarray:
     """Log-odds of each text: its highest window; a text without words gets the lone bias."""
     words = Words(texts)
-    out = np.full(words.n, -np.inf)
-    score, doc, *_ = window_odds(words, model)
-    np.maximum.at(out, doc, score)
-    out[np.isinf(out)] = model.offset
+    out = np.full(words.n, model.offset)
+    if len(words.hash):
+        total, count = (np.concatenate(([0.0], np.cumsum(v))) for v in word_odds(words, model.table))
+        first, last, doc = windows(words)
+        score = model.offset + (total[last] - total[first]) / (count[last] - count[first])
+        at = np.flatnonzero(np.diff(doc, prepend=-1))
+        out[doc[at]] = np.maximum.reduceat(score, at)
     return out
 
 
@@ -202,7 +222,7 @@ def score(docs: DataFrame, model: Model, extra: tuple[str, ...] = ("doc_id",)) -
         return pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(extra))), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=[*extra, "score", "predicted"])
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in extra)
-    return batches(docs.select(*[F.col(f"`{c}`") for c in extra], F.col("text").alias("__text")), work, schema + ", score double, predicted int")
+    return batches(docs.select(*[F.col(f"`{c}`") for c in extra], F.col("text").alias("__text")), work, schema + ", score double, predicted int", PIECE)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
@@ -223,7 +243,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
         light = Model.__new__(Model)
         light.table, light.offset = shared.value
         for batch in source:
-            for piece in pieces(batch):
+            for piece in pieces(batch, PIECE):
                 yield piece.filter(pa.array(odds(piece.column(text), light) < 0))
 
     return docs.mapInArrow(keep, docs.schema)
