@@ -122,14 +122,18 @@ def signatures(sh: np.ndarray, owner: np.ndarray, weight: np.ndarray) -> tuple[n
         for lo in range(0, len(sh), 1 << 15):
             part = slice(lo, lo + (1 << 15))
             z = (sh[part] ^ salt) * odd
-            z ^= z >> np.uint64(29)
-            z *= np.uint64(0xBF58476D1CE4E5B9)
             at = (z >> np.uint64(48)).astype(np.intp)
-            beta = ((z >> np.uint64(8)) & np.uint64((1 << 22) - 1)).astype(np.float32) * np.float32(2.0**-22)
+            r = r_table[at]
+            beta = ((z >> np.uint64(7)) & np.uint64((1 << 23) - 1)).astype(np.float32)
+            beta *= np.float32(2.0**-23)
             t = np.floor(lnw[part] * ri_table[at] + beta)
-            ln_a = lnc_table[((z >> np.uint64(30)) & np.uint64((1 << 18) - 1)).astype(np.intp)] - r_table[at] * (t - beta + np.float32(1))
-            name = (z ^ (t.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) & np.uint64(0xFFFFFFFF)
-            key[part] = ((np.clip(ln_a + np.float32(64), 0, 127).astype(np.float64) * 2.0**24).astype(np.uint64) << np.uint64(32)) | name
+            beta -= t
+            beta -= np.float32(1)
+            beta *= r
+            beta += lnc_table[((z >> np.uint64(30)) & np.uint64((1 << 18) - 1)).astype(np.intp)]
+            beta += np.float32(64)  # positive, so that the bits of a float sort like its value
+            name = (z ^ (t.astype(np.int32).view(np.uint32) * np.uint64(0x9E3779B97F4A7C15))) & np.uint64(0xFFFFFFFF)
+            key[part] = (beta.view(np.uint32).astype(np.uint64) << np.uint64(32)) | name
         out[:, k] = np.minimum.reduceat(key, begin)
     return owner[begin], mix64(out + np.arange(HASHES, dtype=np.uint64))
 
@@ -184,19 +188,70 @@ def verified(pairs: DataFrame, texts: DataFrame, shares) -> DataFrame:
     """Of pairs ``a``, ``b``, those that are similar by their whole texts."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep = pa.array(weighted_jaccard(batch.column(2), batch.column(3), shares.value) >= THRESHOLD)
+        keep = pa.array(weighted_jaccard(batch.column(2), batch.column(3), shares.value) >= THRESHOLD - 1e-9)
         return pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
     rows = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
     return batches(rows.select("a", "b", "x", "y"), work, "a string, b string")
 
 
-def across(members: DataFrame, roots: DataFrame, done: DataFrame, best: int | None) -> DataFrame:
-    """Likely pairs of a bucket's members in different components that were not looked at yet.
+def streamed(rows: DataFrame, keys: list[str], work, schema: str, most: int = 4_000_000) -> DataFrame:
+    """Deal rows out by ``keys`` and hand whole groups, many small ones at a time, to ``work``:
+    a list of record batches' columns as Arrow table and the first row of each group."""
+    names = rows.columns
+    dealt = rows.repartition(*keys).sortWithinPartitions(*keys)
 
-    In each bucket only members outside its largest component are compared with the rest, in
-    cells of about CELL by CELL, so no task holds a whole large bucket.  ``best`` keeps so many
-    pairs, those of most agreement, for each two components of a cell."""
+    def run(source):
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def key_at(batch: pa.RecordBatch, i: int) -> tuple:
+            return tuple(batch.column(k)[i].as_py() for k in keys)
+
+        for batch in source:
+            for piece in pieces(batch, most):
+                # what is held may end with a group that goes on in this piece
+                head = 0
+                if held and size + piece.nbytes > most:
+                    last = key_at(held[-1], held[-1].num_rows - 1)
+                    while head < piece.num_rows and key_at(piece, head) == last:
+                        head += 1
+                    if head:
+                        held.append(piece.slice(0, head))
+                    if head < piece.num_rows:
+                        yield from work(pa.Table.from_batches(held))
+                        held, size = [], 0
+                if head < piece.num_rows:
+                    held.append(piece.slice(head))
+                    size += piece.nbytes
+        if held:
+            yield from work(pa.Table.from_batches(held))
+
+    assert set(keys) <= set(names)
+    return dealt.mapInArrow(run, schema)
+
+
+def group_edges(table: pa.Table, keys: list[str]) -> np.ndarray:
+    """Where groups of equal keys begin in a sorted table, and its end."""
+    n = table.num_rows
+    new = np.zeros(n, bool)
+    for k in keys:
+        v = table.column(k).to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    new[:1] = True
+    return np.append(np.flatnonzero(new), n)
+
+
+CELL_KEYS = ["band", "key", "i", "j"]
+CELL_SCHEMA = "band int, key long, i int, j int, seeker boolean, node string, root string"
+
+
+def contenders(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members of buckets that may link different components, in cells.
+
+    In each bucket with several components the members outside its largest one (seekers) are
+    compared with all members, in cells of about CELL by CELL.  A pair counts in its first common band, and only
+    members of a likely pair stay."""
     rows = members.join(roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
     rows = rows.select("band", "key", "node", "sig", F.coalesce("root", "node").alias("root"))
     each = rows.groupBy("band", "key", "root").count()
@@ -207,30 +262,77 @@ def across(members: DataFrame, roots: DataFrame, done: DataFrame, best: int | No
     whole, small = F.ceil(F.col("size") / CELL).cast("int"), F.ceil((F.col("size") - F.col("top")) / CELL).cast("int")
     in_all = F.transform(F.sequence(F.lit(0), small - 1), lambda i: F.struct(i.alias("i"), F.pmod(spot, whole).cast("int").alias("j"), F.lit(False).alias("seeker")))
     seeks = F.transform(F.sequence(F.lit(0), whole - 1), lambda j: F.struct(F.pmod(spot, small).cast("int").alias("i"), j.alias("j"), F.lit(True).alias("seeker")))
-    rows = rows.select("band", "key", "node", "sig", "root", F.explode(F.when(minor, F.concat(in_all, seeks)).otherwise(in_all)).alias("at")).select("band", "key", "node", "sig", "root", "at.i", "at.j", "at.seeker")
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        seeker = pdf.seeker.to_numpy()
-        sig = np.frombuffer(b"".join(pdf.sig), np.uint16).reshape(-1, HASHES)
-        node, root = pdf.node.to_numpy(object), pd.factorize(pdf.root)[0]
-        left, right = np.flatnonzero(seeker), np.flatnonzero(~seeker)
-        band, found = int(pdf.band.iloc[0]), []
-        for i in left:
-            equal = sig[right] == sig[i]
-            share = equal.mean(axis=1)
-            at = np.flatnonzero((share >= SURE) & (root[right] != root[i]))
-            if len(at):
-                first = equal[at].reshape(len(at), BANDS, ROWS).all(axis=2).argmax(axis=1)
-                at = at[first == band]
-                found += [(node[i], node[right[k]], root[i], root[right[k]], share[k]) for k in at]
-        out = pd.DataFrame(found, columns=["p", "q", "s", "t", "share"])
-        if best is not None and len(out):
-            lo, hi = np.minimum(out.s, out.t), np.maximum(out.s, out.t)
-            out = out.assign(lo=lo, hi=hi).sort_values(["share", "p", "q"], ascending=[False, True, True]).groupby(["lo", "hi"]).head(best)
-        return pd.DataFrame({"a": np.maximum(out.p, out.q) if len(out) else [], "b": np.minimum(out.p, out.q) if len(out) else []}, dtype=object)
-
-    found = rows.groupBy("band", "key", "i", "j").applyInPandas(compare, "a string, b string").distinct()
-    return found.join(done, ["a", "b"], "left_anti")
+    rows = rows.select("band", "key", "node", "sig", "root", F.explode(F.when(minor, F.concat(in_all, seeks)).otherwise(in_all)).alias("at"))
+    rows = rows.select("band", "key", "at.i", "at.j", "at.seeker", "node", "root", "sig")
+
+    def work(table: pa.Table):
+        edges = group_edges(table, CELL_KEYS)
+        seeker = table.column("seeker").to_numpy()
+        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, HASHES)
+        root = table.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
+        band = table.column("band").to_numpy()
+        keep = np.zeros(len(seeker), bool)
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            left, right = lo + np.flatnonzero(seeker[lo:hi]), lo + np.flatnonzero(~seeker[lo:hi])
+            for part in np.array_split(left, max(1, len(left) * len(right) // 20_000)):
+                equal = sig[part][:, None] == sig[right][None]
+                a, b = np.nonzero((equal.mean(axis=2) >= SURE) & (root[part][:, None] != root[right][None]))
+                if len(a):
+                    first = equal[a, b].reshape(len(a), BANDS, ROWS).all(axis=2).argmax(axis=1) == band[lo]
+                    keep[part[a[first]]] = keep[right[b[first]]] = True
+        yield from table.drop_columns(["sig"]).filter(pa.array(keep)).to_batches()
+
+    return streamed(rows, CELL_KEYS, work, CELL_SCHEMA)
+
+
+def spanning_links(rows: DataFrame, texts: DataFrame, shares) -> DataFrame:
+    """Links between different components, found by the exact similarity of all seekers of a
+    cell to all its members; a cell gives no more links than join its components."""
+    rows = rows.join(texts.withColumnRenamed("node", "n"), F.col("node") == F.col("n")).select(*[c.split()[0] for c in CELL_SCHEMA.split(", ")], "text")
+
+    def work(table: pa.Table):
+        edges = group_edges(table, CELL_KEYS)
+        seeker, node = table.column("seeker").to_numpy(), table.column("node").to_pylist()
+        root = table.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
+        sh, owner, tf, n = bags(table.column("text"))
+        idf = weights(sh, np.ones(len(sh)), shares.value)
+        total = np.bincount(owner, tf * idf, n)
+        # an occurrence is a feature, so the shared weight is a scalar product
+        more = np.repeat(np.arange(len(sh)), tf)
+        nth = np.arange(len(more)) - np.repeat(np.cumsum(tf) - tf, tf)
+        sh, owner, weight = mix64(sh[more] + nth.astype(np.uint64)), owner[more], np.sqrt(idf[more])
+        at = np.searchsorted(owner, np.arange(n + 1))
+        a, b = [], []
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            left, right = np.flatnonzero(seeker[lo:hi]), np.flatnonzero(~seeker[lo:hi])
+            part = slice(at[lo], at[hi])
+            _, back, counts = np.unique(sh[part], return_inverse=True, return_counts=True)
+            place = np.where(counts > 1, np.cumsum(counts > 1) - 1, -1)[back]
+            who, w, common = owner[part] - lo, weight[part], np.zeros((len(left), len(right)))
+            order = np.argsort(place, kind="stable")
+            for f in range(0, int(place.max(initial=-1)) + 1, 2048):
+                use = order[np.searchsorted(place[order], f) : np.searchsorted(place[order], f + 2048)]
+                x = np.zeros((hi - lo, 2048))
+                x[who[use], place[use] - f] = w[use]
+                common += x[left] @ x[right].T
+            similar = common / (total[lo:hi][left][:, None] + total[lo:hi][right][None] - common)
+            near = np.argwhere((similar >= THRESHOLD - 1e-9) & (root[lo:hi][left][:, None] != root[lo:hi][right][None]))
+            top = {r: r for r in root[lo:hi].tolist()}
+
+            def find(r: int) -> int:
+                while top[r] != r:
+                    r = top[r]
+                return r
+
+            for i, k in near.tolist():
+                p, q = find(root[lo + left[i]]), find(root[lo + right[k]])
+                if p != q:
+                    top[p] = q
+                    a.append(node[lo + left[i]])
+                    b.append(node[lo + right[k]])
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string())], names=["a", "b"])
+
+    return streamed(rows, CELL_KEYS, work, "a string, b string")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -253,17 +355,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("node"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.join(involved, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("d")), "left_semi").select("node", "text")
     texts = stored(texts.dropDuplicates(["node"]), "texts")
-    links, done, tried = stored(verified(pairs, texts, shares), "links"), pairs, [pairs]
+    links = stored(verified(pairs, texts, shares), "links")
     roots = stored(components(links), "roots")
-    for best in (2, None):
-        more = stored(across(members, roots, done, best), "pairs")
-        if more.isEmpty():
-            break
-        tried.append(more)
-        done = done.union(more)
-        links = stored(links.union(verified(more, texts, shares)), "links")
+    rows_left = stored(contenders(members, roots), "contenders")
+    if not rows_left.isEmpty():
+        links = stored(links.union(spanning_links(rows_left, texts, shares)), "links")
         roots = stored(components(links), "roots")
-    dispose(members, texts, links, *tried)
+    dispose(members, texts, links, pairs, rows_left)
     named = by_node.select("node", "least").join(roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     heads = named.groupBy("root").agg(F.min(F.struct("least.no_id", "least.doc_id", "node")).alias("head"))
     named = stored(named.join(heads, "root").select("node", F.col("head.doc_id").alias("class_id"), F.col("head.node").alias("class_node")), "classes")
