@@ -25,7 +25,8 @@ from sparkloom.llm.shared import delete_path, even_ranges, in_ranges, new_folder
 DATE = "2000-01-01T00:00:00Z"
 LEAST_REVISIT = 100
 ROLL_BYTES = 64_000_000
-SHARD_BYTES = 256_000_000
+#: Payload in a shard: a part of all payloads, so that many tasks write, between two limits.
+SHARD_BYTES, SHARD_MOST, SHARDS = 16_000_000, 1_000_000_000, 4000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LEVEL = 3
 
@@ -100,7 +101,7 @@ class Writer:
             self.stream, self.number = None, self.number + 1
 
 
-def write_archive(pages: DataFrame, folder: str, date: str = DATE, roll_bytes: int = ROLL_BYTES, shard_bytes: int = SHARD_BYTES) -> list[dict]:
+def write_archive(pages: DataFrame, folder: str, date: str = DATE, roll_bytes: int = ROLL_BYTES, shard_bytes: int | None = None) -> list[dict]:
     """Write every row of ``pages`` (page_id, url, html) and return the manifest's entries.
 
     Null html is an empty payload, a null url an empty one; null page_ids sort last.  Of records
@@ -117,6 +118,9 @@ def write_archive(pages: DataFrame, folder: str, date: str = DATE, roll_bytes: i
     # what is known of a repeated payload travels as a row of its own, just before its page
     notes = slim.join(first, F.col("digest") == F.col("d")).select("page_id", "url", "digest", F.lit(None).cast("string").alias("html"), F.lit(True).alias("note"), "to_page", "to_url")
     pages_ = rows.select("page_id", "url", "digest", "html", F.lit(False).alias("note"), F.lit(None).cast("long").alias("to_page"), F.lit(None).cast("string").alias("to_url"))
+    if shard_bytes is None:
+        total = slim.agg(F.sum("bytes")).first()[0] or 0
+        shard_bytes = min(SHARD_MOST, max(SHARD_BYTES, total // SHARDS))
     ranges = even_ranges(slim, F.col("page_id"), F.col("bytes") + 200, shard_bytes)
     both = pages_.unionByName(notes).withColumn("shard", ranges.column)
     dealt = in_ranges(both, "shard", ranges.count).sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), "url", "digest", F.col("note").desc())
