@@ -25,28 +25,32 @@ def tokens(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def seed_keys(h: Column, at: Column, masks: tuple[str, ...]) -> Column:
-    """The seeds that begin at token ``at`` (from 0); null where the mask does not fit."""
-    keys = []
-    for i, mask in enumerate(masks):
-        kept = [F.get(h, at + o) for o, bit in enumerate(mask) if bit == "1"]
-        keys.append(F.when(at + len(mask) <= F.size(h), F.xxhash64(F.lit(i), *kept)))
-    return F.array(*keys)
+def seed_array(h: Column, masks: tuple[str, ...]) -> Column:
+    """All seeds of a text as structs of place and key, as one expression over the array.
 
-
-def seeds(rows: DataFrame, h: str, at: str, key: str, masks: tuple[str, ...]) -> DataFrame:
-    """A row for every seed, with the columns of ``rows``."""
+    ``h`` must be a column of the frame.  Nothing is generated while the array is at hand: a
+    Generate would copy it into the row of every token."""
     least = min(len(m) for m in masks)
-    rows = rows.where(F.size(h) >= least)
-    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.size(h) - least)).alias(at))
-    return rows.select("*", F.explode(seed_keys(F.col(h), F.col(at), masks)).alias(key)).where(F.col(key).isNotNull())
+
+    def at_place(i: Column) -> Column:
+        out = []
+        for n, mask in enumerate(masks):
+            kept = [F.get(h, i + o) for o, bit in enumerate(mask) if bit == "1"]
+            out.append(F.struct(i.alias("at"), F.when(i + len(mask) <= F.size(h), F.xxhash64(F.lit(n), *kept)).alias("key")))
+        return F.array(*out)
+
+    places = F.when(F.size(h) >= least, F.sequence(F.lit(0), F.size(h) - least)).otherwise(F.array().cast("array<int>"))
+    return F.flatten(F.transform(places, at_place))
+
+
+def seeds(rows: DataFrame, h: str, at: str, key: str, masks: tuple[str, ...], keep: list[str]) -> DataFrame:
+    """A row for every seed, with the columns ``keep``."""
+    found = rows.select(*keep, F.explode(seed_array(F.col(h), masks)).alias("seed"))
+    return found.select(*keep, F.col("seed.at").alias(at), F.col("seed.key").alias(key)).where(F.col(key).isNotNull())
 
 
-def best_stretch(doc: Column, item: Column, shift: Column) -> Column:
-    """The highest score of a stretch when item token i lies on document token i + shift."""
-    length = F.least(F.size(doc) - F.greatest(shift, F.lit(0)), F.size(item) - F.greatest(-shift, F.lit(0)))
-    a = F.slice(doc, F.greatest(shift, F.lit(0)) + 1, length)
-    b = F.slice(item, F.greatest(-shift, F.lit(0)) + 1, length)
+def best_stretch(a: Column, b: Column) -> Column:
+    """The highest score of a stretch of two equally long runs of tokens."""
     zero = F.struct(F.lit(0).alias("run"), F.lit(0).alias("best"))
 
     def step(acc: Column, equal: Column) -> Column:
@@ -61,23 +65,30 @@ def overlaps(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS,
 
     Null and empty texts and items, and items shorter than the shortest mask, have none.
     Repeated rows count once.  The seeds of the items are broadcast when they are few, by a
-    count; otherwise both sides are shuffled and only hits go back to the documents."""
-    test = items.select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text")).alias("item")).distinct()
-    test = seeds(test, "item", "item_at", "key", masks)
-    floor = F.least(F.lit(need), F.ceil(F.size("item") * 0.8)).cast("int")
+    count; otherwise both sides are shuffled.  Hits go back to the documents by id and hash."""
+    whole = items.select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text")).alias("item")).distinct()
+    test = seeds(whole, "item", "item_at", "key", masks, ["item_id"])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), tokens(F.col("text")).alias("doc"))
-    if test.count() <= most_broadcast:
-        hits = seeds(rows, "doc", "doc_at", "doc_key", masks).join(F.broadcast(test), F.col("doc_key") == F.col("key"))
-        found = hits.select("doc_id", "tie", "item_id", "item", best_stretch(F.col("doc"), F.col("item"), F.col("doc_at") - F.col("item_at")).alias("score"))
-    else:
-        slim = seeds(rows, "doc", "doc_at", "doc_key", masks).select("doc_id", "tie", "doc_at", "doc_key")
-        hits = slim.join(test.select("item_id", "item_at", "key"), F.col("doc_key") == F.col("key"))
-        hits = hits.select("doc_id", "tie", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct()
-        whole = items.select(F.col("item_id").cast("long").alias("i"), tokens(F.col("text")).alias("item")).distinct()
-        hits = hits.join(whole, F.col("item_id").eqNullSafe(F.col("i")))
-        again = rows.select(F.col("doc_id").alias("d"), F.col("tie").alias("t"), "doc")
-        found = hits.join(again, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t")))
-        found = found.select("doc_id", "tie", "item_id", "item", best_stretch(F.col("doc"), F.col("item"), F.col("shift")).alias("score"))
+    hits = seeds(rows, "doc", "doc_at", "doc_key", masks, ["doc_id", "tie"])
+    hits = hits.join(F.broadcast(test) if test.count() <= most_broadcast else test, F.col("doc_key") == F.col("key"))
+    # the many hits of one overlap share its shift
+    hits = hits.select("doc_id", "tie", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct()
+    hits = hits.groupBy("doc_id", "tie").agg(F.collect_list(F.struct("item_id", "shift")).alias("hits")).select(F.col("doc_id").alias("d"), F.col("tie").alias("t"), "hits")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), "text")
+    near = texts.join(hits, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t"))).select("doc_id", "tie", tokens(F.col("text")).alias("doc"), "hits")
+    # per document: the span of tokens that each hit's item would lie on
+    length = whole.select(F.max(F.size("item"))).first()[0] or 0
+    # (two uses of doc keep the optimizer from computing it inside the lambda)
+    start = lambda x: F.greatest(x["shift"], F.lit(0))
+    window = lambda x: F.slice(F.col("doc"), start(x) + 1, F.greatest(F.lit(0), F.least(F.lit(length), F.size("doc") - start(x))))
+    lay = F.transform("hits", lambda x: F.struct(x["item_id"].alias("item_id"), x["shift"].alias("shift"), window(x).alias("window")))
+    laid = near.select("doc_id", "tie", F.explode(lay).alias("x")).select("doc_id", "tie", "x.*")
+    whole = whole.withColumnRenamed("item_id", "i")
+    found = laid.join(F.broadcast(whole) if length * whole.count() <= 10 * most_broadcast else whole, F.col("item_id").eqNullSafe(F.col("i")))
+    part = F.slice("item", F.greatest(-F.col("shift"), F.lit(0)) + 1, F.size("window"))
+    found = found.select("doc_id", "tie", "item_id", F.size("item").alias("length"), F.slice("window", 1, F.size(part)).alias("window"), part.alias("part"))
+    found = found.withColumn("score", best_stretch(F.col("window"), F.col("part")))
+    floor = F.least(F.lit(need), F.ceil(F.col("length") * 0.8)).cast("int")
     return found.where(F.col("score") >= floor).groupBy("doc_id", "tie", "item_id").agg(F.max("score").alias("score"))
 
 
