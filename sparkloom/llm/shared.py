@@ -219,7 +219,17 @@ def pieces(batch: pa.RecordBatch, most: int = PIECE) -> Iterator[pa.RecordBatch]
         lo = hi
 
 
+def small_batches(spark: SparkSession, most: int = 16 << 20) -> None:
+    """Keep Arrow batches to ``most`` bytes in this session: texts can be long, and a batch is held
+    several times over on its way."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()) > most:
+        spark.conf.set(name, str(most))
+
+
 def batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, most: int = PIECE) -> DataFrame:
+    small_batches(df.sparkSession)
+
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             for piece in pieces(batch, most):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.shared import batches, dispose, stored
+from sparkloom.llm.shared import batches, dispose, parts, stored
 
 KEY = b"surrogate key; give your own"
 ROUNDS = 8
@@ -271,7 +271,9 @@ def drawn(rows: DataFrame, key: bytes) -> DataFrame:
         new = [surrogate(key, k, e, g, a) for k, e, g, a in zip(*columns)]
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("kind", "gender", "entity", "attempt")), pa.array(new, pa.string())], names=["kind", "gender", "entity", "attempt", "surrogate"])
 
-    return batches(rows.select("kind", "gender", "entity", "attempt"), work, "kind string, gender string, entity string, attempt int, surrogate string")
+    # drawing is slow by design, and the table of entities small in bytes: deal it out by hash
+    dealt = rows.select("kind", "gender", "entity", "attempt").repartition(max(24, parts(rows.sparkSession)), "entity")
+    return batches(dealt, work, "kind string, gender string, entity string, attempt int, surrogate string")
 
 
 def assign(docs: DataFrame, key: bytes = KEY, most_rounds: int = 30) -> DataFrame:
