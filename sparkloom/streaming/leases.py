@@ -7,6 +7,7 @@ when the next event of the task comes, or by the group's timer.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 
 import pandas as pd
@@ -58,6 +59,21 @@ def windowed_actions(events: DataFrame, ts: str = "ts", delay: str = "10 minutes
     return events.withWatermark(ts, delay).groupBy(F.window(ts, width), "action").agg(F.count("*").alias("n"))
 
 
-def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Run a stream over all that is there, into Parquet."""
-    stream.writeStream.format("parquet").outputMode(mode).option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", every: str = "1 second", most_seconds: float = 3600) -> None:
+    """Run a stream over all that is there, into Parquet, and stop after the first empty trigger.
+
+    Neither ``availableNow`` nor ``processAllAvailable``: a query with a processing-time timer
+    always wants another batch, and both would wait for it for ever."""
+    query = stream.writeStream.format("parquet").outputMode(mode).option("path", path).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
+    end = time.monotonic() + most_seconds
+    try:
+        while time.monotonic() < end:
+            if query.exception():
+                raise query.exception()
+            progress = query.lastProgress
+            if progress is not None and progress["numInputRows"] == 0:
+                return
+            time.sleep(0.2)
+        raise TimeoutError("a stream did not drain in time")
+    finally:
+        query.stop()
