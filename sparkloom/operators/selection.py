@@ -18,7 +18,7 @@ from sparkloom.config import DIFFICULTIES, DIMENSIONS
 from sparkloom.errors import GateError
 from sparkloom.operators.gates import gate_fraction, gates_pass
 
-#: Rows that the driver's heap takes; the reference's input limit.
+#: Rows that the driver's heap takes.
 MOST_ROWS = 1_000_000
 STEP = 0.02
 
@@ -119,15 +119,20 @@ def scored(evaluated: DataFrame) -> DataFrame:
     return rows.withColumn("quality_score", score)
 
 
+def compact_rows(rows: DataFrame, most_rows: int = MOST_ROWS) -> list:
+    """All rows on the driver; raises, rather than drop any, when there are more than ``most_rows``."""
+    got = rows.limit(most_rows + 1).collect()
+    if len(got) > most_rows:
+        raise GateError(f"over {most_rows} eligible records: choose per lineage first, with top_per_lineage")
+    return got
+
+
 def select(evaluated: DataFrame, quality, most_rows: int = MOST_ROWS) -> DataFrame:
     """The selected records with quality_score, coverage_score and selected."""
     rows = scored(evaluated)
     spark = rows.sparkSession
     compact = rows.select("record_id", "lineage_id", "quality_score", *[f"dimensions.{d}" for d in DIMENSIONS])
-    got = compact.limit(most_rows + 1).collect()
-    if len(got) > most_rows:
-        raise GateError(f"over {most_rows} eligible records: choose per lineage first, with top_per_lineage")
-    table = [(r[0], r[1], r[2], tuple(zip(DIMENSIONS, r[3:]))) for r in got]
+    table = [(r[0], r[1], r[2], tuple(zip(DIMENSIONS, r[3:]))) for r in compact_rows(compact, most_rows)]
     floors = [((d, v), n) for d, v, n in quality.floors()]
     chosen = spark.createDataFrame(greedy(table, quality.target_size, quality.max_per_lineage, floors), "id string, coverage_score double")
     out = rows.join(chosen, F.col("record_id") == F.col("id")).drop("id")

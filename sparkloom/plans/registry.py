@@ -403,7 +403,7 @@ def floor_deficits(spark, sf_dir):
 def greedy_coverage_selection(spark, sf_dir):
     """Floors, then greedy coverage; tested against the naive rule."""
     rows = table(spark, sf_dir, "part").select("p_partkey", "p_brand", (F.col("p_size") / 50.0).alias("quality"), "p_type", "p_size")
-    got = [(r[0], r[1], r[2], (("brand", r[1]), ("type", r[3]), ("size", r[4]))) for r in rows.limit(selection.MOST_ROWS).collect()]
+    got = [(r[0], r[1], r[2], (("brand", r[1]), ("type", r[3]), ("size", r[4]))) for r in selection.compact_rows(rows)]
     chosen = selection.greedy(got, 100, 8, [(("size", 7), 3)])
     return spark.createDataFrame(chosen, "p_partkey long, gain double")
 
