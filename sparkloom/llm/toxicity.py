@@ -8,6 +8,11 @@ comes from.  Insults are a few words in a long text, so the average is taken ove
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+from types import SimpleNamespace
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,14 +25,15 @@ BUCKETS = 1 << 18
 DIM = 8
 WINDOW = 4
 EPOCHS = 8
-#: Small samples are gone through more often, up to so many texts in all.
-LEAST_STEPS = 25_000
+#: Small samples are gone through more often: up to so many texts, times or bytes in all.
+LEAST_STEPS, MOST_EPOCHS, MOST_BYTES = 25_000, 200, 100_000_000
 RATE = 0.35
 POWER = 0.8  # 1 would give both classes the same weight
 #: The classifier is fitted on at most so many labelled rows of each class, those first by a
 #: hash of their id; every text is scored.
 TRAIN_ROWS_PER_CLASS = 3000
 TRAIN_BYTES = 24_000_000
+SLICE = 20_000  # words whose grams are at hand together
 PIECE = 2_000_000  # bytes of text that a worker takes at a time
 
 
@@ -83,24 +89,18 @@ def windows(words: Words, width: int = WINDOW) -> tuple[np.ndarray, np.ndarray,
     return first, np.minimum(first + width, words.bounds[doc + 1]), doc
 
 
-def window_odds(words: Words, model: Model):
-    """Log-odds of every window, with what they were made from."""
-    bag, owner = gram_keys(words)
-    grams_to = np.searchsorted(owner, np.arange(len(words.hash) + 1))
-    total = np.concatenate(([0.0], np.cumsum(model.table[bag], dtype=np.float64)))
-    first, last, doc = windows(words)
-    lo, hi = grams_to[first], grams_to[last]
-    return model.offset + (total[hi] - total[lo]) / np.maximum(1, hi - lo), doc, bag, lo, hi
-
-
 def word_odds(words: Words, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each word the sum of its grams' log-odds and their number, without a list of the grams."""
     n = len(words.hash)
     total = table[(words.hash % np.uint64(BUCKETS)).astype(np.intp)].astype(np.float64)
     count = np.ones(n)
-    for bucket, owner in each_gram(words):
-        total += np.bincount(owner, table[bucket], n)
-        count += np.bincount(owner, minlength=n)
+    for lo in range(0, n, SLICE):
+        part = slice(lo, min(n, lo + SLICE))
+        some = SimpleNamespace(hash=words.hash[part], start=words.start[part], end=words.end[part], data=words.data)
+        size = len(some.hash)
+        for bucket, owner in each_gram(some):
+            total[part] += np.bincount(owner, table[bucket], size)
+            count[part] += np.bincount(owner, minlength=size)
     return total, count
 
 
@@ -133,7 +133,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7, epochs: int | Non
     seen_v, seen_w, seen_b = np.full(BUCKETS, 1e-4, np.float32), np.full((DIM, 2), 1e-2, np.float32), np.full(2, 1e-2, np.float32)
     rate = labels.mean()
     share = np.where(labels == 1, (0.5 / rate) ** POWER, (0.5 / (1 - rate)) ** POWER).astype(np.float32)
-    epochs = epochs or max(EPOCHS, LEAST_STEPS // len(texts))
+    more = min(LEAST_STEPS // len(texts), MOST_EPOCHS, MOST_BYTES // (1 + sum(map(len, texts))))
+    epochs = epochs or max(EPOCHS, more)
     groups = [np.arange(i, min(i + 400, len(texts))) for i in range(0, len(texts), 400)]
     for epoch in range(epochs):
         for g in rng.permutation(len(groups)):
@@ -142,7 +143,9 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7, epochs: int | Non
             if not len(words.hash):
                 continue
             model = Model(vectors, weights, bias)
-            score, doc, bag, lo, hi = window_odds(words, model)
+            total, count = (np.concatenate(([0.0], np.cumsum(v))) for v in word_odds(words, model.table))
+            first, last, doc = windows(words)
+            score = model.offset + (total[last] - total[first]) / (count[last] - count[first])
             # the deciding window of each text; and of a clean text a random one too
             jitter = score + rng.gumbel(0, 0.3 / (1 + epoch), len(score))
             best = np.flatnonzero(np.diff(doc, prepend=-1))
@@ -150,8 +153,14 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7, epochs: int | Non
             chosen = [b + int(np.argmax(jitter[b:e])) for b, e in zip(best, stops)]
             extra = [int(rng.integers(b, e)) for b, e in zip(best, stops) if labels[rows[doc[b]]] == 0]
             pick = rng.permutation(np.array(chosen + extra))
-            for part in np.array_split(pick, max(1, len(pick) // 64)):
-                y, c = labels[rows[doc[part]]], share[rows[doc[part]]]
+            # grams of the words in these windows only
+            size = last[pick] - first[pick]
+            at = np.repeat(first[pick] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+            bag, owner = gram_keys(SimpleNamespace(hash=words.hash[at], start=words.start[at], end=words.end[at], data=words.data))
+            edge = np.searchsorted(owner, np.append(np.cumsum(size) - size, size.sum()))
+            lo, hi = edge[:-1], edge[1:]
+            for part in np.array_split(np.arange(len(pick)), max(1, len(pick) // 64)):
+                y, c = labels[rows[doc[pick[part]]]], share[rows[doc[pick[part]]]]
                 spread = np.concatenate([np.arange(lo[i], hi[i]) for i in part])
                 which = np.repeat(np.arange(len(part)), hi[part] - lo[part])
                 size = np.maximum(1, hi[part] - lo[part])[:, None]
@@ -206,7 +215,17 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_ROWS_PER_CLAS
         rows = rows.where(F.lit(False))
     got = sorted((r.d, r.text, r.toxic) for r in rows.select("d", "text", "toxic").collect())
     mixed = np.random.default_rng(11).permutation(len(got))
-    return train([got[i][1] for i in mixed], np.array([got[i][2] for i in mixed], np.int64))
+    model = train([got[i][1] for i in mixed], np.array([got[i][2] for i in mixed], np.int64))
+    del got, sizes
+    give_back()
+    return model
+
+
+def give_back() -> None:
+    """Return what training freed to the system, where the C library can: the driver lives on."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def score(docs: DataFrame, model: Model, extra: tuple[str, ...] = ("doc_id",)) -> DataFrame:
