@@ -199,7 +199,7 @@ def simhash_lsh_dedup(spark, sf_dir):
         F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("record_id"), F.col("source").alias("lineage_id"), F.col("text").alias("question"), C.digest(F.col("text")).alias("content_sha256")
     )
     items = table(spark, sf_dir, "benchmark").select(F.lpad(F.col("item_id").cast("string"), 12, "0").alias("benchmark_id"), F.col("text").alias("question"))
-    out = dedup.decontaminate(docs, items, Quality(semantic_lsh_bands=4))
+    out = dedup.decontaminate(docs, items, Quality())
     return out.select("record_id", "contamination.passed", "contamination.match_type", "contamination.match_id", F.round("contamination.similarity", 6).alias("similarity"))
 
 

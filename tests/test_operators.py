@@ -165,6 +165,24 @@ def test_decontaminate_equals_sequential_model(spark, bands):
         assert x.similarity == pytest.approx(want[x.record_id][3], abs=1e-9)
 
 
+def test_registered_dedup_reaches_near_duplicates_of_all_default_bands(spark, tmp_path):
+    from sparkloom.plans.registry import simhash_lsh_dedup
+
+    r = random.Random(8)
+    near = lambda a, b, width: any((a >> k) % (1 << width) == (b >> k) % (1 << width) for k in range(0, 64, width))
+    sign = lambda t: FP.signature(FP.feature_hashes(FP.words_of(t)))
+    rows = []
+    while len(rows) < 8:
+        words = [f"w{r.randrange(10**6)}" for _ in range(60)]
+        a, b = " ".join(words), " ".join([*words[:-1], f"v{len(rows)}", f"x{r.randrange(10**6)}"])
+        if near(sign(a), sign(b), 8) and not near(sign(a), sign(b), 16):
+            rows += [(len(rows), "one", a), (len(rows) + 1, "two", b)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, "a protected question of another kind")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = {int(x.record_id): x.match_id and int(x.match_id) for x in simhash_lsh_dedup(spark, str(tmp_path)).collect()}
+    assert got == {i: i - 1 if i % 2 else None for i in range(8)}
+
+
 def test_shingle_pairs_lose_nothing(spark):
     r = random.Random(3)
     sets = [[f"t{r.randrange(14)}" for _ in range(r.randrange(4, 12))] for _ in range(60)]
