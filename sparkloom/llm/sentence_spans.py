@@ -1,9 +1,10 @@
 """Substring dedup: runs of consecutive sentences that a document before already has.
 
-A sentence ends at a line break, or at one of .!? before white space.  Every run of ``RUN``
-sentences with at least ``LEAST_WORDS`` words is hashed (its lower-cased words, 64 bits), the
-hashes are joined over all documents, and the sentences covered by a run that occurred before,
-in a document of smaller doc_id or earlier in the same one, are removed.  The chance that any
+A sentence ends at a line break, or at one of .!? before white space.  From and up to every
+sentence the shortest run of at least ``RUN`` sentences and ``LEAST_WORDS`` words is hashed (its
+lower-cased words, 64 bits), and a document with fewer of either as a whole.  The hashes are
+joined over all documents, and the sentences covered by a run that occurred before, in a
+document of smaller doc_id or earlier in the same one, are removed.  The chance that any
 two of n different runs share a hash is below n**2 / 2**65.
 """
 
@@ -44,19 +45,30 @@ class Sentences:
         self.doc = w.doc[self.first]
         self.bounds = np.searchsorted(self.doc, np.arange(w.n + 1))
 
-    def runs(self, run: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hash and first sentence of every run, in order."""
+    def runs(self, run: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, first sentence and end (the sentence after the last) of every run, by first sentence.
+
+        From each sentence on, and up to each sentence, the shortest run of at least ``run``
+        sentences and ``least`` words; a text that is shorter is one run.  Together they cover
+        every sentence of any passage that has as much, so no longer runs are needed."""
         w, s = self.words, len(self.first)
-        if s < run:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        if not s:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         up, down = powers(len(w.hash) + 1)
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(w.hash * up[: len(w.hash)])))
-        ends = np.append(self.first, len(w.hash))
-        at = np.arange(s - run + 1)
-        lo, hi = self.first[at], ends[at + run]
-        keep = (self.doc[at] == self.doc[at + run - 1]) & (hi - lo >= least)
-        at, lo, hi = at[keep], lo[keep], hi[keep]
-        return mix64((total[hi] - total[lo]) * down[lo] + (hi - lo).astype(np.uint64)), at
+        edge = np.append(self.first, len(w.hash))
+        at = np.arange(s)
+        end = np.maximum(at + run, np.searchsorted(edge, edge[at] + least))
+        keep = end <= self.bounds[self.doc + 1]
+        whole = np.setdiff1d(self.doc, self.doc[keep])
+        upto = at + 1
+        back = np.minimum(upto - run, np.searchsorted(edge, edge[upto] - least, side="right") - 1)
+        held = back >= self.bounds[self.doc]
+        at = np.concatenate((at[keep], back[held], self.bounds[whole]))
+        end = np.concatenate((end[keep], upto[held], self.bounds[whole + 1]))
+        at, end = np.divmod(np.unique(at * (s + 1) + end), s + 1)
+        lo, hi = edge[at], edge[end]
+        return mix64((total[hi] - total[lo]) * down[lo] + (hi - lo).astype(np.uint64)), at, end
 
 
 def run_hashes(docs: DataFrame, run: int = RUN, least: int = LEAST_WORDS) -> DataFrame:
@@ -64,7 +76,7 @@ def run_hashes(docs: DataFrame, run: int = RUN, least: int = LEAST_WORDS) -> Dat
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         s = Sentences(batch.column(1), True)
-        h, at = s.runs(run, least)
+        h, at, _ = s.runs(run, least)
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         doc = s.doc[at]
         order = np.lexsort((h, doc))
@@ -90,7 +102,7 @@ def dedup_spans(docs: DataFrame, run: int = RUN, least: int = LEAST_WORDS) -> Da
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = pc.fill_null(batch.column(1).cast(pa.large_string()), "")
-        h, at = Sentences(texts, True).runs(run, least)
+        h, at, end = Sentences(texts, True).runs(run, least)
         s = Sentences(texts, False)
         lists = batch.column(2).to_pylist()
         gone = np.zeros(len(s.first) + 1, np.int64)
@@ -104,8 +116,8 @@ def dedup_spans(docs: DataFrame, run: int = RUN, least: int = LEAST_WORDS) -> Da
             hit = np.isin(own.view(np.int64), np.array(known or [], np.int64))
             _, first, back = np.unique(own, return_index=True, return_inverse=True)
             hit |= first[back] != np.arange(hi - lo)
-            gone[at[lo:hi][hit]] += 1
-            gone[at[lo:hi][hit] + run] -= 1
+            np.add.at(gone, at[lo:hi][hit], 1)
+            np.add.at(gone, end[lo:hi][hit], -1)
         covered = np.cumsum(gone[:-1]) > 0 if len(s.first) else np.zeros(0, bool)
         begins = s.words.start[s.first]
         out, counts, removed = [], [], []

@@ -189,6 +189,38 @@ def test_sentence_spans(spark):
     assert all(x.text == dict(rows)[k] for k, x in got.items() if not x.n_removed)
 
 
+def test_sentence_spans_of_short_lines(spark):
+    r = random.Random(9)
+    lines = lambda n: [r.choice(WORDS) + r.choice(WORDS) for _ in range(n)]
+    verse, own = lines(40), [lines(30) for _ in range(4)]
+    mixed = [sentence(r, 10, 12), sentence(r, 10, 12), "A b.", "C d."]
+    rows = [
+        (1, "\n".join([*own[0], *verse])), (2, "\n".join([*own[1], *verse, *own[2]])), (3, "\n".join(verse)),
+        (4, "\n".join(verse[:15])), (5, "\n".join(verse[:15])), (6, "\n".join([*own[3], *verse[:15]])),
+        (7, " ".join(mixed)), (8, " ".join(mixed)), (9, " ".join([sentence(r), *mixed, sentence(r)])), (10, "Thank you."), (11, "thank you"),
+    ]
+    got = {x.doc_id: x for x in sentence_spans.dedup_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i].n_removed for i in range(1, 12)] == [0, 40, 40, 0, 15, 0, 0, 4, 4, 0, 1]
+    assert got[2].text.split() == [*own[1], *own[2]] and all(got[i].text == "" for i in (3, 5, 8, 11))
+
+
+def test_sentence_spans_cover_what_any_run_covers():
+    r = random.Random(10)
+    texts = ["\n".join(" ".join(r.choice(WORDS) for _ in range(r.choice((1, 1, 2, 5, 18)))) for _ in range(r.randrange(1, 20))) for _ in range(60)]
+    s = sentence_spans.Sentences(pa.array(texts), True)
+    _, at, end = s.runs(2, 16)
+    found = set(zip(at.tolist(), end.tolist()))
+    n = np.append(s.first, len(s.words.hash))
+    for d in range(len(texts)):
+        lo, hi = s.bounds[d], s.bounds[d + 1]
+        for a in range(lo, hi):
+            for b in range(a + 2, hi + 1):
+                if n[b] - n[a] >= 16:
+                    assert {k for x, y in found if a <= x and y <= b for k in range(x, y)} == set(range(a, b))
+        if hi - lo < 2 or n[hi] - n[lo] < 16:
+            assert {(x, y) for x, y in found if lo <= x < hi} == {(lo, hi)}
+
+
 def test_sentence_spans_odd(odd, empty):
     got = sentence_spans.dedup_spans(odd).collect()
     assert len(got) == len(odd_rows())
