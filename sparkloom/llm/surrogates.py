@@ -64,7 +64,9 @@ FINDER = re.compile(
         ]
     )
 )
-MAYBE = re.compile(rf"[@\d]|(?<!\w)(?:{_titles})\.? ")
+#: Every text with a match of FINDER has one of MAYBE or, lower-cased, one of these marks.
+MAYBE = re.compile(rf"[@\d]|[\"'][a-f]{{32}}|(?<!\w)(?:{_titles})\.?[ \u00a0]")
+MARKS = ("password=", "passwd=", "secret=", "token=", "api_key=")
 KINDS = ("email", "secret", "iban", "card", "ssn", "ipv4", "phone", "name")
 
 
@@ -76,9 +78,14 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def maybe(text: str) -> bool:
+    lower = text.lower()
+    return any(mark in lower for mark in MARKS) or MAYBE.search(text) is not None
+
+
 def found(text: str) -> list[tuple[int, int, str, str, str]]:
     """Start, end, kind, canonical entity and, of names, gender, in order; spans don't overlap."""
-    if not text or not MAYBE.search(text):
+    if not text or not maybe(text):
         return []
     out = []
     for m in FINDER.finditer(text):

@@ -559,6 +559,18 @@ def test_names_stay_distinct(spark):
         break
 
 
+def test_entities_without_digits(spark):
+    nbsp, hexed = "\u00a0", "abcdef" * 6
+    texts = [f"log {k}=hunter-word end" for k in ("password", "passwd", "secret", "token", "api_key")]
+    texts += [f"Bitte Dr.{nbsp}Müller fragen", f"Frau{nbsp}Schmidt kam", f"the '{hexed}' here"]
+    assert all([x[:3] for x in surrogates.found(t)] == [x[:3] for x in surrogates.found(f"{t} 1")] and len(surrogates.found(t)) == 1 for t in texts)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, "only words here", *(f"{t} 1" for t in texts)])], "doc_id long, text string")
+    out = {x.doc_id: x.text for x in surrogates.replace_pii(docs).collect()}
+    n = len(texts)
+    assert out[n] == "only words here" and all(out[i] + " 1" == out[n + 1 + i] and out[i] != t for i, t in enumerate(texts))
+    assert not any(gone in out[i] for i in range(n) for gone in ("hunter", "Müller", "Schmidt", hexed))
+
+
 def test_surrogates_odd(odd, empty):
     got = surrogates.replace_pii(odd)
     assert got.count() == len(odd_rows()) and [c for c in got.columns if c != "n_entities"] == odd.columns
