@@ -49,12 +49,23 @@ ENDINGS = {"latin": {"": ["er", "man", "son", "field", "ley", "ton"]}, "cyrillic
 UPPER = r"[A-ZÀ-ÖØ-ÞŁŚŽА-ЯЁΑ-ΩΆΈΉΊΌΎΏ]"
 NAME = rf"{UPPER}[^\W\d_]+(?:[-'’]{UPPER}?[^\W\d_]+)*"
 _titles = "|".join(sorted((re.escape(t) for ts in TITLES.values() for t in ts), key=len, reverse=True))
+EMAIL = r"(?<![\w.%+-])[\w.%+-]+@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,}(?![\w-])"
+#: A key and its sign, as in code, configuration, JSON and prose.
+ASSIGNED = r"(?ai:password|passwd|secret(?:[_ ](?:access[_ ])?key)?|token|api[_-]?key)[\"']?[^\S\n]*[:=]{1,2}+>?[^\S\n]*[\"']?"
+#: Keys that show by themselves; their heads stay.
+JWT = r"eyJ[A-Z0-9_-]{8,}\.[A-Z0-9_-]{8,}\.[A-Z0-9_-]{8,}"
+TOKEN = rf"(?ai:\b(?:sk-(?:ant-|proj-)?[A-Z0-9_-]{{20,}}|gh[opusr]_[A-Z0-9]{{20,}}|AKIA[A-Z0-9]{{16}}|{JWT})(?![A-Z0-9_]))"
+HEAD = re.compile(r"(?ai:sk-(?:ant-|proj-)?(?=[A-Z0-9_-]{20})|gh[opusr]_(?=[A-Z0-9]{20})|AKIA(?=[A-Z0-9]{16}\Z)|eyJ(?=[A-Z0-9_-]{8,}\.[A-Z0-9_-]{8,}\.))")
+HEX = re.compile(r"[0-9a-fA-F]{32,}")
 #: One pass finds all kinds; of two that begin together the first here wins.
 FINDER = re.compile(
     "|".join(
         [
-            r"(?P<email>(?<![\w.%+-])[\w.%+-]+@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,}(?![\w-]))",
-            r"(?P<secret>(?:(?<=password=)|(?<=passwd=)|(?<=secret=)|(?<=token=)|(?<=api_key=)|(?<=[\"'])(?=[0-9a-f]{32,}[\"']))[^\s\"',;]{6,})",
+            rf"(?P<email>{EMAIL})",
+            rf"(?P<token>{TOKEN})",
+            r"(?ai:-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----)(?P<pem>[A-Za-z0-9+/=\\\r\n]{16,})",
+            rf"(?ai:\bbearer[^\S\n]+)(?!{TOKEN})(?P<bearer>[A-Za-z0-9._~+/-]{{19,}}[A-Za-z0-9_~+/-]={{0,2}})",
+            rf"(?:{ASSIGNED}(?!{EMAIL}|{TOKEN})|(?<=[\"'])(?=[0-9a-fA-F]{{32,}}[\"']))(?P<secret>[^\s\"',;]{{6,}})",
             r"(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?\b)",
             r"(?P<card>(?<![\w.-])\d{4}(?P<gap>[ -]?)\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}(?![\w-]|\.\d))",
             r"(?P<ssn>(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-]))",
@@ -65,9 +76,10 @@ FINDER = re.compile(
     )
 )
 #: Every text with a match of FINDER has one of MAYBE or, lower-cased, one of these marks.
-MAYBE = re.compile(rf"[@\d]|[\"'][a-f]{{32}}|(?<!\w)(?:{_titles})\.?[ \u00a0]")
-MARKS = ("password=", "passwd=", "secret=", "token=", "api_key=")
-KINDS = ("email", "secret", "iban", "card", "ssn", "ipv4", "phone", "name")
+MAYBE = re.compile(rf"[@\d]|[\"'][a-fA-F]{{32}}|(?<!\w)(?:{_titles})\.?[ \u00a0]")
+MARKS = ("password", "passwd", "secret", "token", "apikey", "api_key", "api-key", "sk-", "gho_", "ghp_", "ghu_", "ghs_", "ghr_", "akia", "eyj", "bearer", "private key-----")
+SECRETS = ("token", "pem", "bearer", "secret")
+KINDS = ("email", *SECRETS, "iban", "card", "ssn", "ipv4", "phone", "name")
 
 
 def luhn(digits: str) -> bool:
@@ -97,14 +109,15 @@ def found(text: str) -> list[tuple[int, int, str, str, str]]:
         if kind == "name":
             lo, hi = m.span("who")
             gender = next(g for g, ts in TITLES.items() if m["title"] in ts)
+        kind = "secret" if kind in SECRETS else kind
         out.append((lo, hi, kind, canonical(kind, text[lo:hi]), gender))
     return out
 
 
 def canonical(kind: str, value: str) -> str:
-    """What tells entities apart: mail addresses regardless of case, numbers by their digits."""
+    """What tells entities apart: mail addresses and long hex regardless of case, numbers by their digits."""
     value = unicodedata.normalize("NFC", value)
-    if kind == "email":
+    if kind == "email" or kind == "secret" and HEX.fullmatch(value):
         return value.lower()
     if kind in ("card", "phone"):
         return ("+" if value.startswith("+") else "") + re.sub(r"\D", "", value)
@@ -122,6 +135,10 @@ CLASSES = [range(48, 58), range(97, 123), range(65, 91), range(0x430, 0x450), ra
 CLASSES += [range(0x3C3, 0x3CA), range(0x3A3, 0x3AA), range(0x5D0, 0x5EB), range(0x4E00, 0x9FA6), range(0xDF, 0xF7), range(0xF8, 0x100), range(0xC0, 0xD7), range(0xD8, 0xDF)]
 
 
+#: Characters that are permuted together.
+PIECE = 800
+
+
 def prf(key: bytes, tweak: str, r: int, value: int, size: int) -> int:
     message = f"{tweak}|{r}|{value}".encode()
     block = hmac.new(key, message, hashlib.sha256).digest()
@@ -149,7 +166,11 @@ def permute(key: bytes, tweak: str, value: int, domain: int) -> int:
 
 
 def reshape(key: bytes, tweak: str, text: str) -> str:
-    """The image of ``text`` among all strings of its shape; other characters stay."""
+    """The image of ``text`` among all strings of its shape; other characters stay.
+
+    Long texts go piece by piece, as Python writes no integer of over 4300 digits."""
+    if len(text) > PIECE:
+        return "".join(reshape(key, f"{tweak}|{i}", text[i : i + PIECE]) for i in range(0, len(text), PIECE))
     kinds = [next((c for c in CLASSES if ord(ch) in c), None) for ch in text]
     shape = "".join(chr(c.start) if c else ch for ch, c in zip(text, kinds))
     value, domain = 0, 1
@@ -226,10 +247,11 @@ def surrogate(key: bytes, kind: str, entity: str, gender: str, attempt: int) ->
     if kind == "iban":
         return entity[:2] + iban_check(entity[:2], reshape(key, tweak, entity[4:])) + reshape(key, tweak, entity[4:])
     if kind == "secret":
-        if re.fullmatch(r"[0-9a-f]+", entity):
+        if len(entity) <= PIECE and (re.fullmatch(r"[0-9a-f]+", entity) or re.fullmatch(r"[0-9A-F]+", entity)):
             n = permute(key, f"{tweak}|{len(entity)}", int(entity, 16), 16 ** len(entity))
-            return f"{n:0{len(entity)}x}"
-        return reshape(key, tweak, entity)
+            return f"{n:0{len(entity)}{'x' if entity == entity.lower() else 'X'}}"
+        head = m[0] if (m := HEAD.match(entity)) else ""
+        return head + reshape(key, tweak, entity[len(head) :])
     parts = entity.split(" ")
     kinds = script(parts[-1])
     sex = gender if gender != "neutral" else ("male" if prf(key, f"sex|{entity}", 0, 0, 8) % 2 else "female")
@@ -248,7 +270,7 @@ def iban_check(country: str, rest: str) -> str:
 
 def dressed(kind: str, original: str, new: str) -> str:
     """The surrogate in the punctuation, spacing and case of this occurrence."""
-    if kind == "email":
+    if kind == "email" or kind == "secret" and HEX.fullmatch(original):
         if original.isupper():
             return new.upper()
         out = [n.upper() if o.isupper() else n for o, n in zip(original, new)]

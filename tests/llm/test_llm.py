@@ -571,6 +571,38 @@ def test_entities_without_digits(spark):
     assert not any(gone in out[i] for i in range(n) for gone in ("hunter", "Müller", "Schmidt", hexed))
 
 
+SECRET_FORMS = [
+    'TOKEN = "{}"', "token={}", "Password : {} end", "passwd: '{}'", '{{"api_key": "{}"}}', "API-KEY={}", "secret := {}", "aws_secret_access_key = {}", "AWS secret access key: {}",
+]
+
+
+@pytest.mark.parametrize("form", SECRET_FORMS)
+def test_secrets_after_keys(form):
+    for value in ("hunter-word", "Hunter2xy", "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"):
+        text = form.format(value)
+        assert [(text[lo:hi], kind) for lo, hi, kind, *_ in surrogates.found(text)] == [(value, "secret")]
+
+
+def test_secrets_that_show_by_themselves(spark):
+    r = random.Random(12)
+    some = lambda n, a="abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ": "".join(r.choice(a) for _ in range(n))
+    keys = {f"sk-ant-{some(30)}": "sk-ant-", f"sk-proj-{some(24)}": "sk-proj-", f"ghp_{some(36)}": "ghp_", f"AKIA{some(16, 'ABCDEFGHIJ')}": "AKIA", f"eyJ{some(20)}.{some(30)}.{some(5000)}": "eyJ"}
+    low, word = "92" + "3a8ecf7c5b09fe5949719b6b82bc439e9329bf", some(40)
+    texts = [f"see {k} there" for k in keys] + [f"Authorization: Bearer {k}" for k in keys] + [f'token = "{k}"' for k in keys]
+    texts += [f"'{low}' here", f'TOKEN: "{low.upper()}" HERE', f"bearer {word}.", f"token=ann.lee@corp-x.de or {'x'}", f"-----BEGIN RSA PRIVATE KEY-----\n{some(1600)}\n-----END RSA PRIVATE KEY-----", "task-force, tokens: 5, bearer of news", "secret=" + some(6000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {x.doc_id: x for x in surrogates.replace_pii(docs).collect()}
+    for j, (k, head) in enumerate(keys.items()):
+        new = out[j].text.split()[1]
+        assert new.startswith(head) and new != k and len(new) == len(k)
+        assert out[5 + j].text == f"Authorization: Bearer {new}" and out[10 + j].text == f'token = "{new}"'
+    a, b = out[15].text.split("'")[1], out[16].text.split('"')[1]
+    assert a != low and re.fullmatch("[0-9a-f]{40}", a) and b == a.upper()
+    assert re.fullmatch(r"bearer [A-Za-z]{40}\.", out[17].text) and word not in out[17].text
+    assert [x[2] for x in surrogates.found(texts[18])] == ["email"] and out[20].text == texts[20]
+    assert out[19].text[:40] != texts[19][:40] and out[19].text.endswith("\n-----END RSA PRIVATE KEY-----") and out[21].text[7:100] != texts[21][7:100]
+
+
 def test_surrogates_odd(odd, empty):
     got = surrogates.replace_pii(odd)
     assert got.count() == len(odd_rows()) and [c for c in got.columns if c != "n_entities"] == odd.columns
