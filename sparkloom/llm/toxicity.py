@@ -192,8 +192,9 @@ def held_out(id):
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_ROWS_PER_CLASS, most_bytes: int = TRAIN_BYTES) -> Model:
     """Train on labelled, not held-out rows: at most ``per_class`` ids of each class, those
-    first by a hash, and of them texts of ``most_bytes`` in all.  Null labels and ids don't
-    count; of an id with several labels the larger one holds."""
+    first by a hash, and of them texts of ``most_bytes`` in all: an id whose text would overrun
+    them is passed over.  Raises when that leaves a class without a text.  Null labels and ids
+    don't count; of an id with several labels the larger one holds."""
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     order = F.xxhash64("doc_id")
@@ -202,17 +203,19 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_ROWS_PER_CLAS
     # at most 2 * per_class rows are broadcast
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id").cast("long") == F.col("d"))
     rows = rows.select("d", "toxic", F.coalesce("text", F.lit("")).alias("text")).withColumn("bytes", F.octet_length("text"))
-    sizes = sorted((r.h, r.d, r.bytes) for r in rows.select(F.xxhash64("d").alias("h"), "d", "bytes").collect())
-    total, cut = 0, None
-    for h, _, b in sizes:
-        total += b
-        if total > most_bytes:
-            break
-        cut = h
-    if cut is not None and total > most_bytes:
-        rows = rows.where(F.xxhash64("d") <= cut)
-    elif cut is None and sizes:
-        rows = rows.where(F.lit(False))
+    sizes = rows.groupBy("d").agg(F.max("toxic").alias("toxic"), F.sum("bytes").alias("bytes")).select(F.xxhash64("d").alias("h"), "d", "toxic", "bytes")
+    sizes = sorted((r.h, r.d, r.toxic, r.bytes) for r in sizes.collect())
+    total, over, left = 0, [], set()
+    for _, d, y, b in sizes:
+        if total + b > most_bytes:
+            over.append(d)
+        else:
+            total += b
+            left.add(y)
+    if lost := {y for _, _, y, _ in sizes} - left:
+        raise ValueError(f"no text of toxic = {sorted(lost)} fits into the {most_bytes} bytes to learn from")
+    if over:
+        rows = rows.where(~F.col("d").isin(over))
     got = sorted((r.d, r.text, r.toxic) for r in rows.select("d", "text", "toxic").collect())
     mixed = np.random.default_rng(11).permutation(len(got))
     model = train([got[i][1] for i in mixed], np.array([got[i][2] for i in mixed], np.int64))

@@ -635,6 +635,18 @@ def test_toxicity_learns_and_spells(spark):
     assert {x.doc_id for x in toxicity.drop_toxic(docs, labels).collect()} == {i for i, x in got.items() if not x.predicted}
 
 
+def test_toxicity_passes_over_a_text_that_does_not_fit(spark):
+    texts = {i: f"kaba loder {'blorgast vexinoid' if i % 2 else 'mifin rugol'} {WORDS[i % 60]}" for i in range(80)}
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, toxic int")
+    order = [r.doc_id for r in labels.where(~toxicity.held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id")).collect()]
+    frame = lambda t: spark.createDataFrame(list(t.items()), "doc_id long, text string")
+    model = toxicity.fit(frame(texts | {order[0]: "x" * 50_000}), labels, most_bytes=20_000)
+    toxic, clean = toxicity.odds(pa.array(["kaba blorgast vexinoid", "kaba mifin rugol"]), model)
+    assert toxic > 0 > clean
+    with pytest.raises(ValueError, match="toxic = .1."):
+        toxicity.fit(frame({i: t * (500 if i % 2 else 1) for i, t in texts.items()}), labels, most_bytes=5_000)
+
+
 def test_toxicity_odd(spark, odd, empty):
     labels = spark.createDataFrame([(3, 1), (7, 0)], "doc_id long, toxic int")
     got = toxicity.toxicity(odd, labels).collect()
