@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import uuid
+import warnings
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,27 +14,45 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MASK = (1 << 64) - 1
-FALLBACK_DIR = "/tmp/checkpoints/sparkloom"
+#: For sessions on one machine that name no folder, as in tests.
+LOCAL_DIR = "/tmp/checkpoints/sparkloom"
 
 
 # ---------------------------------------------------------------- stored tables
 
+#: Folders that this process has made and not deleted yet.
+FOLDERS: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set here only where the session has none."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or the context's.  A
+    session on one machine without either gets one here; on a cluster that raises, as each
+    executor would write to a disk of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         java = spark.sparkContext._jsc.sc().getCheckpointDir()
         if java.isDefined():
             folder = java.get()
+        elif spark.sparkContext.master.split("[")[0] == "local":
+            spark.sparkContext.setCheckpointDir(LOCAL_DIR)
+            folder = LOCAL_DIR
         else:
-            spark.sparkContext.setCheckpointDir(FALLBACK_DIR)
-            folder = FALLBACK_DIR
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    FOLDERS.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return FOLDERS[-1]
+
+
+def clean(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> None:
+    """Delete the folders made so far, from the ``since``-th on: to be called when the rows of all
+    queries before have been written or fetched, as results are read from these folders."""
+    for path in FOLDERS[since:]:
+        if path not in keep:
+            delete_path(spark, path)
+    FOLDERS[since:] = [x for x in FOLDERS[since:] if x in keep]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -61,6 +80,8 @@ def dispose(*frames: DataFrame) -> None:
     for df in frames:
         if path := path_of(df):
             delete_path(df.sparkSession, path)
+            name = path.rsplit("/", 1)[1]
+            FOLDERS[:] = [x for x in FOLDERS if x.rsplit("/", 1)[1] != name]
 
 
 def parts(spark: SparkSession) -> int:
@@ -244,83 +265,116 @@ def batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], sch
 class Ranges:
     """Ranges of a numeric key that hold about ``target`` weight each, the same on every run.
 
-    ``column`` gives a row's range number in key order, null keys last (``count - 1``)."""
+    ``column`` gives a row's range number in key order, null keys last (``count - 1``);
+    ``totals`` are the weights."""
 
     def __init__(self, column: Column, count: int, totals: list[float]):
         self.column, self.count, self.totals = column, count, totals
 
 
-def even_ranges(df: DataFrame, key: Column, weight: Column, target: float, fine: int = 1024, depth: int = 4, descending: bool = False) -> Ranges:
+MOST_SLOTS = 1 << 21
+
+
+def even_ranges(df: DataFrame, key: Column, weight: Column, target: float, fine: int = 1024, depth: int = 8, descending: bool = False, most_slots: int = MOST_SLOTS) -> Ranges:
     """Cut the key's span into equal bins, sum the weight of each, split the bins that are too
     heavy again, and join neighbours up to ``target``.
 
-    The driver gets at most ``fine`` sums for each heavy bin, so their number follows
-    total / target and not the rows.  Rows of one key stay together."""
+    There are at least four bins for each range (``fine`` at least, 65,536 at most), so what the
+    driver gets follows total / target and not the rows.  Bins are split as long as their rows
+    differ, to ``depth`` levels; should the tables take over ``most_slots`` numbers, the bins left
+    whole are named in a warning.  Rows of one key stay together."""
     rows = df.select(key.cast("double").alias("k"), weight.cast("double").alias("w"))
     lo, hi, nulls, total = rows.agg(F.min("k"), F.max("k"), F.sum(F.when(F.col("k").isNull(), F.col("w"))), F.sum("w")).first()
-    leaves: list[tuple[tuple[int, ...], float]] = []
-    cuts: dict[tuple[int, ...], tuple[float, float]] = {}
-    if lo is not None:
-        cuts[()] = (lo, hi)
-    level, k = [()], F.col("k")
-
-    def bin_of(x: Column, a: float, b: float) -> Column:
-        if not b > a:
-            return F.lit(0)
-        width = (b - a) / fine
-        return F.greatest(F.lit(0), F.least(F.lit(fine - 1), F.floor((x - F.lit(a)) / F.lit(width)).cast("int")))
-
-    def path_col(x: Column, at: tuple[int, ...]) -> Column:
-        return bin_of(x, *cuts[at])
-
+    last_weight = float(nulls or 0)
+    if lo is None:
+        return Ranges(F.lit(0), 1, [last_weight])
+    while fine < 65536 and fine * target < 4 * total:
+        fine *= 2
+    starts, widths, child = [lo], [(hi - lo) / fine], {}
+    leaves: list[tuple[float, float, int]] = []
+
+    def table(values: list, kind: str) -> Column:
+        return F.from_json(F.lit("[" + ",".join(map(repr, values)) + "]"), f"array<{kind}>")
+
+    def slot(x: Column, levels: int) -> Column:
+        """Number of the bin that x falls in, by the tables as they are now."""
+        low, wide = table(starts, "double"), table(widths, "double")
+        below = table([child.get(i, -1) for i in range(len(starts) * fine)] if child else [], "int")
+
+        def step(at: Column, _) -> Column:
+            node = at["node"]
+            spot = F.when(F.get(wide, node) > 0, F.floor((x - F.get(low, node)) / F.get(wide, node))).otherwise(0)
+            spot = node * fine + F.greatest(F.lit(0), F.least(F.lit(fine - 1), spot)).cast("int")
+            return F.when(node < 0, at).otherwise(F.struct(spot.alias("slot"), F.lit(-2).alias("node")))
+
+        def down(at: Column, _) -> Column:
+            return F.when(at["node"] == -2, F.struct(at["slot"].alias("slot"), F.coalesce(F.get(below, at["slot"]), F.lit(-1)).alias("node"))).otherwise(at)
+
+        first = F.struct(F.lit(-1).alias("slot"), F.lit(0).alias("node"))
+        # steps in turn: find the bin in the node, then the node that the bin was split into
+        both = lambda at, i: F.when(i % 2 == 0, step(at, i)).otherwise(down(at, i))
+        return F.aggregate(F.sequence(F.lit(0), F.lit(2 * levels - 2)), first, both, lambda at: at["slot"])
+
+    level_start = 0
     for d in range(depth):
-        if not level or lo is None:
-            break
-        here = F.lit(None).cast("string")
-        for at in level:
-            a, b = cuts[at]
-            inside = F.lit(True)
-            for i in range(len(at)):
-                inside = inside & (path_col(k, at[:i]) == at[i])
-            here = F.when(inside, F.concat(F.lit("/".join(map(str, at)) + "|"), path_col(k, at).cast("string"))).otherwise(here)
-        sums = rows.where(k.isNotNull()).select(here.alias("bin"), "w", "k").where("bin is not null").groupBy("bin").agg(F.sum("w"), F.min("k"), F.max("k")).collect()
-        done, level = level, []
-        for name, w, a, b in sums:
-            head, _, tail = name.partition("|")
-            at = (*(int(x) for x in head.split("/") if x), int(tail))
-            if w > target and b > a and d + 1 < depth and len(level) < 256:
-                cuts[at] = (a, b)
-                level.append(at)
+        level_end = len(starts)
+        sums = rows.where("k is not null").select(slot(F.col("k"), d + 1).alias("slot"), "w", "k").where(F.col("slot") >= level_start * fine)
+        sums = sums.groupBy("slot").agg(F.sum("w").alias("w"), F.min("k").alias("a"), F.max("k").alias("b")).collect()
+        left = 0.0
+        for r in sorted(sums, key=lambda r: -(r.w or 0)):
+            if r.w and r.w > target and r.b > r.a and d + 1 < depth and (len(starts) + 1) * fine <= most_slots:
+                child[r.slot] = len(starts)
+                starts.append(r.a)
+                widths.append((r.b - r.a) / fine)
             else:
-                leaves.append((at, w or 0.0))
+                leaves.append((r.a, r.w or 0.0, r.slot))
+                left = max(left, (r.w or 0) * (r.b > r.a))
+        if left > 2 * target:
+            warnings.warn(f"a range keeps a weight of {left:.4g} for {target:.4g}: raise the target or most_slots", stacklevel=2)
+        level_start = level_end
+        if len(starts) == level_end:
+            break
+    levels = d + 1
     leaves.sort(reverse=descending)
     number, totals = {}, []
-    for at, w in leaves:
+    for _, w, at in leaves:
         if not totals or totals[-1] + w > target:
             totals.append(0.0)
         totals[-1] += w
         number[at] = len(totals) - 1
     last = len(totals)
-    totals.append(float(nulls or 0))
-
-    def assign(at: tuple[int, ...]) -> Column:
-        x = key.cast("double")
-        # bins without rows take the number of a neighbour
-        own = [number.get((*at, i), -1) for i in range(fine)]
-        table = F.array(*[F.lit(v) for v in own]) if fine <= 64 else F.from_json(F.lit(str(own)), "array<int>")
-        out = F.get(table, bin_of(x, *cuts[at]))
-        for child in cuts:
-            if len(child) == len(at) + 1 and child[: len(at)] == at:
-                out = F.when(bin_of(x, *cuts[at]) == child[-1], assign(child)).otherwise(out)
-        return out
-
-    column = F.when(key.isNull(), F.lit(last)).otherwise(assign(())) if lo is not None else F.lit(last)
-    return Ranges(column, last + 1, totals)
-
-
-def in_ranges(df: DataFrame, name: str, count: int) -> DataFrame:
-    """Deal rows out by their range number, a range to a partition as far as they go."""
-    return df.repartition(max(1, min(count, max(parts(df.sparkSession), math.ceil(count / 4)))), name)
+    ranks = table([number.get(i, -1) for i in range(len(starts) * fine)], "int")
+    column = F.when(key.isNull(), F.lit(last)).otherwise(F.get(ranks, slot(key.cast("double"), levels)))
+    return Ranges(column, last + 1, [*totals, last_weight])
+
+
+def spark_hash(value: int) -> int:
+    """Spark's hash of an integer column, by which repartition deals rows out (Murmur3, seed 42)."""
+    rotate = lambda x, n: (x << n | x >> (32 - n)) & 0xFFFFFFFF
+    k = rotate((value & 0xFFFFFFFF) * 0xCC9E2D51 & 0xFFFFFFFF, 15) * 0x1B873593 & 0xFFFFFFFF
+    h = (rotate(42 ^ k, 13) * 5 + 0xE6546B64 & 0xFFFFFFFF) ^ 4
+    h = (h ^ h >> 16) * 0x85EBCA6B & 0xFFFFFFFF
+    h = (h ^ h >> 13) * 0xC2B2AE35 & 0xFFFFFFFF
+    h ^= h >> 16
+    return h - (1 << 32) if h >> 31 else h
+
+
+def in_ranges(df: DataFrame, name: str, ranges: Ranges) -> DataFrame:
+    """Deal rows out by their range number: neighbours together, partitions of about equal weight.
+
+    Each partition gets a number whose hash falls to it, so that no two of them meet in one."""
+    n = max(1, min(ranges.count, max(parts(df.sparkSession), math.ceil(ranges.count / 4))))
+    marks: dict[int, int] = {}
+    value = 0
+    while len(marks) < n:
+        marks.setdefault(spark_hash(value) % n, value)
+        value += 1
+    share, before, own = (sum(ranges.totals) or 1) / n, 0.0, []
+    for w in ranges.totals:
+        own.append(marks[min(n - 1, int((before + w / 2) / share))])
+        before += w
+    deal = F.get(F.from_json(F.lit(str(own)), "array<int>"), F.col(name))
+    return df.withColumn("__deal", deal).repartition(n, "__deal").drop("__deal")
 
 
 # ---------------------------------------------------------------- connected components

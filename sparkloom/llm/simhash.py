@@ -101,7 +101,7 @@ def with_successor(docs: DataFrame, rows_each: int = 4000, most_ranges: int = 10
     heads_df = keyed.join(F.broadcast(marks), (keyed.part == marks.part) & keyed.doc_id.eqNullSafe(marks.doc_id) & (keyed.tie == marks.tie), "inner").select(marks["to"].alias("part"), keyed.doc_id, "text", keyed.tie)
     heads_df = heads_df.dropDuplicates(["part"])
     both = keyed.withColumn("tail", F.lit(False)).unionByName(heads_df.withColumn("tail", F.lit(True)))
-    dealt = in_ranges(both, "part", ranges.count).sortWithinPartitions("part", "tail", F.col("doc_id").desc_nulls_last(), "tie")
+    dealt = in_ranges(both, "part", ranges).sortWithinPartitions("part", "tail", F.col("doc_id").desc_nulls_last(), "tie")
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None

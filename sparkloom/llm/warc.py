@@ -123,7 +123,7 @@ def write_archive(pages: DataFrame, folder: str, date: str = DATE, roll_bytes: i
         shard_bytes = min(SHARD_MOST, max(SHARD_BYTES, total // SHARDS))
     ranges = even_ranges(slim, F.col("page_id"), F.col("bytes") + 200, shard_bytes)
     both = pages_.unionByName(notes).withColumn("shard", ranges.column)
-    dealt = in_ranges(both, "shard", ranges.count).sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), "url", "digest", F.col("note").desc())
+    dealt = in_ranges(both, "shard", ranges).sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), "url", "digest", F.col("note").desc())
     spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(spark._jvm.org.apache.hadoop.fs.Path(folder))
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
