@@ -6,7 +6,7 @@ import re
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -65,6 +65,28 @@ def shingles(words: Column, width: int = 3) -> Column:
     return F.when(count == 0, F.array(F.array_join(words, " "))).otherwise(F.array_distinct(runs))
 
 
+def shingle_hashes(hashes: Column, width: int = 3) -> Column:
+    """Distinct 64-bit names of the runs of ``width`` words, given the words' hashes.
+
+    ``hashes`` must be a column of the frame: it is used several times."""
+    count = F.greatest(F.size(hashes) - (width - 1), F.lit(0))
+    runs = F.slice(hashes, 1, count)
+    for k in range(1, width):
+        runs = F.zip_with(runs, F.slice(hashes, k + 1, count), lambda a, b: F.xxhash64(a, b))
+    short = F.array(F.xxhash64(F.lit(width), F.size(hashes), F.get(hashes, F.lit(0)), *[F.get(hashes, F.lit(k)) for k in range(1, width - 1)]))
+    return F.when(count == 0, short).otherwise(F.array_distinct(runs))
+
+
+def with_shingles(rows: DataFrame, text: Column, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` and ``s``, the names of the normalized text's word trigrams.
+
+    Words, their hashes and the runs are columns one upon the other: each is used more than once
+    by the next, so the optimizer leaves them apart and each is computed once for a row."""
+    words = rows.select(*keep, normalize(text).alias("__n")).select(*keep, tokens(F.col("__n")).alias("__w"))
+    hashes = words.select(*keep, F.transform("__w", lambda w: F.xxhash64(w)).alias("__h"))
+    return hashes.select(*keep, shingle_hashes(F.col("__h")).alias("s"))
+
+
 def jaccard(a: Column, b: Column) -> Column:
     """Of two sets given as arrays; 1 for two empty ones."""
     union = F.size(F.array_union(a, b))

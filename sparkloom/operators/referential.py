@@ -79,14 +79,14 @@ def containment(docs: DataFrame, items: DataFrame, threshold: float, most_broadc
     """Documents that hold a share of an item's distinct word trigrams: doc_id, item_id, shared,
     item_shingles, containment.
 
-    The items' trigrams are broadcast only when a count shows them to be few; the documents'
-    side is then never shuffled before it is reduced to hits."""
-    words = lambda c: T.shingles(T.tokens(T.normalize(c)))
-    sets = items.select("item_id", words(F.col("text")).alias("s"))
+    Trigrams are 64-bit hashes from the first step on.  The items' are broadcast only when a
+    count shows them to be few; the documents' side is then never shuffled before it is reduced
+    to hits.  Beyond, the documents' trigrams are shuffled once."""
+    sets = T.with_shingles(items, F.col("text"), ["item_id"])
     flat = sets.select("item_id", F.size("s").cast("long").alias("item_shingles"), F.explode("s").alias("x"))
     if flat.count() <= most_broadcast:
         flat = F.broadcast(flat)
-    hits = docs.select("doc_id", F.explode(words(F.col("text"))).alias("x")).join(flat, "x")
+    hits = T.with_shingles(docs, F.col("text"), ["doc_id"]).select("doc_id", F.explode("s").alias("x")).join(flat, "x")
     rows = hits.groupBy("doc_id", "item_id", "item_shingles").agg(F.count("*").alias("shared"))
     rows = rows.withColumn("containment", F.col("shared") / F.col("item_shingles"))
     return rows.where(F.col("containment") >= threshold).select("doc_id", "item_id", "shared", "item_shingles", "containment")

@@ -149,9 +149,7 @@ def embedding_cosine(spark, sf_dir):
 def exact_duplicates(spark, sf_dir):
     """First occurrence of each content."""
     rows = table(spark, sf_dir, "documents").select("doc_id", C.digest(F.col("text")).alias("content"))
-    out = dedup.first_occurrence(rows, "content", "doc_id")
-    many = rows.groupBy("content").agg(F.count("*").alias("n")).where("n > 1").select("content")
-    return out.join(many.withColumn("again", F.lit(True)), "content", "left").select("doc_id", "first_id", F.coalesce("again", F.lit(False)).alias("repeated"))
+    return dedup.first_occurrence(rows, "content", "doc_id").select("doc_id", "first_id", (F.col("equal") > 1).alias("repeated"))
 
 
 @query("select sha256(text) content, count(*) n from documents group by 1 having count(*) > 1")
@@ -171,9 +169,7 @@ select a id_a, b id_b, i inter, na size_a, nb size_b from p where i / (na + nb -
 @query(NEAR_SQL)
 def lexical_near_dups(spark, sf_dir):
     """Pairs of different normalized texts at the lexical threshold, each text by its first id."""
-    n = T.normalize(F.col("text"))
-    rows = table(spark, sf_dir, "documents").select("doc_id", n.alias("n")).groupBy("n").agg(F.min("doc_id").alias("doc_id"))
-    pairs = dedup.shingle_pairs(rows, "doc_id", T.shingles(T.tokens(F.col("n"))), 0.86)
+    pairs = dedup.shingle_pairs(table(spark, sf_dir, "documents"), "doc_id", "text", 0.86)
     return pairs.select("id_a", "id_b", *[F.col(c).cast("long").alias(c) for c in ("inter", "size_a", "size_b")])
 
 
