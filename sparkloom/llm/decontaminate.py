@@ -5,6 +5,9 @@ substitutions at the ignored places.  Seeds of test items and documents are join
 hit the item and the document are laid over each other and compared token by token.  The best
 stretch scores one for an equal token and minus one for another; it is an overlap from
 ``NEED`` on, or from 0.8 of the item's tokens where that is less.
+
+An item shorter than the shortest mask has no room for ignored places: it is one seed of all its
+tokens, and an overlap wherever a document has them in a row.
 """
 
 from __future__ import annotations
@@ -17,6 +20,8 @@ MASKS = ("11101011", "110100111", "1100101011")
 NEED = 13
 #: Seeds of the test items are broadcast up to so many rows (under 100 MB with their items).
 MOST_BROADCAST = 500_000
+#: Hits of one document that are looked at together.
+HITS = 10_000
 
 
 def tokens(text: Column) -> Column:
@@ -25,28 +30,20 @@ def tokens(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def seed_array(h: Column, masks: tuple[str, ...]) -> Column:
-    """All seeds of a text as structs of place and key, as one expression over the array.
-
-    ``h`` must be a column of the frame.  Nothing is generated while the array is at hand: a
-    Generate would copy it into the row of every token."""
-    least = min(len(m) for m in masks)
-
-    def at_place(i: Column) -> Column:
-        out = []
-        for n, mask in enumerate(masks):
-            kept = [F.get(h, i + o) for o, bit in enumerate(mask) if bit == "1"]
-            out.append(F.struct(i.alias("at"), F.when(i + len(mask) <= F.size(h), F.xxhash64(F.lit(n), *kept)).alias("key")))
-        return F.array(*out)
-
-    places = F.when(F.size(h) >= least, F.sequence(F.lit(0), F.size(h) - least)).otherwise(F.array().cast("array<int>"))
-    return F.flatten(F.transform(places, at_place))
-
+def seeds(rows: DataFrame, h: str, at: str, key: str, masks: tuple[str, ...], keep: list[str], lengths: tuple[int, ...] = ()) -> DataFrame:
+    """A row for every seed of the token array ``h``: its place, key and the columns ``keep``.
 
-def seeds(rows: DataFrame, h: str, at: str, key: str, masks: tuple[str, ...], keep: list[str]) -> DataFrame:
-    """A row for every seed, with the columns ``keep``."""
-    found = rows.select(*keep, F.explode(seed_array(F.col(h), masks)).alias("seed"))
-    return found.select(*keep, F.col("seed.at").alias(at), F.col("seed.key").alias(key)).where(F.col(key).isNotNull())
+    ``lengths`` adds seeds of so many tokens in a row.  Places are generated as numbers and each
+    one's keys read from the array, all in one span of generated code; only seeds that a join
+    finds leave it."""
+    masks = (*masks, *("1" * n for n in lengths))
+    places = F.sequence(F.lit(0), F.size(h) - min(map(len, masks)))
+    rows = rows.where(F.size(h) >= min(map(len, masks))).select(*keep, h, F.explode(places).alias(at))
+    keys = []
+    for mask in masks:
+        kept = [F.get(F.col(h), F.col(at) + o) for o, bit in enumerate(mask) if bit == "1"]
+        keys.append(F.when(F.col(at) + len(mask) <= F.size(h), F.xxhash64(F.lit(mask), *kept)))
+    return rows.select(*keep, at, F.explode(F.array(*keys)).alias(key)).where(F.col(key).isNotNull())
 
 
 def best_stretch(a: Column, b: Column) -> Column:
@@ -63,17 +60,25 @@ def best_stretch(a: Column, b: Column) -> Column:
 def overlaps(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS, need: int = NEED, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """doc_id, tie (hash of the text), item_id and score of every verified overlap.
 
-    Null and empty texts and items, and items shorter than the shortest mask, have none.
-    Repeated rows count once.  The seeds of the items are broadcast when they are few, by a
-    count; otherwise both sides are shuffled.  Hits go back to the documents by id and hash."""
-    whole = items.select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text")).alias("item")).distinct()
-    test = seeds(whole, "item", "item_at", "key", masks, ["item_id"])
+    Null and empty texts and items have none.  Repeated rows count once.  The seeds of the items
+    are broadcast when they are few, by a count; otherwise both sides are shuffled.  Hits go back
+    to the documents by id and hash, at most ``HITS`` of a document in a row."""
+    least = min(map(len, masks))
+    whole = items.select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text")).alias("item")).where(F.size("item") > 0).distinct()
+    # fewer than ``least`` different numbers, however many items
+    lengths = tuple(sorted(r.n for r in whole.select(F.size("item").alias("n")).where(F.col("n") < least).distinct().collect()))
+    test = seeds(whole.where(F.size("item") >= least), "item", "item_at", "key", masks, ["item_id"])
+    for n in lengths:
+        test = test.unionByName(seeds(whole.where(F.size("item") == n), "item", "item_at", "key", (), ["item_id"], (n,)))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), tokens(F.col("text")).alias("doc"))
-    hits = seeds(rows, "doc", "doc_at", "doc_key", masks, ["doc_id", "tie"])
+    hits = seeds(rows, "doc", "doc_at", "doc_key", masks, ["doc_id", "tie"], lengths)
     hits = hits.join(F.broadcast(test) if test.count() <= most_broadcast else test, F.col("doc_key") == F.col("key"))
     # the many hits of one overlap share its shift
     hits = hits.select("doc_id", "tie", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct()
-    hits = hits.groupBy("doc_id", "tie").agg(F.collect_list(F.struct("item_id", "shift")).alias("hits")).select(F.col("doc_id").alias("d"), F.col("tie").alias("t"), "hits")
+    bundle = F.pmod(F.xxhash64("item_id", "shift"), F.ceil(F.col("n") / HITS)).alias("bundle")
+    counts = hits.groupBy("doc_id", "tie").agg(F.count("*").alias("n")).select(F.col("doc_id").alias("d"), F.col("tie").alias("t"), "n")
+    hits = hits.join(counts, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t"))).select("doc_id", "tie", bundle, "item_id", "shift")
+    hits = hits.groupBy("doc_id", "tie", "bundle").agg(F.collect_list(F.struct("item_id", "shift")).alias("hits")).select(F.col("doc_id").alias("d"), F.col("tie").alias("t"), "hits")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), "text")
     near = texts.join(hits, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t"))).select("doc_id", "tie", tokens(F.col("text")).alias("doc"), "hits")
     # per document: the span of tokens that each hit's item would lie on
@@ -88,7 +93,7 @@ def overlaps(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS,
     part = F.slice("item", F.greatest(-F.col("shift"), F.lit(0)) + 1, F.size("window"))
     found = found.select("doc_id", "tie", "item_id", F.size("item").alias("length"), F.slice("window", 1, F.size(part)).alias("window"), part.alias("part"))
     found = found.withColumn("score", best_stretch(F.col("window"), F.col("part")))
-    floor = F.least(F.lit(need), F.ceil(F.col("length") * 0.8)).cast("int")
+    floor = F.when(F.col("length") < least, F.col("length")).otherwise(F.least(F.lit(need), F.ceil(F.col("length") * 0.8)).cast("int"))
     return found.where(F.col("score") >= floor).groupBy("doc_id", "tie", "item_id").agg(F.max("score").alias("score"))
 
 

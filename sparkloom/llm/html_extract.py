@@ -25,7 +25,7 @@ from sparkloom.llm.shared import batches
 
 # Kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object canvas select button".split())
+RAW = frozenset("script style noscript template textarea title iframe svg object canvas select button annotation annotation-xml".split())
 BLOCK = frozenset("html body address article aside blockquote caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol optgroup p pre section summary table tbody td tfoot th thead tr ul search".split())
 SCOPE = frozenset("html body table td th li div section article main aside nav header footer form ul ol dl blockquote figure details fieldset dialog".split())
 TAGS = "div p h1 h2 h3 li ul table tr td article main section nav aside header footer form blockquote pre figure figcaption dl span a body".split()
@@ -348,6 +348,21 @@ def main_text(page: Page, keep: np.ndarray) -> str:
     return "\n".join(x for x in lines if x)
 
 
+#: Cue groups that speak against main text, and the mark of hidden elements.
+AGAINST = sum(1 << i for i, name in enumerate(CUES) if name != "content") | 1 << len(CUES)
+
+
+def unnamed(page: Page) -> np.ndarray:
+    """For a page of which nothing is kept: what neither is nor stands in anything named as
+    boilerplate, and is not mostly links."""
+    keep = np.zeros(len(page.tag), bool)
+    against = np.zeros(len(page.tag), bool)
+    for i, parent in enumerate(page.parent):
+        against[i] = bool(page.cues[i] & AGAINST and not page.cues[i] & 1 << 10) or parent >= 0 and against[parent]
+        keep[i] = not against[i] and 2 * page.linked[i] <= page.chars[i]
+    return keep
+
+
 def extract_texts(sources: list[str | None], model: Forest) -> list[str]:
     out: list[str] = []
     lo = 0
@@ -361,7 +376,8 @@ def extract_texts(sources: list[str | None], model: Forest) -> list[str]:
         keep = decode(model.odds(x), parent, end, own)
         at = 0
         for p in pages:
-            out.append(main_text(p, keep[at : at + len(p.tag)]))
+            text = main_text(p, keep[at : at + len(p.tag)])
+            out.append(text or main_text(p, unnamed(p)))
             at += len(p.tag)
         lo = hi
     return out
@@ -370,6 +386,9 @@ def extract_texts(sources: list[str | None], model: Forest) -> list[str]:
 # ------------------------------------------------------------- generated pages to learn from
 
 
+BARE = 0.08
+
+
 class Maker:
     """Pages of many layouts; a private-use sign marks main text, so labels need no rules."""
 
@@ -483,8 +502,24 @@ class Maker:
                 out.append(self.junk())
         return "".join(out)
 
+    def bare(self) -> str:
+        """Text without a frame: a fragment, or a body that holds its blocks itself."""
+        r = self.r
+        kind = r.random()
+        if kind < 0.2:
+            return self.paragraph()
+        if kind < 0.4:
+            inner = "".join(f"<p>{self.paragraph()}</p>" for _ in range(r.choice((1, 1, 2, 3))))
+        elif kind < 0.6:
+            inner = f"<h1>{self.good(self.words(1, 6))}</h1>{self.paragraph()}"
+        else:
+            inner = (self.junk() if r.random() < 0.4 else "") + self.body() + (self.junk() if r.random() < 0.4 else "")
+        return inner if r.random() < 0.3 else f"<html><head><title>{self.words(2, 6)}</title></head><body>{inner}</body></html>"
+
     def page(self) -> str:
         r = self.r
+        if r.random() < BARE:
+            return self.bare()
         main = r.choice(("article", "article", "main", "div", "div", "section", "td"))
         content = self.named(main, "content", 0.5 if main in ("article", "main") else 0.85) + self.body()
         content += (self.reader(r.choice(("div", "section"))) if r.random() < 0.15 else "") + f"</{main}>"
@@ -503,7 +538,7 @@ class Maker:
         return f"<html><head><title>{self.words(2, 6)}</title></head><body>{''.join(before)}{content}{''.join(after)}</body></html>"
 
 
-TRAIN_PAGES = 1200
+TRAIN_PAGES = 1300
 MODELS: dict[tuple[int, int], Forest] = {}
 
 

@@ -2,8 +2,9 @@
 
 Documents of a source come in a shuffled order, pass after pass (at most ``MAX_PASSES``
 repeats); a document's virtual finish time is its source's tokens so far, itself included,
-divided by the source's target.  The documents of all sources, range-sorted by that time, are
-taken up to the time at which the total budget is used; a document in service then is cut.
+divided by the source's target.  A source leaves the queue at time 1, when its target is served;
+its document in service then is cut.  The queue of all sources is range-sorted by finish time,
+a running sum of its words taken in that order, and cut where the total budget is used up.
 """
 
 from __future__ import annotations
@@ -11,12 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.llm.shared import stored
+from sparkloom.llm.shared import even_ranges, stored
 
 WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
 SPACE = r"[\x20\x09-\x0D]"
 LEAD = 7  # hex digits of the order key that place a document in a slice
+MOST_RANGES = 10_000
 
 
 def size_of(text):
@@ -54,22 +56,20 @@ def same(a: str, b: str):
     return F.col(a).eqNullSafe(F.col(b))
 
 
-def fair_queue(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_passes: int = MAX_PASSES, seed: str = "mix", rows_each: int = 4000, budget: float | None = None) -> tuple[DataFrame, DataFrame]:
+def fair_queue(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_passes: int = MAX_PASSES, seed: str = "mix", rows_each: int = 4000, budget: int | None = None) -> tuple[DataFrame, DataFrame]:
     """The documents (``units``) and the passes of them that the mix takes (``queue``).
 
     ``docs`` needs doc_id, text and source; null ids, sources and texts are values of their
     own.  A text without words is never taken.  Repeated rows (same id, source and text) form
     one unit of ``n`` rows.  The shuffled order is by md5 of seed, pass, id and text, so reruns
-    agree.  Running sums are taken within slices of that order, about ``rows_each`` units in
-    each, on top of the sums of the slices before: a source that holds most rows just has more
-    slices.  ``budget`` (all words by default) moves the virtual time at which the mix ends."""
+    agree; documents that finish at the same time go by that md5.  Running sums are taken
+    within slices of a source's order, about ``rows_each`` units in each, on top of the sums of
+    the slices before: a source that holds most rows just has more slices.  ``budget`` is the
+    number of words that the mix may take, all words of ``docs`` by default."""
     units = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", size_of(F.col("text")).alias("size"), F.md5(F.coalesce("text", F.lit(""))).alias("tie"))
     units = stored(units.groupBy("doc_id", "source", "tie", "size").agg(F.count("*").alias("n")), "units")
     by_source = units.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.count("*").alias("units"))
     goal = stored(targets(by_source.select("source", "source_size"), weights, max_passes), "targets")
-    end = 1.0
-    if budget is not None:
-        end = min(1.0, budget / max(1.0, goal.agg(F.sum("target")).first()[0] or 1.0))
     plan = goal.withColumnRenamed("source", "s").join(by_source.drop("source_size"), same("s", "source")).drop("source")
     plan = plan.withColumn("passes", F.ceil(F.col("target") / F.greatest(F.col("source_size"), F.lit(1))).cast("int"))
     plan = plan.select("s", "source_size", "target", "passes", F.ceil(F.col("units") / rows_each).cast("int").alias("slices"))
@@ -86,9 +86,28 @@ def fair_queue(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_passes:
     run = Window.partitionBy("source", "pass", "slice").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
     copies = copies.withColumn("so_far", F.col("before") + F.sum("words").over(run))
     copies = copies.withColumn("finish", F.col("so_far") / F.col("target"))
-    room = F.floor(F.col("target") * F.lit(end)).cast("long") - (F.col("so_far") - F.col("words"))
-    copies = copies.withColumn("taken", F.least(F.col("words"), room)).where("taken > 0")
-    return units, copies.select("doc_id", "source", "tie", "size", "n", "pass", "finish", "taken")
+    room = F.floor("target").cast("long") - (F.col("so_far") - F.col("words"))
+    copies = copies.withColumn("served", F.least(F.col("words"), room)).where("served > 0")
+    queue = stored(copies.select("doc_id", "source", "tie", "size", "n", "pass", "key", "finish", "served"), "queue")
+    return units, cut_at(queue, goal.agg(F.sum("source_size")).first()[0] or 0 if budget is None else budget, rows_each)
+
+
+def cut_at(queue: DataFrame, budget: int, rows_each: int) -> DataFrame:
+    """The queue in global order of finish time, up to ``budget`` words: ``taken`` are a row's words
+    within it, ``position`` its range of the order."""
+    rows, words = queue.agg(F.count("*"), F.sum("served")).first()
+    time = F.least("finish", F.lit(1.0))
+    ranges = even_ranges(queue, time, F.col("served"), max(1.0, (words or 0) / max(1, min(MOST_RANGES, rows // rows_each))))
+    before, total = [], 0
+    for w in ranges.totals:
+        before.append(int(total))
+        total += w
+    placed = queue.withColumn("position", ranges.column)
+    earlier = F.get(F.from_json(F.lit(str(before)), "array<bigint>"), F.col("position"))
+    run = Window.partitionBy("position").orderBy(time, "key").rowsBetween(Window.unboundedPreceding, 0)
+    placed = placed.withColumn("upto", earlier + F.sum("served").over(run))
+    placed = placed.withColumn("taken", F.least(F.col("served"), F.lit(budget) - (F.col("upto") - F.col("served"))))
+    return placed.where("taken > 0").select("doc_id", "source", "tie", "size", "n", "pass", "key", "position", "finish", "taken")
 
 
 def shares(total, n, number):
@@ -116,22 +135,23 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     names = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
     rows = rows.withColumn("tie", F.md5(F.coalesce("row.text", F.lit(""))))
-    q = queue.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("tie").alias("t"), "size", "n", "pass", "finish", "taken")
+    q = queue.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("tie").alias("t"), "size", "n", "pass", "key", "finish", "taken")
     rows = rows.join(q, F.col("row.doc_id").cast("long").eqNullSafe(F.col("d")) & F.col("row.source").eqNullSafe(F.col("s")) & (F.col("tie") == F.col("t")))
     words = F.split(F.regexp_replace("row.text", f"^{SPACE}+", ""), f"{SPACE}+")
     each = F.ceil(F.col("taken") / F.col("n")).cast("int")
     text = F.when(each < F.col("size"), F.array_join(F.slice(words, 1, each), " ")).otherwise(F.col("row.text"))
     out = [text.alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in names]
     extra = [F.col("pass").alias("mix_pass"), F.col("finish").alias("mix_finish"), F.least(each, F.col("size")).cast("long").alias("mix_words")]
-    rows = rows.select(*out, *[x for x, c in zip(extra, ("mix_pass", "mix_finish", "mix_words")) if c not in names])
-    return rows.orderBy("mix_finish", "doc_id")
+    rows = rows.select(*out, *[x for x, c in zip(extra, ("mix_pass", "mix_finish", "mix_words")) if c not in names], F.least("finish", F.lit(1.0)).alias("__time"), F.col("key").alias("__key"))
+    return rows.orderBy("__time", "__key").drop("__time", "__key")
 
 
 #: The same rows in DuckDB: the shuffled order is by md5 on both sides, and sums are of whole numbers.
 SQL = r"""
 with d as (
   select doc_id, source, md5(coalesce(text, '')) tie,
-         len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::bigint size
+         len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+'))::bigint size
   from documents),
 s as (select source, sum(size)::bigint source_size from d group by source),
 w as (select *, case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 5 when 1 then 2 else 1 end::bigint weight from s),

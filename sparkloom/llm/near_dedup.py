@@ -30,7 +30,8 @@ HASHES = BANDS * ROWS
 #: deviations below the threshold.
 SURE = 0.62
 DEPTH, WIDTH, BLOCK = 2, 1 << 17, 4096
-CELL = 2000
+#: Members, and bytes of their texts, on a side of a cell.
+CELL, CELL_BYTES = 2000, 8_000_000
 
 
 def gamma_quantiles(bits: int) -> np.ndarray:
@@ -154,7 +155,7 @@ def weighted_jaccard(left: pa.Array, right: pa.Array, shares: np.ndarray) -> np.
 
 
 def signed(docs: DataFrame, shares) -> DataFrame:
-    """doc_id, node (the text's name), sig (16 bits a sample) and bands of every row."""
+    """doc_id, node (the text's name), its bytes, sig (16 bits a sample) and bands of every row."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         sh, owner, tf, n = bags(batch.column(2))
@@ -167,9 +168,10 @@ def signed(docs: DataFrame, shares) -> DataFrame:
         short, keys = names.astype(np.uint16), keys.view(np.int64)
         for i, d in enumerate(who):
             sig[d], bands[d] = short[i].tobytes(), keys[i]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "node", "sig", "bands"])
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], batch.column(3), pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "node", "bytes", "sig", "bands"])
 
-    return batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("node"), "text"), work, "doc_id long, node string, sig binary, bands array<long>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("node"), "text", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("bytes"))
+    return batches(rows, work, "doc_id long, node string, bytes long, sig binary, bands array<long>")
 
 
 def likely(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
@@ -250,16 +252,20 @@ def contenders(members: DataFrame, roots: DataFrame) -> DataFrame:
     """The members of buckets that may link different components, in cells.
 
     In each bucket with several components the members outside its largest one (seekers) are
-    compared with all members, in cells of about CELL by CELL.  A pair counts in its first common band, and only
+    compared with all members, in cells of about CELL by CELL, and of fewer where their texts are
+    long: a worker holds a cell's texts.  A pair counts in its first common band, and only
     members of a likely pair stay."""
     rows = members.join(roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
-    rows = rows.select("band", "key", "node", "sig", F.coalesce("root", "node").alias("root"))
-    each = rows.groupBy("band", "key", "root").count()
-    open_ = each.groupBy("band", "key").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("count", "root")).alias("major"), F.sum("count").alias("size"), F.max("count").alias("top")).where("roots > 1")
+    rows = rows.select("band", "key", "node", "bytes", "sig", F.coalesce("root", "node").alias("root"))
+    each = rows.groupBy("band", "key", "root").agg(F.count("*").alias("count"), F.sum("bytes").alias("bytes"))
+    most = F.max(F.struct("count", "root", "bytes"))
+    open_ = each.groupBy("band", "key").agg(F.count("*").alias("roots"), most.alias("most"), F.sum("count").alias("size"), F.sum("bytes").alias("weight")).where("roots > 1")
+    open_ = open_.select("band", "key", F.col("most.root").alias("major"), F.col("most.count").alias("top"), F.col("most.bytes").alias("top_weight"), "size", "weight")
     rows = rows.join(open_.withColumnRenamed("band", "bd").withColumnRenamed("key", "ky"), (F.col("band") == F.col("bd")) & (F.col("key") == F.col("ky")))
     minor = F.col("root") != F.col("major")
     spot = F.xxhash64("node")
-    whole, small = F.ceil(F.col("size") / CELL).cast("int"), F.ceil((F.col("size") - F.col("top")) / CELL).cast("int")
+    sides = lambda n, b: F.greatest(F.ceil(n / CELL), F.ceil(b / CELL_BYTES)).cast("int")
+    whole, small = sides(F.col("size"), F.col("weight")), sides(F.col("size") - F.col("top"), F.col("weight") - F.col("top_weight"))
     in_all = F.transform(F.sequence(F.lit(0), small - 1), lambda i: F.struct(i.alias("i"), F.pmod(spot, whole).cast("int").alias("j"), F.lit(False).alias("seeker")))
     seeks = F.transform(F.sequence(F.lit(0), whole - 1), lambda j: F.struct(F.pmod(spot, small).cast("int").alias("i"), j.alias("j"), F.lit(True).alias("seeker")))
     rows = rows.select("band", "key", "node", "sig", "root", F.explode(F.when(minor, F.concat(in_all, seeks)).otherwise(in_all)).alias("at"))
@@ -344,10 +350,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     shares = spark.sparkContext.broadcast(shingle_shares(docs))
     rows = stored(signed(docs, shares), "signed")
-    by_node = stored(rows.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")).alias("least"), F.max("sig").alias("sig"), F.max("bands").alias("bands")), "nodes")
-    banded = by_node.where("sig is not null").select("node", "sig", F.posexplode("bands").alias("band", "key"))
+    by_node = stored(rows.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")).alias("least"), F.max("bytes").alias("bytes"), F.max("sig").alias("sig"), F.max("bands").alias("bands")), "nodes")
+    banded = by_node.where("sig is not null").select("node", "bytes", "sig", F.posexplode("bands").alias("band", "key"))
     stars = banded.groupBy("band", "key").agg(F.min("node").alias("star"), F.count("*").alias("size")).where("size > 1")
-    members = stored(banded.join(stars, ["band", "key"]).select("band", "key", "node", "sig", "star"), "members")
+    members = stored(banded.join(stars, ["band", "key"]).select("band", "key", "node", "bytes", "sig", "star"), "members")
     pairs = likely(members.where("node <> star").select(F.col("node").alias("a"), F.col("star").alias("b")).distinct(), by_node)
     pairs = stored(pairs, "pairs")
     involved = members.select("node").distinct().join(by_node.select("node", "least.doc_id"), "node").select(F.col("node").alias("n"), F.col("doc_id").alias("d"))

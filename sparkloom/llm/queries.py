@@ -18,16 +18,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after four commits: all documents inserted; copies of a text deleted but for the one
     of smallest id; that batch replayed, which changes nothing; what is left in languages other
-    than English revised to the vocabulary for many languages."""
+    than English, or in none, revised to the vocabulary for many languages.  Null ids go by their
+    text, so equal texts without an id are one document."""
     docs = table(spark, sf_dir, "documents")
     store = token_rollup.TokenRollup(spark, new_folder(spark, "rollup"))
     store.commit("insert", token_rollup.count_tokens(docs, "byte_bpe_50k"))
-    named = docs.select("doc_id", text_key(F.col("text")).alias("name"))
-    first = named.groupBy("name").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select(F.col("name").alias("f_name"), "first")
-    copies = named.join(first, (F.col("name") == F.col("f_name")) & (F.col("doc_id") > F.col("first"))).select(F.col("doc_id").cast("string").alias("key"))
+    named = docs.select("doc_id", token_rollup.key_of().alias("key"), text_key(F.col("text")).alias("name"))
+    # one key of each text stays; the others are found by key, so copies of a text need not meet
+    kept = named.groupBy("name").agg(F.min("doc_id").alias("least"))
+    kept = kept.select(F.coalesce(F.col("least").cast("string"), F.concat(F.lit("text:"), F.col("name"))).alias("key"))
+    copies = named.select("key").join(kept, "key", "left_anti")
     store.commit("drop copies", deletes=copies)
     store.commit("drop copies", deletes=copies)
-    revised = token_rollup.count_tokens(docs.where("lang <> 'en'"), "byte_bpe_multi_50k")
+    revised = token_rollup.count_tokens(docs.where("not (lang <=> 'en')"), "byte_bpe_multi_50k")
     store.commit("revise", revised.join(store.ledger().select("key"), "key", "left_semi"))
     return store.totals()
 

@@ -1,11 +1,13 @@
 """Substring dedup: runs of consecutive sentences that a document before already has.
 
-A sentence ends at a line break, or at one of .!? before white space.  From and up to every
-sentence the shortest run of at least ``RUN`` sentences and ``LEAST_WORDS`` words is hashed (its
-lower-cased words, 64 bits), and a document with fewer of either as a whole.  The hashes are
-joined over all documents, and the sentences covered by a run that occurred before, in a
-document of smaller doc_id or earlier in the same one, are removed.  The chance that any
-two of n different runs share a hash is below n**2 / 2**65.
+A sentence ends at a line break, at one of .!? before white space, or at a full stop, question
+or exclamation mark of another script.  From and up to every sentence the shortest run that has
+``RUN`` sentences and ``LEAST_WORDS`` words, or ``FULL_RUN`` sentences of any length, is hashed
+(its lower-cased words, 64 bits); a document with less is hashed as a whole.  So any passage of
+``FULL_RUN`` sentences counts, and a shorter one if it is not just a phrase or two.  The hashes
+are joined over all documents, and the sentences covered by a run that occurred before, in a
+document of smaller doc_id or earlier in the same one, are removed.  The chance that any two of
+n different runs share a hash is below n**2 / 2**65.
 """
 
 from __future__ import annotations
@@ -13,25 +15,45 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.llm.shared import Words, batches, mix64, powers, stored
+from sparkloom.llm.shared import Words, batches, even_ranges, mix64, powers, stored
 
 RUN = 2
+FULL_RUN = 4
 LEAST_WORDS = 16
 NO_ID = (1 << 63) - 1
+#: Signs that end a sentence whatever follows, besides .!? and the line break.
+OTHER_ENDS = "。！？｡．؟۔।॥։።"
+#: Positions that a range of ``numbered`` holds.
+ROWS_EACH, MOST_RANGES = 4000, 10_000
 ENDS = np.zeros(256, bool)
 ENDS[[ord(c) for c in ".!?"]] = True
 SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
 
 
+def plain_ends(texts: pa.Array) -> pa.Array:
+    """The texts with other scripts' ends as ". " or ".  ", so that no byte changes its place."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    data = texts.buffers()[2] if len(texts) else None
+    if data is None or not data.size:
+        return texts
+    raw = data.to_pybytes()
+    for sign in OTHER_ENDS:
+        code = sign.encode()
+        if code in raw:
+            texts = pc.replace_substring(texts, sign, ". ".ljust(len(code)))
+    return texts
+
+
 class Sentences:
     """The sentences of a batch: first word and text of each; ``starts`` in bytes of the text."""
 
     def __init__(self, texts: pa.Array, lower: bool):
-        self.words = w = Words(texts, lower)
+        self.words = w = Words(plain_ends(texts), lower)
         b, n = w.data, len(w.hash)
         stop = ENDS[b]
         if len(b):
@@ -45,12 +67,13 @@ class Sentences:
         self.doc = w.doc[self.first]
         self.bounds = np.searchsorted(self.doc, np.arange(w.n + 1))
 
-    def runs(self, run: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def runs(self, run: int, least: int, full: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash, first sentence and end (the sentence after the last) of every run, by first sentence.
 
         From each sentence on, and up to each sentence, the shortest run of at least ``run``
-        sentences and ``least`` words; a text that is shorter is one run.  Together they cover
-        every sentence of any passage that has as much, so no longer runs are needed."""
+        sentences and ``least`` words, or of ``full`` sentences; a text that is shorter is one
+        run.  Together they cover every sentence of any passage that has as much, so no longer
+        runs are needed."""
         w, s = self.words, len(self.first)
         if not s:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -58,11 +81,11 @@ class Sentences:
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(w.hash * up[: len(w.hash)])))
         edge = np.append(self.first, len(w.hash))
         at = np.arange(s)
-        end = np.maximum(at + run, np.searchsorted(edge, edge[at] + least))
+        end = np.maximum(at + run, np.minimum(at + full, np.searchsorted(edge, edge[at] + least)))
         keep = end <= self.bounds[self.doc + 1]
         whole = np.setdiff1d(self.doc, self.doc[keep])
         upto = at + 1
-        back = np.minimum(upto - run, np.searchsorted(edge, edge[upto] - least, side="right") - 1)
+        back = np.minimum(upto - run, np.maximum(upto - full, np.searchsorted(edge, edge[upto] - least, side="right") - 1))
         held = back >= self.bounds[self.doc]
         at = np.concatenate((at[keep], back[held], self.bounds[whole]))
         end = np.concatenate((end[keep], upto[held], self.bounds[whole + 1]))
@@ -71,12 +94,36 @@ class Sentences:
         return mix64((total[hi] - total[lo]) * down[lo] + (hi - lo).astype(np.uint64)), at, end
 
 
-def run_hashes(docs: DataFrame, run: int = RUN, least: int = LEAST_WORDS) -> DataFrame:
-    """``hash`` and ``doc`` of every different run of a document; null ids count as one last document."""
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) with ``doc``, a number of each row's own in order of doc_id.
+
+    That is the doc_id itself where none repeats and at most one is null.  Otherwise rows are
+    numbered by doc_id, null ids last, then by a hash of the text; equal rows follow each other."""
+    ids = docs.groupBy("doc_id").count().where("count > 1")
+    if ids.isEmpty():
+        return docs.withColumn("doc", F.coalesce("doc_id", F.lit(NO_ID)))
+    rows = docs.withColumn("tie", F.xxhash64(F.coalesce("text", F.lit(""))))
+    out, before = None, 0
+    for part, key in ((rows.where("doc_id is not null"), F.col("doc_id")), (rows.where("doc_id is null"), F.col("tie"))):
+        n = part.count()
+        ranges = even_ranges(part, key, F.lit(1), max(ROWS_EACH, n // MOST_RANGES))
+        starts = [before]
+        for w in ranges.totals:
+            starts.append(starts[-1] + int(w))
+        part = part.withColumn("part", ranges.column)
+        place = F.row_number().over(Window.partitionBy("part").orderBy("doc_id", "tie"))
+        part = part.select("doc_id", "text", (F.get(F.from_json(F.lit(str(starts)), "array<bigint>"), F.col("part")) + place).alias("doc"))
+        out = part if out is None else out.union(part)
+        before += n
+    return stored(out, "numbered")
+
+
+def run_hashes(docs: DataFrame, run: int = RUN, least: int = LEAST_WORDS, full: int = FULL_RUN) -> DataFrame:
+    """``hash`` and ``doc`` of every different run of each row of ``docs`` (doc, text)."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         s = Sentences(batch.column(1), True)
-        h, at, _ = s.runs(run, least)
+        h, at, _ = s.runs(run, least, full)
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         doc = s.doc[at]
         order = np.lexsort((h, doc))
@@ -85,24 +132,27 @@ def run_hashes(docs: DataFrame, run: int = RUN, least: int = LEAST_WORDS) -> Dat
         keep[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
         return pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(ids[doc[keep]])], names=["hash", "doc"])
 
-    return batches(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text"), work, "hash long, doc long")
+    return batches(docs.select("doc", "text"), work, "hash long, doc long")
 
 
-def dedup_spans(docs: DataFrame, run: int = RUN, least: int = LEAST_WORDS) -> DataFrame:
+def dedup_spans(docs: DataFrame, run: int = RUN, least: int = LEAST_WORDS, full: int = FULL_RUN) -> DataFrame:
     """doc_id, n_sentences, n_removed, n_chars (of what is left) and text of every row.
 
-    A null text counts as an empty one.  Rows of one doc_id count as one document: they repeat
-    neither each other's runs nor, as null ids, those of other null ids.  A run repeated within
-    a text is cut from its second place on."""
-    spans = stored(run_hashes(docs, run, least), "spans")
+    A null text counts as an empty one.  Of rows that share a doc_id, or have none, the one whose
+    text has the smaller hash comes first; of equal rows one keeps its text and the others lose
+    theirs.  A run repeated within a text is cut from its second place on.  Texts of any length
+    are read whole; a text without words stays as it is; an empty table gives no rows."""
+    docs = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    spans = stored(run_hashes(docs, run, least, full), "spans")
     firsts = spans.groupBy("hash").agg(F.min("doc").alias("first"), F.count("*").alias("n")).where("n > 1").select(F.col("hash").alias("h"), "first")
     cut = spans.join(firsts, (F.col("hash") == F.col("h")) & (F.col("doc") > F.col("first")))
+    # a document's own runs, so a list is no longer than its text
     cut = cut.groupBy("doc").agg(F.collect_set("hash").alias("cut")).withColumnRenamed("doc", "d")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(cut, F.coalesce("doc_id", F.lit(NO_ID)) == F.col("d"), "left").select("doc_id", "text", "cut")
+    rows = docs.join(cut, F.col("doc") == F.col("d"), "left").select("doc_id", "text", "cut")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = pc.fill_null(batch.column(1).cast(pa.large_string()), "")
-        h, at, end = Sentences(texts, True).runs(run, least)
+        h, at, end = Sentences(texts, True).runs(run, least, full)
         s = Sentences(texts, False)
         lists = batch.column(2).to_pylist()
         gone = np.zeros(len(s.first) + 1, np.int64)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import uuid
 import warnings
 from collections.abc import Callable, Iterator
 
@@ -13,75 +12,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MASK = (1 << 64) - 1
-#: For sessions on one machine that name no folder, as in tests.
-LOCAL_DIR = "/tmp/checkpoints/sparkloom"
-
-
-# ---------------------------------------------------------------- stored tables
-
-#: Folders that this process has made and not deleted yet.
-FOLDERS: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or the context's.  A
-    session on one machine without either gets one here; on a cluster that raises, as each
-    executor would write to a disk of its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        java = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if java.isDefined():
-            folder = java.get()
-        elif spark.sparkContext.master.split("[")[0] == "local":
-            spark.sparkContext.setCheckpointDir(LOCAL_DIR)
-            folder = LOCAL_DIR
-        else:
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return folder.rstrip("/")
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    FOLDERS.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
-    return FOLDERS[-1]
-
+from sparkloom.storage import FOLDERS, clean, delete_path, dispose, new_folder, path_of, shared_dir, stored
 
-def clean(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> None:
-    """Delete the folders made so far, from the ``since``-th on: to be called when the rows of all
-    queries before have been written or fetched, as results are read from these folders."""
-    for path in FOLDERS[since:]:
-        if path not in keep:
-            delete_path(spark, path)
-    FOLDERS[since:] = [x for x in FOLDERS[since:] if x in keep]
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: its lineage is cut, and a lost
-    executor costs no recomputation of what stands before it."""
-    path = new_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def path_of(df: DataFrame) -> str:
-    files = df.inputFiles()
-    return files[0].rsplit("/", 1)[0] if files else ""
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove a folder through Hadoop's file systems, wherever it is."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
-def dispose(*frames: DataFrame) -> None:
-    """Delete stored tables that nothing reads any more."""
-    for df in frames:
-        if path := path_of(df):
-            delete_path(df.sparkSession, path)
-            name = path.rsplit("/", 1)[1]
-            FOLDERS[:] = [x for x in FOLDERS if x.rsplit("/", 1)[1] != name]
+__all__ = ["FOLDERS", "clean", "delete_path", "dispose", "new_folder", "path_of", "shared_dir", "stored"]
+MASK = (1 << 64) - 1
 
 
 def parts(spark: SparkSession) -> int:

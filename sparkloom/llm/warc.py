@@ -70,8 +70,15 @@ def member(data: bytes) -> bytes:
     return z.compress(data) + z.flush()
 
 
+#: Hadoop's names of file systems that Arrow knows by others.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss", "webhdfs": "hdfs", "swebhdfs": "hdfs"}
+
+
 def file_system(path: str) -> tuple[pa.fs.FileSystem, str]:
-    return pa.fs.FileSystem.from_uri(path)
+    """The workers' way to a folder, as they have no Hadoop streams: local and mounted folders,
+    HDFS, S3, GCS and Azure.  Others, such as viewfs, raise: give the folder behind them."""
+    scheme, sign, rest = path.partition("://")
+    return pa.fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}{sign}{rest}")
 
 
 class Writer:
@@ -156,13 +163,24 @@ def write_archive(pages: DataFrame, folder: str, date: str = DATE, roll_bytes: i
 
 
 def commit(spark: SparkSession, folder: str, files: list[dict]) -> list[dict]:
+    """Put the finished files under their own names, then the manifest, which alone makes them count.
+
+    What an earlier commit that died half-way has renamed is replaced: it was never listed, or is
+    the same by content.  A folder holds one archive: writing again takes the manifest away first,
+    and readers see none until the new one is there."""
     jvm = spark._jvm
     path = lambda name: jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
     fs = path("x").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     entries = sorted(files, key=lambda f: f["file"])
+    fs.delete(path("manifest.json"), False)
     for f in entries:
+        fs.delete(path(f["file"]), False)
         if not fs.rename(path(f["temporary"]), path(f["file"])):
             raise OSError(f"cannot commit {f['file']}")
+    names = {f["file"] for f in entries}
+    for status in fs.globStatus(path("part-*")):
+        if status.getPath().getName() not in names:
+            fs.delete(status.getPath(), False)
     for status in fs.globStatus(path("tmp-*")):  # left by attempts that died
         fs.delete(status.getPath(), False)
     entries = [{k: f[k] for k in ("file", "records", "bytes", "sha256")} for f in entries]
