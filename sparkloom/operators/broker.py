@@ -8,6 +8,7 @@ leased, the token is the lease's and the lease has not run out.
 from __future__ import annotations
 
 import hashlib
+import hmac
 from collections.abc import Iterator
 
 import pandas as pd
@@ -71,6 +72,11 @@ def token_digest(token: str) -> str:
     return hashlib.sha256(token.encode()).hexdigest()
 
 
+def same_token(token: str, digest: str | None) -> bool:
+    """Whether a token is the one of a digest, in a time that does not tell how much of it is right."""
+    return digest is not None and hmac.compare_digest(token_digest(token), digest)
+
+
 class Task:
     """One task's state machine, for the batch fold and for the stream alike."""
 
@@ -88,7 +94,7 @@ class Task:
             self.state, self.digest, self.expires = "leased", token_digest(token or ""), at + seconds
             self.leases += 1
             return True
-        if action == "submit" and self.state == "leased" and self.digest == token_digest(token or "") and self.expires >= at:
+        if action == "submit" and self.state == "leased" and self.expires >= at and same_token(token or "", self.digest):
             self.state, self.answer, self.digest = "submitted", answer, None
             return True
         self.rejected += 1
@@ -101,25 +107,32 @@ class Task:
 FOLDED = "task_id string, state string, leases int, rejected int, answer string"
 
 
-def fold(events: DataFrame, seconds: float = LEASE_SECONDS) -> DataFrame:
-    """The state of every task after its events in order of (at, seq).
+def fold(events: DataFrame, seconds: float = LEASE_SECONDS, now: float | None = None) -> DataFrame:
+    """The state of every task after its events in order of (at, seq), and at the time ``now``, when
+    leases may have run out since.
 
     Sorted partitions are streamed, so a task with many events needs no more memory than one
     with few."""
 
     def run(source: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        task, now, out = None, None, []
+        task, last, out = None, None, []
+
+        def row() -> tuple:
+            if now is not None:
+                task.expire(now)
+            return last, task.state, task.leases, task.rejected, task.answer
+
         for pdf in source:
             for id, at, action, token, answer in zip(pdf.task_id, pdf["at"], pdf.action, pdf.token, pdf.answer):
-                if id != now:
+                if id != last:
                     if task is not None:
-                        out.append((now, task.state, task.leases, task.rejected, task.answer))
-                    task, now = Task(), id
+                        out.append(row())
+                    task, last = Task(), id
                 task.apply(action, at, token, answer, seconds)
             yield pd.DataFrame(out, columns=["task_id", "state", "leases", "rejected", "answer"])
             out = []
         if task is not None:
-            yield pd.DataFrame([(now, task.state, task.leases, task.rejected, task.answer)], columns=["task_id", "state", "leases", "rejected", "answer"])
+            yield pd.DataFrame([row()], columns=["task_id", "state", "leases", "rejected", "answer"])
 
     rows = events.select("task_id", "at", "seq", "action", "token", "answer")
     return rows.repartition("task_id").sortWithinPartitions("task_id", "at", "seq").mapInPandas(run, FOLDED)

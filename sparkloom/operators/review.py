@@ -81,12 +81,19 @@ def import_decisions(decided: DataFrame, selected: DataFrame, reviewers: DataFra
     return selected.drop("review").join(review, F.col("record_id") == F.col("__id")).drop("__id")
 
 
-def decide_all(selected: DataFrame, anchors: list[dict], reviewer: str, rationale: str, reviewed_at: str, acknowledged: bool, decision: str = "approved") -> DataFrame:
-    """Packets with one decision for all; the caller acknowledges what that means."""
-    if not acknowledged:
-        raise GateError("a bulk decision needs explicit acknowledgement")
+def acknowledgements(corpus_class: str, manual: bool, derivations: bool, alignment: bool) -> None:
+    """A bulk decision vouches for work that people have done: each kind is said for itself.  Fixtures
+    need none, calibration the first, production all."""
+    need = {"test_fixture": (), "calibration": ("manual review",), "production": ("manual review", "derivation verification", "behavior alignment")}[corpus_class]
+    said = {"manual review": manual, "derivation verification": derivations, "behavior alignment": alignment}
+    if lost := [x for x in need if not said[x]]:
+        raise GateError(f"a bulk decision on a {corpus_class} corpus acknowledges {', '.join(lost)}")
+
+
+def decide_all(selected: DataFrame, anchors: list[dict], reviewer: str, rationale: str, reviewed_at: str, derivations: bool, alignment: bool, decision: str = "approved") -> DataFrame:
+    """Packets with one decision for all, attested as far as the caller has acknowledged."""
     out = packets(selected, anchors)
-    values = {"decision": decision, "reviewer": reviewer, "rationale": rationale, "reviewed_at": reviewed_at, "derivation_verified": True, "behavior_alignment_verified": True}
+    values = {"decision": decision, "reviewer": reviewer, "rationale": rationale, "reviewed_at": reviewed_at, "derivation_verified": derivations, "behavior_alignment_verified": alignment}
     return out.select(*[F.lit(values[c]).alias(c) if c in values else F.col(c) for c in out.columns])
 
 

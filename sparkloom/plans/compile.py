@@ -83,7 +83,12 @@ def generate(ws: doctor.Workspace, root: str, run_id: str, outputs: DataFrame |
     wanted = provider_id or ws.config.generation.provider_id
     teacher = next(t for t in ws.rows("teachers") if t["teacher_id"] == wanted)
     if outputs is None:
-        outputs = providers.provider_for(teacher["provider"])(ws.seeds, ws.config.generation.candidates_per_seed)
+        count = ws.config.generation.candidates_per_seed
+        if teacher["provider"] == "remote":
+            hidden = {i for v in doctor.private_identifiers(ws.rows("anchors")).values() for i in v} | {s["source_id"] for s in ws.rows("sources")}
+            outputs = providers.remote(ws.seeds, count, providers.chat_client(teacher, ws.config.generation), tuple(sorted(hidden)), ws.config.generation.max_response_bytes)
+        else:
+            outputs = providers.provider_for(teacher["provider"])(ws.seeds, count)
     at = utc_now()
     read = lambda name: spark.read.parquet(f"{files.root}/{name}.parquet")
     candidates(ws.seeds, outputs, ws.config, run_id, teacher, at).write.parquet(f"{files.root}/raw.parquet")
@@ -153,6 +158,11 @@ def import_review(ws: doctor.Workspace, root: str, run_id: str, decided: DataFra
     return counts
 
 
-def approve_all(ws: doctor.Workspace, root: str, run_id: str, reviewer: str, rationale: str, acknowledged: bool) -> dict:
+def approve_all(ws: doctor.Workspace, root: str, run_id: str, reviewer: str, rationale: str, manual: bool = False, derivations: bool = False, alignment: bool = False) -> dict:
+    """One approval for all selected rows, with the acknowledgements that the corpus class asks for."""
+    kind = ws.config.release.corpus_class
+    review.acknowledgements(kind, manual, derivations, alignment)
+    fixture = kind == "test_fixture"
     selected = ws.seeds.sparkSession.read.parquet(f"{root}/runs/{run_id}/selected.parquet")
-    return import_review(ws, root, run_id, review.decide_all(selected, ws.rows("anchors"), reviewer, rationale, utc_now(), acknowledged))
+    decided = review.decide_all(selected, ws.rows("anchors"), reviewer, rationale, utc_now(), derivations or fixture, alignment or fixture)
+    return import_review(ws, root, run_id, decided)

@@ -106,3 +106,20 @@ def calibration_workspace(spark: SparkSession, size: int = 1000) -> doctor.Works
         Release("calibration-corpus", "1.0.0", "CC-BY-4.0", ("supervised fine-tuning",), ("surveillance",), "calibration"),
     )
     return workspace(spark, seeds, config, [source("SRC-PILOT-AUTHORED", "b" * 64)], {"categories": list(calibration.CATEGORIES)})
+
+
+def production(spark: SparkSession) -> doctor.Workspace:
+    """The frame of a production corpus: floors of the policy, one example seed, and a remote teacher
+    whose authorization is open."""
+    dims = {"answer_form": "concise", "category": "arithmetic", "difficulty": "introductory", "domain": "general", "evidence_mode": "deterministic", "reasoning": "direct", "risk": "ordinary", "task": "answer"}
+    seed = {
+        "seed_id": "seed-example", "lineage_id": "family-example", "question": "What is 12 multiplied by 12?", "reference_answer": "144", "dimensions": dims,
+        "verifier": {"kind": "numeric", "expected": "144", "tolerance": 1e-6, "pattern": None, "required_citation_ids": []}, "source_ids": ["SRC-SEEDS"],
+        "behavior_anchor_ids": [behavior_anchors()[0]["anchor_id"]], "generation_depth": 0,
+    }
+    config = Config(
+        Split("replace-this-salt"), Generation("remote-teacher"), Quality(target_size=30_000), Release("new-corpus", "0.1.0", "CC-BY-4.0", ("supervised fine-tuning",), ("surveillance",), "production"),
+    )
+    taxonomy = {"categories": ["arithmetic"], "domains": ["general"], "tasks": ["answer"], "reasoning": ["direct"], "answer_forms": ["concise"]}
+    open_ = teacher("remote-teacher", "remote", base_url="https://teacher.example/v1", api_key_env="TEACHER_API_KEY", authorization_status="unclear")
+    return workspace(spark, table(spark, [seed], doctor.SEEDS), config, [source("SRC-SEEDS", "a" * 64)], taxonomy, teachers=[open_])

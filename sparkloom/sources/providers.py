@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import ipaddress
 import json
+import os
 import socket
+import urllib.request
 from collections.abc import Callable, Iterator
 from urllib.parse import urlsplit
 
@@ -113,6 +115,47 @@ def check_endpoint(url: str, allow_private: bool = False, with_key: bool = False
         raise AuthorizationError("credentials are not sent to a private endpoint")
 
 
+class NoRedirect(urllib.request.HTTPRedirectHandler):
+    """A redirect could lead past the check of the endpoint."""
+
+    def redirect_request(self, *_):
+        return None
+
+
+def chat_client(teacher: dict, generation, resolve: Callable = socket.getaddrinfo, send: Callable | None = None) -> Callable[[str, int], str]:
+    """``ask`` for ``remote``: one chat-completion call a question, to a teacher of the registry.
+
+    The endpoint is checked before every call, as names may resolve to something else by then.
+    Replies are read up to the byte limit, without redirects and proxies; the key comes from the
+    worker's environment.  ``send`` (url, headers, body, timeout, most bytes) stands in for the
+    network in tests."""
+    url, key_name = teacher["base_url"], teacher.get("api_key_env")
+    private = bool(teacher.get("allow_private_endpoint"))
+    model, limits = teacher["model"], (generation.temperature, generation.max_tokens)
+    timeout, most = generation.timeout_seconds, generation.max_response_bytes
+    if not url:
+        raise ConfigurationError("a remote teacher has a base_url")
+
+    def post(url: str, headers: dict[str, str], body: bytes, timeout: float, most: int) -> bytes:
+        opener = urllib.request.build_opener(NoRedirect, urllib.request.ProxyHandler({}))
+        with opener.open(urllib.request.Request(url, body, headers), timeout=timeout) as reply:
+            return reply.read(most + 1)
+
+    def ask(question: str, count: int) -> str:
+        key = os.environ.get(key_name) if key_name else None
+        if key_name and not key:
+            raise ConfigurationError(f"{key_name} is not set")
+        check_endpoint(url, private, key is not None, resolve)
+        headers = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {key}"} if key else {})
+        body = json.dumps(chat_request(model, question, count, *limits)).encode()
+        got = (send or post)(url.rstrip("/") + "/chat/completions", headers, body, timeout, most)
+        if len(got) > most:
+            raise ValueError("a reply exceeds the byte limit")
+        return json.loads(got)["choices"][0]["message"]["content"]
+
+    return ask
+
+
 PROVIDERS: dict[str, Callable[..., DataFrame]] = {"deterministic": deterministic, "collected": collected, "remote": remote}
 
 

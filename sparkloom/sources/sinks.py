@@ -79,22 +79,32 @@ class Files:
     def write_lines(self, name: str, rows: DataFrame, line: str, order: str) -> None:
         """One file of lines in order; an empty input still makes a file.
 
-        A single task writes it after a distributed sort: these files are read whole and hashed by
-        people's tools.  Larger outputs are written by ``write_sorted_parts``."""
-        folder = f".{name}.{uuid.uuid4().hex}"
-        rows.orderBy(order).select(F.col(line).alias("value")).coalesce(1).write.text(f"{self.root}/{folder}", lineSep="\n")
-        part = next((n for n in self.names(folder) if n.startswith("part-")), None)
+        Many tasks sort and write their ranges; the files are then joined end to end, as people's
+        tools read and hash these artifacts whole.  Nothing passes through Python."""
         if self.exists(name):
-            self.delete(folder)
             raise ImmutableArtifactError(f"exists already: {name}")
-        if part is None:
-            self.write(name, "")
-        else:
-            self.rename(f"{folder}/{part}", name)
-        self.delete(folder)
+        head, _, tail = name.rpartition("/")
+        folder = f"{head}/.{tail}.{uuid.uuid4().hex}".lstrip("/")
+        self.write_sorted_parts(folder, rows, line, order)
+        whole = f"{folder}/.whole"
+        out = self.fs.create(self.path(whole), False)
+        try:
+            for part in self.names(folder):
+                if part.startswith("part-"):
+                    source = self.fs.open(self.path(f"{folder}/{part}"))
+                    try:
+                        self.spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
+                    finally:
+                        source.close()
+        finally:
+            out.close()
+        try:
+            self.rename(whole, name)
+        finally:
+            self.delete(folder)
 
     def write_sorted_parts(self, name: str, rows: DataFrame, line: str, order: str) -> None:
-        """The same over many part files, range-partitioned, in order of their names."""
+        """Lines over many part files, range-partitioned, in order of their names."""
         rows.orderBy(order).select(F.col(line).alias("value")).write.mode("errorifexists").text(f"{self.root}/{name}", lineSep="\n")
 
 

@@ -87,8 +87,15 @@ def test_review_binds(spark, built, tmp_path):
             run.import_review(ws, root, "r2", rows)
     with pytest.raises(AuthorizationError):
         run.import_review(ws, root, "r2", good.withColumn("reviewer", F.lit("stranger")))
-    with pytest.raises(GateError):
-        run.approve_all(ws, root, "r2", "demo-fixture", "x", False)
+    from sparkloom.operators.review import acknowledgements
+
+    acknowledgements("test_fixture", False, False, False)
+    for said in ((False, True, True), (True, False, True), (True, True, False)):
+        with pytest.raises(GateError, match="acknowledges"):
+            acknowledgements("production", *said)
+    with pytest.raises(GateError, match="manual review"):
+        acknowledgements("calibration", False, True, True)
+    acknowledgements("calibration", True, False, False)
     one = good.withColumn("decision", F.when(F.col("category") == "logic", "rejected").otherwise("approved"))
     assert run.import_review(ws, root, "r2", one) == {"approved": 7, "rejected": 1}
     with pytest.raises(GateError, match="below target_size"):

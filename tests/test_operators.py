@@ -185,11 +185,19 @@ def test_registered_dedup_reaches_near_duplicates_of_all_default_bands(spark, tm
 
 def test_shingle_pairs_lose_nothing(spark):
     r = random.Random(3)
-    sets = [[f"t{r.randrange(14)}" for _ in range(r.randrange(4, 12))] for _ in range(60)]
-    rows = spark.createDataFrame([(i, sorted(set(s))) for i, s in enumerate(sets)], "id int, s array<string>")
-    got = {(x.id_a, x.id_b) for x in dedup.shingle_pairs(rows, "id", F.col("s"), 0.6).collect()}
-    want = {(i, j) for i in range(60) for j in range(i + 1, 60) if len(set(sets[i]) & set(sets[j])) / len(set(sets[i]) | set(sets[j])) >= 0.6}
-    assert got == want and want
+    texts = [" ".join(f"t{r.randrange(4)}" for _ in range(r.randrange(1, 14))) for _ in range(120)]
+    texts += [texts[5].upper(), "", "...", None]
+    runs = lambda t: {tuple(t[i : i + 3]) for i in range(max(1, len(t) - 2))}
+    words = {}
+    for i, t in enumerate(texts[:-1]):
+        w = tuple(re.findall(r"\w+", t.lower()))
+        if w not in words.values():
+            words[i] = w
+    sets = {i: runs(w) for i, w in words.items()}
+    want = {(i, j): (len(sets[i] & sets[j]), len(sets[i]), len(sets[j])) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.5}
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string").where("text is not null")
+    got = {(x.id_a, x.id_b): (x.inter, x.size_a, x.size_b) for x in dedup.shingle_pairs(rows, "id", "text", 0.5).collect()}
+    assert got == want and len(want) >= 5
 
 
 # ---------------------------------------------------------------- gates and verifiers
