@@ -119,6 +119,14 @@ def scored(evaluated: DataFrame) -> DataFrame:
     return rows.withColumn("quality_score", score)
 
 
+def contenders(rows: DataFrame, per_lineage: int, lineage: str, score: str, id: str, features: list[str]) -> DataFrame:
+    """Rows that ``greedy`` can choose: of a lineage's rows with the same features it only ever takes
+    the ``per_lineage`` best, as gain depends on score and features alone.  Exact, and as few rows as
+    there are lineages by combinations of features; Spark limits ranks before the shuffle too."""
+    place = Window.partitionBy(lineage, *features).orderBy(F.col(score).desc(), F.col(id))
+    return rows.withColumn("__place", F.row_number().over(place)).where(F.col("__place") <= per_lineage).drop("__place")
+
+
 def compact_rows(rows: DataFrame, most_rows: int = MOST_ROWS) -> list:
     """All rows on the driver; raises, rather than drop any, when there are more than ``most_rows``."""
     got = rows.limit(most_rows + 1).collect()
@@ -132,6 +140,7 @@ def select(evaluated: DataFrame, quality, most_rows: int = MOST_ROWS) -> DataFra
     rows = scored(evaluated)
     spark = rows.sparkSession
     compact = rows.select("record_id", "lineage_id", "quality_score", *[f"dimensions.{d}" for d in DIMENSIONS])
+    compact = contenders(compact, quality.max_per_lineage, "lineage_id", "quality_score", "record_id", list(DIMENSIONS))
     table = [(r[0], r[1], r[2], tuple(zip(DIMENSIONS, r[3:]))) for r in compact_rows(compact, most_rows)]
     floors = [((d, v), n) for d, v, n in quality.floors()]
     chosen = spark.createDataFrame(greedy(table, quality.target_size, quality.max_per_lineage, floors), "id string, coverage_score double")

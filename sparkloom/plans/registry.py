@@ -230,7 +230,7 @@ def injection_gate(spark, sf_dir):
 _TURNS_SQL = f"""with s as (select conv_id, turn, text, {strip_sql("text")} t, string_split(text, '\n') d from conversations),
 x as (select conv_id, turn, len(t) >= 12 question_length, len(t) >= 1 answer_length,
   len(d) > 0 and len(list_filter(d, lambda y: len({strip_sql("y")}) not between 24 and 2048)) = 0 derivation_structure,
-  {FOLD_SQL.format("t")} <> {FOLD_SQL.format("t")} derivation_distinct,
+  {FOLD_SQL.format("t")} <> {FOLD_SQL.format(strip_sql("case when turn % 3 = 0 then upper(text) || chr(10) else text || ' more' end"))} derivation_distinct,
   not contains(text, 'Derivation:') and not contains(text, 'Final answer:') output_marker_collision from s)
 select * from x"""
 
@@ -242,7 +242,7 @@ def length_and_structure_gates(spark, sf_dir):
     folded = lambda c: T.casefold(T.strip(c))
     return table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", gates.length_ok(text, 12).alias("question_length"), gates.length_ok(text, 1).alias("answer_length"), gates.derivation_ok(d, 24).alias("derivation_structure"),
-        (folded(F.array_join(d, "\n")) != folded(text)).alias("derivation_distinct"), gates.marker_free(d, text).alias("output_marker_collision"),
+        (folded(F.array_join(d, "\n")) != folded(F.when(F.col("turn") % 3 == 0, F.concat(F.upper(text), F.lit("\n"))).otherwise(F.concat(text, F.lit(" more"))))).alias("derivation_distinct"), gates.marker_free(d, text).alias("output_marker_collision"),
     )
 
 
@@ -302,32 +302,32 @@ def regex_verifier_untrusted(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", verifiers.regex_untrusted(F.col("p_brand"), pattern).alias("matches"))
 
 
-@query("""select event_id, true reordered, (props->>'k')::bigint = user_id % 100 equal, false broken from events""")
+@query("""select event_id, event_id % 2 = 0 reordered, (props->>'k')::bigint = user_id % 100 equal, event_id % 3 = 0 broken from events""")
 def json_verifier(spark, sf_dir):
     """V4: structure counts, not spelling."""
     props = F.col("props")
     key = F.get_json_object(props, "$.k")
     both = F.concat(F.lit('{ "b":1.0, "a" : ['), key, F.lit("]}"))
-    other = F.concat(F.lit('{"a":['), key, F.lit('],"b":1}'))
+    other = F.concat(F.lit('{"a":['), key, F.when(F.col("event_id") % 2 == 0, F.lit('],"b":1}')).otherwise(F.lit('],"b":2}')))
+    whole = F.when(F.col("event_id") % 3 == 0, props).otherwise(F.concat(F.lit("{"), props))
     wanted = F.concat(F.lit('{"k":'), (F.col("user_id") % 100).cast("string"), F.lit("}"))
     return table(spark, sf_dir, "events").select(
-        "event_id", verifiers.json_equal(both, other).alias("reordered"), verifiers.json_equal(props, wanted).alias("equal"), verifiers.json_equal(F.concat(F.lit("{"), props), props).alias("broken")
+        "event_id", verifiers.json_equal(both, other).alias("reordered"), verifiers.json_equal(props, wanted).alias("equal"), verifiers.json_equal(whole, props).alias("broken")
     )
 
 
 @query(
-    """select doc_id, source = 'src1' or source = 'src2' cited, contains(text, '[1]') and contains(text, '[2]') marked,
-    (source = 'src1' or source = 'src2') passed from documents"""
+    """select doc_id, source in ('src1', 'src2') cited, contains(text, '[1]') and contains(text, '[2]') marked,
+    source in ('src1', 'src2') and (lang <> 'de' or contains(text, '[1]')) and (lang in ('en', 'de') or contains(text, '[2]')) passed from documents"""
 )
 def citation_verifier(spark, sf_dir):
     """V5: required ids among the cited ones, and their marks in the answer."""
     need = F.array(F.lit("src1"), F.lit("src2"))
     cited = F.when(F.col("source").isin("src1", "src2"), need).otherwise(F.array("source"))
-    none = F.array().cast("array<string>")
-    answer = F.concat(F.substring("text", 1, 0), F.lit("see [1] and [2]"))
+    mark = lambda langs, sign: F.when(F.col("lang").isin(*langs), F.lit(sign)).otherwise(F.lit(""))
+    answer = F.concat("text", F.when(F.col("lang") != "de", F.lit(" see [1]")).otherwise(F.lit("")), mark(("en", "de"), " and [2]"))
     return table(spark, sf_dir, "documents").select(
-        "doc_id", (F.size(F.array_except(need, cited)) == 0).alias("cited"), verifiers.citation(F.col("text"), need, need).alias("marked"),
-        (verifiers.citation(answer, need, cited) & verifiers.citation(F.col("text"), none, cited)).alias("passed"),
+        "doc_id", (F.size(F.array_except(need, cited)) == 0).alias("cited"), verifiers.citation(F.col("text"), need, need).alias("marked"), verifiers.citation(answer, need, cited).alias("passed"),
     )
 
 
@@ -395,10 +395,24 @@ def floor_deficits(spark, sf_dir):
     return selection.floor_deficits(coverage_counts(spark, sf_dir), floors)
 
 
-@query()
+#: A step chooses one row: of size 7 in the first three steps, by score and new values then.
+GREEDY_SQL = """with recursive p as (select p_partkey id, p_brand lin, p_size::double / 50.0::double q, p_size size, ['brand:' || p_brand, 'type:' || p_type, 'size:' || p_size] f from part),
+r as (select 0 n, []::bigint[] ids, []::varchar[] lins, []::varchar[] seen, null::bigint id, null::bigint gain
+  union all
+  select n + 1, list_append(any_value(ids), arg_max(x.id, (x.v, -x.id))::bigint), list_append(any_value(lins), arg_max(x.lin, (x.v, -x.id))),
+    list_distinct(list_concat(any_value(seen), arg_max(x.f, (x.v, -x.id)))), arg_max(x.id, (x.v, -x.id))::bigint, arg_max(x.g, (x.v, -x.id))::bigint
+  from (select r.n, r.ids, r.lins, r.seen, p.id, p.lin, p.f, len(list_filter(p.f, lambda y: not list_contains(r.seen, y))) g,
+      p.q + case when r.n < 3 then 0 else 0.02::double * len(list_filter(p.f, lambda y: not list_contains(r.seen, y))) end v
+    from r, p where r.n < 100 and not list_contains(r.ids, p.id) and len(list_filter(r.lins, lambda y: y = p.lin)) < 8 and (r.n >= 3 or p.size = 7)) x
+  group by n)
+select id p_partkey, gain::double gain from r where n > 0"""
+
+
+@query(GREEDY_SQL)
 def greedy_coverage_selection(spark, sf_dir):
-    """Floors, then greedy coverage; tested against the naive rule."""
+    """Floors, then greedy coverage."""
     rows = table(spark, sf_dir, "part").select("p_partkey", "p_brand", (F.col("p_size") / 50.0).alias("quality"), "p_type", "p_size")
+    rows = selection.contenders(rows, 8, "p_brand", "quality", "p_partkey", ["p_type", "p_size"])
     got = [(r[0], r[1], r[2], (("brand", r[1]), ("type", r[3]), ("size", r[4]))) for r in selection.compact_rows(rows)]
     chosen = selection.greedy(got, 100, 8, [(("size", 7), 3)])
     return spark.createDataFrame(chosen, "p_partkey long, gain double")
@@ -553,9 +567,22 @@ def lease_expiry_fold(spark, sf_dir):
     return broker.lease_report(events, 900)
 
 
-@query()
+#: The n-th event of all tasks at each step, so as many steps as the longest history has events.
+MACHINE_SQL = """with recursive e as (select user_id::varchar task, epoch(ts)::bigint::double sec, case when event_type in ('click', 'view') then 'lease' else 'submit' end action, value token,
+  row_number() over (partition by user_id order by epoch(ts)::bigint, event_id) n from events),
+r as (select task, 0::bigint n, 'queued' state, null::double token, 0.0::double until, 0 leases, 0 rejected from (select distinct task from e)
+  union all
+  select x.task, x.n, case when x.grant then 'leased' when x.take then 'submitted' else x.s end, case when x.grant then x.t else x.token end,
+    case when x.grant then x.sec + 900 else x.until end, leases + x.grant::int, rejected + (not x.grant and not x.take)::int
+  from (select y.*, y.action = 'lease' and y.s = 'queued' as grant, y.action = 'submit' and y.s = 'leased' and y.t is not distinct from y.token as take
+    from (select r.*, e.sec, e.action, e.token t, case when r.state = 'leased' and r.until < e.sec then 'queued' else r.state end s, e.n m from r join e on r.task = e.task and e.n = r.n + 1) z,
+      lateral (select z.task, z.m n, z.token, z.until, z.leases, z.rejected, z.sec, z.action, z.t, z.s) y) x)
+select task task_id, arg_max(state, n) state, arg_max(leases, n)::int leases, arg_max(rejected, n)::int rejected from r group by 1"""
+
+
+@query(MACHINE_SQL)
 def lease_state_machine(spark, sf_dir):
-    """The full machine as a fold, one accepted submission a task; tested against a model."""
+    """The full machine as a fold, one accepted submission a task."""
     events = table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("task_id"), seconds("ts").cast("double").alias("at"), F.col("event_id").alias("seq"), F.when(F.col("event_type").isin("click", "view"), "lease").otherwise("submit").alias("action"),
         F.col("value").cast("string").alias("token"), F.col("props").alias("answer"),
