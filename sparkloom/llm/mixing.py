@@ -129,8 +129,8 @@ def taken_by_document(docs: DataFrame, **options) -> DataFrame:
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mix itself, range-sorted by virtual finish time: the columns of ``docs`` for every
-    pass of a document, and ``mix_pass``, ``mix_finish`` and ``mix_words``.  The text of a document that the budget
-    cuts is its first ``mix_words`` words."""
+    pass of a document, and ``mix_pass``, ``mix_finish`` (1 of a document that its source's target
+    cuts) and ``mix_words``.  The text of a document that is cut is its first ``mix_words`` words."""
     units, queue = fair_queue(docs, **options)
     names = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
@@ -141,7 +141,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     each = F.ceil(F.col("taken") / F.col("n")).cast("int")
     text = F.when(each < F.col("size"), F.array_join(F.slice(words, 1, each), " ")).otherwise(F.col("row.text"))
     out = [text.alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in names]
-    extra = [F.col("pass").alias("mix_pass"), F.col("finish").alias("mix_finish"), F.least(each, F.col("size")).cast("long").alias("mix_words")]
+    extra = [F.col("pass").alias("mix_pass"), F.least("finish", F.lit(1.0)).alias("mix_finish"), F.least(each, F.col("size")).cast("long").alias("mix_words")]
     rows = rows.select(*out, *[x for x, c in zip(extra, ("mix_pass", "mix_finish", "mix_words")) if c not in names], F.least("finish", F.lit(1.0)).alias("__time"), F.col("key").alias("__key"))
     return rows.orderBy("__time", "__key").drop("__time", "__key")
 

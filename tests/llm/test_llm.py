@@ -4,7 +4,7 @@ import hashlib
 import html
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +49,38 @@ def empty(spark):
 # ---------------------------------------------------------------- shared
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_even_ranges(spark, descending):
+    """Ids that lie dense, far out, repeated and missing: exact weights, in order, none too heavy but by one id."""
+    r = random.Random(2)
+    ids = [r.randrange(10**6) for _ in range(6000)] + [10**17 + r.randrange(100) * 1000 for _ in range(1000)] + [5] * 700 + [None] * 30
+    rows = spark.createDataFrame([(i, 1 + (i or 0) % 3) for i in ids], "k long, w long")
+    ranges = shared.even_ranges(rows, F.col("k"), F.col("w"), 300, descending=descending)
+    placed = shared.in_ranges(rows.withColumn("p", ranges.column), "p", ranges)
+    got, parts_of = defaultdict(list), defaultdict(set)
+    for x in placed.withColumn("part", F.spark_partition_id()).collect():
+        got[x.p].append(x)
+        parts_of[x.p].add(x.part)
+    assert {p: sum(x.w for x in v) for p, v in got.items()} == {p: w for p, w in enumerate(ranges.totals) if w}
+    assert all(len(v) == 1 for v in parts_of.values()) and {x.k for x in got[ranges.count - 1]} == {None}
+    spans_ = [(min(x.k for x in v), max(x.k for x in v)) for _, v in sorted(got.items()) if v[0].k is not None]
+    for (a, b), (c, d) in zip(spans_, spans_[1:]):
+        assert d < a if descending else b < c
+    assert all(w <= 300 or len({x.k for x in got[p]}) == 1 for p, w in enumerate(ranges.totals[:-1]))
+    assert [shared.spark_hash(v) for v in range(50)] == [x[0] for x in spark.range(50).select(F.hash(F.col("id").cast("int"))).collect()]
+
+
+def test_shared_folder(spark, tmp_path):
+    kept = list(shared.FOLDERS)
+    df = shared.stored(spark.range(5).toDF("a"), "x")
+    assert df.count() == 5 and len(shared.FOLDERS) == len(kept) + 1
+    shared.clean(spark, len(kept))
+    assert shared.FOLDERS == kept
+    other = shared.stored(spark.range(3).toDF("a"), "y")
+    shared.dispose(other)
+    assert shared.FOLDERS == kept
+
+
 def test_words_and_spans():
     texts = ["Hello the World, the", "", None, "é-ü x", "the hello"]
     w = shared.Words(pa.array(texts))
@@ -137,6 +169,61 @@ def test_attempt_that_died_counts_nothing(spark, tmp_path, monkeypatch):
     assert store.totals().count() == 0 and store.commit("1", rows) and store.totals().first().tokens == 5
 
 
+def test_two_writers_count_nothing_twice(spark, tmp_path, monkeypatch):
+    schema = "key string, source string, lang string, tokenizer string, tokens long, chars long"
+    frame = lambda *x: spark.createDataFrame(list(x), schema)
+    store = token_rollup.TokenRollup(spark, str(tmp_path / "store"))
+    store.commit("1", frame(("a", "s", "en", "v1", 5, 20)))
+    write, others = token_rollup.TokenRollup._write, []
+
+    def late(self, batch, signed, log, replaces=False):
+        if not others:  # another writer revises the same document while this one works
+            others.append(1)
+            assert token_rollup.TokenRollup(spark, self.path).commit("other", frame(("a", "s", "en", "v1", 8, 30)))
+        return write(self, batch, signed, log, replaces)
+
+    with monkeypatch.context() as m:
+        m.setattr(token_rollup.TokenRollup, "_write", late)
+        assert store.commit("2", frame(("a", "s", "en", "v1", 9, 40)))
+    assert [tuple(r) for r in store.totals().collect()] == [("s", "en", "v1", 1, 9, 40)] and [e["batch"] for e in store.log()] == ["1", "other", "2"]
+    entry = {"number": 2, "batch": "x", "attempt": "y", "replaces": False}
+    assert not store._mark(entry)
+    assert store.compact()
+    store.vacuum()
+    assert [tuple(r) for r in store.totals().collect()] == [("s", "en", "v1", 1, 9, 40)] and len(list((tmp_path / "store/ledger").iterdir())) == 1
+    assert not store.commit("2", frame(("a", "s", "en", "v1", 1, 1))) and store.commit("3", deletes=spark.createDataFrame([("a",)], "key string"))
+    assert store.totals().count() == 0
+
+
+def test_rollup_query_equals_brute_force(spark, tmp_path):
+    import base64
+
+    import tiktoken
+
+    from sparkloom.llm.queries import op1_token_rollup
+
+    def code(name):
+        with open(f"{token_rollup.VOCABULARIES}/{name}.tiktoken", "rb") as f:
+            return tiktoken.Encoding(name, pat_str=token_rollup.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, special_tokens={})
+
+    codes = {n: code(n) for n in ("byte_bpe_50k", "byte_bpe_multi_50k")}
+    r = random.Random(4)
+    rows = [x for i, x in enumerate(odd_rows()) if x[0] != 5 or i % 2 == 0][:12]
+    rows = list({x[0] if x[0] is not None else ("text", x[1]): x for x in rows}.values())
+    rows += [(100 + i, r.choice(["same one", "other one", prose(r, 2)]), r.choice(["en", "de", None]), r.choice(["a", None]), 1) for i in range(40)] + [(None, "same one", "de", "a", 1)]
+    spark.createDataFrame(rows, DOC).write.parquet(str(tmp_path / "documents.parquet"))
+    kept = {}
+    for id, t, lang, source, _ in sorted(rows, key=lambda x: (x[0] is None, x[0] or 0)):
+        kept.setdefault(t or "", (id, t, lang, source))
+    want = defaultdict(lambda: [0, 0, 0])
+    for _, t, lang, source in kept.values():
+        name = "byte_bpe_50k" if lang == "en" else "byte_bpe_multi_50k"
+        for i, n in enumerate((1, len(codes[name].encode_ordinary(t or "")), len(t or ""))):
+            want[source, lang, name][i] += n
+    got = {(x.source, x.lang, x.tokenizer): [x.documents, x.tokens, x.chars] for x in op1_token_rollup(spark, str(tmp_path)).collect()}
+    assert got == dict(want)
+
+
 def test_token_counts(spark, odd, empty):
     import base64
 
@@ -153,21 +240,22 @@ def test_token_counts(spark, odd, empty):
 # ---------------------------------------------------------------- 2 sentence spans
 
 
-def brute_spans(rows, run=sentence_spans.RUN, least=sentence_spans.LEAST_WORDS):
-    """Plain sets and strings; ids distinct."""
-    seen, out = set(), {}
-    for id, text in sorted(rows):
-        parts = [p for p in re.findall(r".*?(?:[.!?](?=\s)|\n|\Z)\s*", text, re.S) if re.search(r"\w", p)]
+def brute_spans(rows, run=sentence_spans.RUN, least=sentence_spans.LEAST_WORDS, full=sentence_spans.FULL_RUN):
+    """All runs of enough sentences and words, as plain sets and strings; ``rows`` in order."""
+    seen, out = set(), []
+    for text in rows:
+        parts = [p for p in re.findall(r".*?(?:[.!?](?=\s)|[。！？؟।]|\n|\Z)\s*", text, re.S) if re.search(r"\w", p)]
         words = [re.findall(r"\w+", p.lower()) for p in parts]
-        lost, own = set(), set()
-        for i in range(len(parts) - run + 1):
-            key = tuple(w for x in words[i : i + run] for w in x)
-            if len(key) >= least:
-                if key in seen or key in own:
-                    lost |= set(range(i, i + run))
-                own.add(key)
+        n, lost, own = len(parts), set(), set()
+        flat = lambda i, j: tuple(w for x in words[i:j] for w in x)  # noqa: E731, B023
+        runs = [(i, j) for i in range(n) for j in range(i + run, n + 1) if len(flat(i, j)) >= least or j - i >= full]
+        for i, j in runs or ([(0, n)] if n else []):
+            key = flat(i, j)
+            if key in seen or key in own:
+                lost |= set(range(i, j))
+            own.add(key)
         seen |= own
-        out[id] = "".join(p for i, p in enumerate(parts) if i not in lost)
+        out.append("".join(p for i, p in enumerate(parts) if i not in lost))
     return out
 
 
@@ -182,7 +270,7 @@ def test_sentence_spans(spark):
         if i % 7 == 0:
             parts += [parts[0], parts[0]]
         rows.append((i, " ".join(parts) if i % 2 else "\n".join(parts)))
-    want = brute_spans(rows)
+    want = dict(zip((i for i, _ in rows), brute_spans([t for _, t in rows])))
     got = {x.doc_id: x for x in sentence_spans.dedup_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert {k: v.text.strip() for k, v in got.items()} == {k: v.strip() for k, v in want.items()}
     assert sum(x.n_removed > 0 for x in got.values()) >= 12 and shared_passage[:40] in got[0].text
@@ -208,23 +296,41 @@ def test_sentence_spans_cover_what_any_run_covers():
     r = random.Random(10)
     texts = ["\n".join(" ".join(r.choice(WORDS) for _ in range(r.choice((1, 1, 2, 5, 18)))) for _ in range(r.randrange(1, 20))) for _ in range(60)]
     s = sentence_spans.Sentences(pa.array(texts), True)
-    _, at, end = s.runs(2, 16)
+    _, at, end = s.runs(2, 16, 4)
     found = set(zip(at.tolist(), end.tolist()))
     n = np.append(s.first, len(s.words.hash))
     for d in range(len(texts)):
         lo, hi = s.bounds[d], s.bounds[d + 1]
         for a in range(lo, hi):
             for b in range(a + 2, hi + 1):
-                if n[b] - n[a] >= 16:
+                if n[b] - n[a] >= 16 or b - a >= 4:
                     assert {k for x, y in found if a <= x and y <= b for k in range(x, y)} == set(range(a, b))
-        if hi - lo < 2 or n[hi] - n[lo] < 16:
+        if hi - lo < 2 or n[hi] - n[lo] < 16 and hi - lo < 4:
             assert {(x, y) for x, y in found if lo <= x < hi} == {(lo, hi)}
 
 
+def test_sentence_spans_of_other_scripts(spark):
+    chinese, arabic, hindi = "今天天气很好。我们去公园吧！你来吗？好的。", "كيف حالك؟ أنا بخير۔ شكرا؟ مع السلامة۔", "यह पहला है। यह दूसरा है। यह तीसरा है॥ यह चौथा है।"
+    rows = [(1, chinese), (2, f"别的句子。{chinese}最后一句。"), (3, arabic), (4, f"سؤال آخر؟ {arabic}"), (5, hindi), (6, f"अलग वाक्य। {hindi}")]
+    got = {x.doc_id: x for x in sentence_spans.dedup_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i].n_removed for i in range(1, 7)] == [0, 4, 0, 4, 0, 4] and got[2].text == "别的句子。最后一句。" and got[6].text == "अलग वाक्य। "
+
+
+def test_sentence_spans_of_repeated_and_missing_ids(spark):
+    r = random.Random(12)
+    shared_passage = " ".join(sentence(r, 8, 12) for _ in range(3))
+    texts = [f"{sentence(r)} {shared_passage} {sentence(r)}" for _ in range(4)] + [prose(r, 3)]
+    rows = [(7, texts[0]), (7, texts[1]), (None, texts[2]), (None, texts[3]), (8, texts[4]), (8, texts[4]), (8, texts[4]), (None, texts[4]), (None, ""), (None, None)]
+    got = sentence_spans.dedup_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows) and sum(shared_passage[:50] in x.text for x in got) == 1 and {x.doc_id for x in got if shared_passage[:50] in x.text} == {7}
+    assert sorted(x.text for x in got if x.doc_id == 8) == ["", "", texts[4]] and sum(x.text == texts[4] for x in got) == 1
+
+
 def test_sentence_spans_odd(odd, empty):
     got = sentence_spans.dedup_spans(odd).collect()
     assert len(got) == len(odd_rows())
     assert {x.doc_id: x.n_chars for x in got if x.doc_id in (3, 4)}[4] < 20_000 and all(x.text == "" for x in got if x.doc_id in (1, 2))
+    assert sorted(x.text for x in got if x.doc_id == 5) == ["", "", "same id, other text", "same text again"]
     assert sentence_spans.dedup_spans(empty).count() == 0
 
 
@@ -380,30 +486,35 @@ def test_pages_of_unseen_layouts(model):
     assert exact >= 135
 
 
-def test_decoding_never_contradicts():
+def test_decoding_is_the_best_consistent_choice():
+    """Against all ways to call each node main, boilerplate or mixed."""
     rng = np.random.default_rng(1)
-    for _ in range(200):
-        n = int(rng.integers(2, 30))
-        parent = np.array([-1] + [int(rng.integers(max(0, i - 4), i)) for i in range(1, n)])
-        stack_ok = [-1]
+    for _ in range(150):
+        n = int(rng.integers(2, 9))
         parent = [-1]
         for i in range(1, n):
-            stack_ok = stack_ok if i == 1 else stack_ok
-            chain, p = [i - 1], parent[i - 1]
-            while p >= 0:
-                chain.append(p)
-                p = parent[p]
+            chain = [i - 1]
+            while parent[chain[-1]] >= 0:
+                chain.append(parent[chain[-1]])
             parent.append(int(rng.choice(chain)))
         parent = np.array(parent)
         end = np.array([max([i] + [j for j in range(i + 1, n) if i in ancestors(parent, j)]) + 1 for i in range(n)])
-        odds, own = rng.normal(0, 3, n), rng.integers(0, 200, n)
+        odds, own = rng.normal(0, 3, n), rng.choice([0, 5, 200], n)
         keep = html_extract.decode(odds, parent, end, own)
         score = np.clip(odds, -6, 6) * np.where(own > 0, 1 + np.log1p(own), 0.5)
-        assert keep.dtype == bool and len(keep) == n
-        if (score > 0).all():
-            assert keep.all()
-        if (score < 0).all():
-            assert not keep.any()
+
+        def best(i):
+            """Value and kept nodes of the subtree at i."""
+            kids = [j for j in range(n) if parent[j] == i]
+            whole = float(score[i : end[i]].sum())
+            sure = (abs(whole), {j for j in range(i, end[i])} if whole > 0 else set())
+            parts = [best(j) for j in kids]
+            mixed = (abs(score[i]) * (own[i] > 0) - html_extract.MIXED_COST + sum(v for v, _ in parts), set().union(*(k for _, k in parts), {i} if score[i] > 0 else set()))
+            return sure if sure[0] >= mixed[0] - 1e-12 else mixed
+
+        want = best(0)[1]
+        text = lambda nodes: {j for j in nodes if own[j] > 0}  # noqa: E731, B023
+        assert text(np.flatnonzero(keep).tolist()) == text(want), (parent, odds, own)
 
 
 def ancestors(parent, j):
@@ -424,6 +535,38 @@ def test_html_cases(spark, model):
     assert got[2].text == got[3].text == "" and got[2].n_chars == 0 and got[1].n_chars == len(got[1].text)
 
 
+#: Pages as people write them, and what is to come out; none is from a table or from the generator.
+LONG = "The river rose by two metres overnight, and the lower fields stood under water until noon."
+GOLD = [
+    ("just a line of text", "just a line of text"), ("<p>One paragraph, and that is the whole page.</p>", "One paragraph, and that is the whole page."),
+    (f"<html><body><h1>Flood</h1>{LONG} Nobody was hurt.</body></html>", f"Flood\n{LONG} Nobody was hurt."),
+    ("<div>" * 3000 + "deep down", "deep down"),
+    (f"<article><h2>Energy</h2><p>{LONG}</p><p>It holds that <math><mi>E</mi><mo>=</mo><mn>2</mn></math> here.</p></article>", f"Energy\n{LONG}\nIt holds that E=2 here."),
+    (f"<!doctype html><body><div id='nav-menu'><a href='/'>Home</a> <a href='/news'>News</a></div><main><h1>Flood</h1><p>{LONG}</p><p>{LONG}</p></main><div class='comment-list'><p>Great read, thanks for it!</p></div><div class='cookie-banner'>We use cookies to improve the site.</div></body>", f"Flood\n{LONG}\n{LONG}"),
+    (f"<table><tr><td><ul><li><a href=a>A</a><li><a href=b>B</a></ul></td><td class=content><p>{LONG}<p>A &lt;b&gt; &amp; c&nbsp;d &#8364;5</td></tr></table>", f"{LONG}\nA <b> & c d €5"),
+    (f"<section><p>{LONG}</p><!-- <p>hidden</p> --><script>document.write('<p>x</p>')</script><p>  spread\n\t over   lines </p></section>", f"{LONG}\nspread over lines"),
+    (f"<body><article><p>{LONG}</p><aside class='newsletter-signup'><form><label>Mail</label><input><button>Join</button></form></aside><p>{LONG}</p></article><footer>© 2024 Example. All rights reserved.</footer></body>", f"{LONG}\n{LONG}"),
+    (f"<body><article><h1>List</h1><ul><li>First thing to do today</li><li>Second thing, rather later</li></ul><p>{LONG}</p></article></body>", f"List\nFirst thing to do today\nSecond thing, rather later\n{LONG}"),
+    ("<nav><a href=1>Home</a></nav><footer>imprint</footer>", ""), ("", ""), (None, ""),
+]
+
+
+def test_hand_written_pages(spark, model):
+    rows = [(i, f"u{i}", h) for i, (h, _) in enumerate(GOLD)] * 2
+    docs = spark.createDataFrame(rows, "page_id int, url string, html string").withColumns({"text": F.lit("mine"), "n_chars": F.lit(1)})
+    got = html_extract.extract(docs, model).collect()
+    assert len(got) == len(rows)
+    for x in got:
+        assert (x.text, x.n_chars) == (GOLD[x.page_id][1], len(GOLD[x.page_id][1])), GOLD[x.page_id][0]
+
+
+def test_long_pages_are_read_whole(model):
+    r = random.Random(5)
+    paragraphs = [prose(r, 6) for _ in range(1500)]
+    source = f"<body><nav><a href=1>Home</a></nav><article>{''.join(f'<p>{p}</p>' for p in paragraphs)}</article><footer>x</footer></body>"
+    assert html_extract.extract_texts([source], model) == ["\n".join(paragraphs)]
+
+
 # ---------------------------------------------------------------- 6 decontamination
 
 
@@ -452,18 +595,19 @@ def test_contamination(spark):
             at = r.randrange(len(words))
             words[at:at] = item[: r.choice((6, 14, 30, 99))]
         rows.append((i, " ".join(words)))
-    rows += [(60, None), (61, ""), (None, items[0][1])]
+    rows += [(60, None), (61, ""), (None, items[0][1]), (62, f"{rows[1][1]} Too short! kaba"), (63, "short too"), (64, "it is TOO, short")]
     docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     for most in (500_000, 0):
         got = {x.doc_id: x for x in decontaminate.contamination(docs, bench, most_broadcast=most).collect()}
         assert len(got) == len(rows)
         for id, text in rows:
             scores = {i: brute_overlap(text or "", t or "") for i, t in items}
-            want = {i: s for i, (s, n) in scores.items() if n >= 8 and s >= min(decontaminate.NEED, -(-n * 4 // 5))}
+            # short items count only as a whole
+            want = {i: s for i, (s, n) in scores.items() if n and s >= (n if n < 8 else min(decontaminate.NEED, -(-n * 4 // 5)))}
             if got[id].contaminated:
                 assert want[got[id].item_id] == got[id].score
             else:  # seeds may miss an overlap that many substitutions barely let pass
-                assert not want or max(want.values()) <= decontaminate.NEED + 4, (id, want)
+                assert not want or 8 not in want and max(want.values()) <= decontaminate.NEED + 4, (id, want)
     kept = {x.doc_id for x in decontaminate.drop_contaminated(docs, bench).collect()}
     assert kept == {k for k, v in got.items() if not v.contaminated}
 
@@ -529,6 +673,90 @@ def test_permutations_are_bijections():
 PII = "Mail ANN.LEE@Corp-X.de or ann.lee@corp-x.de, +1 (415) 555-1234, 4111 1111 1111 1111, 4111111111111111, 9.8.7.6, 123-45-6789, DE89370400440532013000. Ask Mrs. Anna Müller; Mr Иван Петров; password=hunter2xy end"
 
 
+def test_every_address_and_number_has_a_surrogate():
+    r = random.Random(16)
+    heads = [lambda: (r.randrange(224, 256), r.randrange(256)), lambda: (r.choice((0, 10, 127)), r.randrange(256)), lambda: (192, 168), lambda: (169, 254), lambda: (172, r.randrange(256)), lambda: (r.randrange(256), r.randrange(256))]
+    seen = {}
+    for k in range(3000):
+        a = ".".join(map(str, (*heads[k % 6](), r.randrange(256), r.randrange(256))))
+        b = surrogates.surrogate(b"k", "ipv4", a, "", 0)
+        assert [len(x) for x in a.split(".")] == [len(x) for x in b.split(".")] and all(int(x) < 256 for x in b.split("."))
+        kinds = [surrogates.address_class(*map(int, x.split(".")[:2])) for x in (a, b)]
+        assert kinds[0] == kinds[1] and seen.setdefault(b, a) == a
+    for k in range(500):
+        a = f"{r.randrange(1000):03d}-{r.randrange(100):02d}-{r.randrange(10_000):04d}" if k % 5 else r.choice(("000-12-3456", "666-01-0001", "900-00-0000", "123-00-1111", "001-01-0000"))
+        b = surrogates.surrogate(b"k", "ssn", a, "", 0)
+        good = lambda s: s[:3] in surrogates.AREAS and s[4:6] != "00" and s[7:] != "0000"
+        assert good(a) == good(b) and re.fullmatch(r"\d{3}-\d\d-\d{4}", b)
+    for a in ("+14155551234", "+10175557713", "+49301234567", "+33012345678", "4155551234", "0155512345"):
+        assert re.fullmatch(r"\+?\d+", b := surrogates.surrogate(b"k", "phone", a, "", 0)) and len(a) == len(b)
+    # a small class as a whole: a permutation
+    small = [f"127.{x}.{y}.1" for x in range(10) for y in range(10)]
+    assert len({surrogates.surrogate(b"k", "ipv4", a, "", 0) for a in small}) == 100
+
+
+V6 = ["2001:db8::8a2e:370:7334", "fe80::1ff:fe23:4567:890a", "2001:0DB8:0000:0042:0000:8A2E:0370:7334", "2620:1ec:c11::200"]
+
+
+def test_addresses_of_version_six():
+    import ipaddress
+
+    for a in V6:
+        [(lo, hi, kind, entity, _)] = surrogates.found(f"at {a}, now")
+        new = surrogates.dressed(kind, a, surrogates.surrogate(b"k", kind, entity, "", 0))
+        assert kind == "ipv6" and new != a and len(new) == len(a) and new.count(":") == a.count(":") and ipaddress.IPv6Address(new) and new.split(":")[0] == a.split(":")[0]
+    for t in ("at 12:30:45", "std::dead1 ::", "a::b1", "1:2", "x::1"):
+        assert not surrogates.found(t)
+
+
+def test_names_in_a_text_agree(spark):
+    text = "Mr. John Smith called. Smith's car, MR JOHN SMITH, Dr Smith and john smith; Smithers. Г-н Иванов и госпожа Иванова. Prof. J. O'Brien-Lee, Mrs Anna Lee."
+    docs = spark.createDataFrame([(1, text), (2, "Dr. Smith and John went; Mr John Brown too."), (3, "Smith alone, John alone.")], "doc_id long, text string")
+    out = {x.doc_id: x.text for x in surrogates.replace_pii(docs).collect()}
+    m = re.fullmatch(r"Mr\. (\S+) (\S+) called\. (\S+)'s car, MR (\S+) (\S+), Dr (\S+) and john smith; Smithers\. Г-н (\S+) и госпожа (\S+)\. Prof\. [A-Z]\. (\S+), Mrs (\S+) (\S+)\.", out[1])
+    given, family = m[1], m[2]
+    assert m and family == m[3] == m[6] and (m[4], m[5]) == (given.upper(), family.upper()) and family != "Smith" and given != "John"
+    assert [m[7].endswith(e) for e, _ in surrogates.PAIRS["cyrillic"]] == [m[8].endswith(e) for _, e in surrogates.PAIRS["cyrillic"]] and m[7][:4] == m[8][:4]
+    assert re.fullmatch(rf"Dr\. {family} and {given} went; Mr {given} \S+ too\.", out[2]) and out[3] == "Smith alone, John alone."
+
+
+def brute_replace(texts, key=surrogates.KEY):
+    """The rule in plain dictionaries: rounds of draws, the smallest entity keeps a contested one."""
+    known = {x[2:] for t in texts for x in surrogates.found(t or "")}
+    real = {x[:2] for x in known if x[0] != "given"}
+    sizes, settled, open_ = Counter((x[0], surrogates.shape_of(*x[:2])[0]) for x in known), {}, dict.fromkeys(known, 0)
+    while open_:
+        drawn = {x: surrogates.surrogate(key, *x, n) for x, n in open_.items()}
+        taken = {(x[0], s) for x, s in settled.items()}
+        for x in sorted(drawn, key=lambda x: (x[0], x[1], x[2])):
+            shape, room = surrogates.shape_of(*x[:2])
+            dense = sizes[x[0], shape] > room * surrogates.DENSE
+            rivals = min((y[1], y[2]) for y, s in drawn.items() if y[0] == x[0] and s == drawn[x])
+            if dense or (x[0], drawn[x]) not in taken and (x[0], drawn[x]) not in real and rivals == (x[1], x[2]):
+                settled[x] = drawn[x]
+        open_ = {x: n + 1 for x, n in open_.items() if x not in settled}
+    out = []
+    for t in texts:
+        for lo, hi, kind, entity, gender in reversed(surrogates.found(t or "")):
+            t = t[:lo] + surrogates.dressed(kind, t[lo:hi], settled[kind, entity, gender]) + t[hi:]
+        out.append(t)
+    return out, settled
+
+
+def test_surrogates_equal_brute_force(spark):
+    r = random.Random(17)
+    kinds = [
+        lambda: f"Mr. {r.choice(WORDS).capitalize()} {r.choice(WORDS).capitalize()}{r.choice(WORDS)}", lambda: f"10.0.{r.randrange(3)}.{r.randrange(10)}", lambda: f"{r.randrange(1, 256)}.{r.randrange(256)}.1.2", lambda: f"{r.choice('ab')}@{r.choice('cd')}.org",
+        lambda: f"Frau {r.choice(WORDS).capitalize()}{r.choice(WORDS)}", lambda: f"{r.randrange(100, 999)}-{r.randrange(10, 99)}-{r.randrange(1000, 9999)}", lambda: f"token={r.randrange(10**9)}", lambda: r.choice(V6), lambda: "plain",
+    ]
+    texts = [" and ".join(r.choice(kinds)() for _ in range(r.randint(0, 6))) for _ in range(300)] + [None, "", PII]
+    want, settled = brute_replace(texts)
+    docs = spark.createDataFrame([(i if i % 7 else None, t, i) for i, t in enumerate(texts)], "doc_id long, text string, number int")
+    got = {x.number: x.text for x in surrogates.replace_pii(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+    assert len({(k[0], v) for k, v in settled.items()}) == len(settled)
+
+
 def test_surrogates_keep_shape_and_reference(spark):
     docs = spark.createDataFrame([(1, PII, 5), (2, "again: ann.lee@corp-x.de and 9.8.7.6", 5), (3, "clean text, 12 of them at 3.5", 5), (4, None, None), (5, "", 0)], "doc_id long, text string, n_chars long")
     out = {x.doc_id: x for x in surrogates.replace_pii(docs).collect()}
@@ -547,16 +775,13 @@ def test_surrogates_keep_shape_and_reference(spark):
 
 
 def test_names_stay_distinct(spark):
-    docs = spark.createDataFrame([(i, f"Mr. {a}{b} and Herr {a}{b} met Mrs {b.capitalize()}{a.lower()}.") for i, (a, b) in enumerate((x.capitalize(), y) for x in WORDS for y in WORDS[:20])], "doc_id long, text string")
+    docs = spark.createDataFrame([(i, f"Mr. {a}{b} and Herr {a}{b} met Mrs {b.capitalize()} {a}.") for i, (a, b) in enumerate((x.capitalize(), y) for x in WORDS for y in WORDS[:20])], "doc_id long, text string")
     got = surrogates.assign(docs).collect()
     assert len({(x.kind, x.surrogate) for x in got}) == len(got) and max(x.attempt for x in got) >= 1
-    assert not {x.surrogate for x in got} & {x.entity for x in got}
-    new = {(x.gender, x.entity): x.surrogate for x in got}
+    assert not {x.surrogate for x in got if x.kind == "family"} & {x.entity for x in got}
     for x in surrogates.replace_pii(docs).limit(200).collect():
-        old = dict((r[0], r[1]) for r in docs.where(f"doc_id = {x.doc_id}").collect())[x.doc_id]
         a, b = re.findall(r"(?:Mr\.|Herr) (\S+)", x.text)
-        assert a == b == new["male", re.search(r"Mr\. (\S+)", old)[1]]
-        break
+        assert a == b
 
 
 def test_entities_without_digits(spark):
@@ -656,6 +881,28 @@ def test_toxicity_odd(spark, odd, empty):
     assert toxicity.toxicity(empty, labels).count() == 0 and toxicity.drop_toxic(odd, labels.limit(0)).columns == odd.columns
 
 
+def test_scores_equal_brute_force():
+    """Every window's mean over its grams' embeddings, from the embeddings themselves."""
+    r = random.Random(18)
+    texts = [prose(r, 3) for _ in range(12)] + ["", "one", "Ünïcödé wörds, twice; ünïcödé", "a" * 5000, "x y " * 700]
+    m = toxicity.train(texts[:12], np.arange(12) % 2, epochs=2)
+
+    def grams(word):
+        raw = b"#" + word + b"#"
+        parts = [raw[i : i + n] for n in toxicity.GRAMS for i in range(len(raw) - n + 1) if raw[i] & 0xC0 != 0x80]
+        code = lambda g: sum(int(shared.BYTE_CODE[b]) * pow(0x100000001B3, len(g) - 1 - k, 1 << 64) for k, b in enumerate(g)) + len(g)
+        return [int(shared.mix64(np.array([code(g) & shared.MASK], np.uint64))[0]) % toxicity.BUCKETS for g in parts]
+
+    for t, got in zip(texts, toxicity.odds(pa.array(texts), m)):
+        w = shared.Words(pa.array([t]))
+        words = [[int(h) % toxicity.BUCKETS, *grams(w.data[s:e].tobytes())] for h, s, e in zip(w.hash.tolist(), w.start, w.end)]
+        step, width = toxicity.WINDOW // 2, toxicity.WINDOW
+        starts = range(0, max(1, len(words) - step), step) if words else []
+        z = [m.bias + m.vectors[[g for x in words[i : i + width] for g in x]].mean(axis=0) @ m.weights for i in starts]
+        want = max((float(v[1] - v[0]) for v in z), default=m.offset)
+        assert got == pytest.approx(want, abs=1e-4), t[:40]
+
+
 def test_scores_do_not_depend_on_the_batch():
     r = random.Random(14)
     texts = [prose(r, 5) for _ in range(20)] + ["", "a"]
@@ -705,3 +952,31 @@ def test_mixing(spark, odd, empty):
     assert [x.mix_finish for x in out] == sorted(x.mix_finish for x in out)
     assert sum(x.mix_words for x in out) == sum(x.taken for x in got)
     assert mixing.mix(odd).columns[: len(odd.columns)] == odd.columns
+
+
+def test_the_queue_is_cut_at_the_budget(spark):
+    """All sources in one order of finish time, and the first so many words of it."""
+    r = random.Random(19)
+    rows = [(i, prose(r, r.randint(1, 5)), f"s{i % 3}") for i in range(200)] + [(7, rows_text := prose(r, 2), "s1"), (7, rows_text, "s1"), (None, prose(r, 2), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    whole = mixing.taken_by_document(docs, rows_each=9).collect()
+    total = sum(x.size for x in whole)
+    units, queue = mixing.fair_queue(docs, rows_each=9)
+    order = sorted(queue.collect(), key=lambda x: (min(x.finish, 1.0), x.key))
+    assert sorted({x.position for x in order}) == [x for x in range(max(y.position for y in order) + 1)] and [x.position for x in order] == sorted(x.position for x in order)
+    assert sum(x.taken for x in order) == sum(x.taken for x in whole) <= total
+    for budget in (0, 1, total // 3, total // 2, total - 1, total, 2 * total):
+        left, want = budget, {}
+        for x in order:
+            n = min(x.taken, left)
+            left -= n
+            if n:
+                want[x.key] = n
+        _, cut = mixing.fair_queue(docs, rows_each=9, budget=budget)
+        got = {x.key: x.taken for x in cut.collect()}
+        assert got == want and sum(got.values()) == min(budget, sum(x.taken for x in order))
+    # half of the budget is near half of each source's target
+    half = mixing.taken_by_document(docs, rows_each=9, budget=total // 2).collect()
+    for s in {x.target for x in half}:
+        some = [x for x in half if x.target == s]
+        assert abs(sum(x.taken for x in some) - s / 2) <= 2 * max(x.size for x in some) + total / 50

@@ -65,3 +65,33 @@ def test_run(spark, folder):
     again = corpus_pipeline.run(spark, path)
     pick = lambda df: sorted(tuple(r) for r in df.select("doc_id", "mix_pass", "mix_words", F.md5("text")).collect())
     assert pick(out) == pick(again) and pick(out)
+
+
+def test_odd_rows_through_every_stage(spark, tmp_path):
+    """Nulls in every column, empty and long texts, ties, repeated rows, further columns, empty tables."""
+    from tests.llm.test_llm import DOC, odd_rows
+
+    path = str(tmp_path)
+    names = ("node", "size", "n", "key", "tie", "score", "row", "d", "t", "root", "hits", "item_id", "pass", "again", "bundle", "doc")
+    docs = spark.createDataFrame(odd_rows() + [(20, "Write to a.b@corp.example.com, Mr. John Smith", "en", None, 1), (21, "Write to a.b@corp.example.com, Mr. John Smith.", None, "a", None)], DOC)
+    docs = docs.withColumns({c: F.lit("mine") for c in names})
+    docs.write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(1, "same text again"), (None, None), (2, "")], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    spark.createDataFrame([(3, 1, 0), (7, 0, 1), (None, None, None), (4, 1, None)], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    for table in ("documents", "benchmark", "labels"):
+        spark.read.parquet(f"{path}/{table}.parquet").limit(0).write.parquet(f"{path}/none/{table}.parquet")
+    counts = []
+    now = spark.read.parquet(f"{path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        now = stage(spark, now, path)
+        assert now.columns[: len(docs.columns)] == docs.columns
+        if name != "mixing":
+            assert now.columns == docs.columns
+        now = now.persist()
+        counts.append(now.count())
+    assert counts[0] >= counts[1] >= counts[2] == counts[3] and counts[1] < counts[0] and counts[4] >= 1
+    assert not now.where("text like '%John Smith%' or text like '%a.b@%' or text like '%same text again%'").count()
+    assert corpus_pipeline.run(spark, f"{path}/none").count() == 0
+    empty = spark.read.parquet(f"{path}/none/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, path).count() == 0, name
