@@ -51,7 +51,7 @@ def jsonl_round_trip(spark, sf_dir):
 
 
 @query(
-    """select 'SRC-' || n_nationkey source_id, n_name attribution, n_nationkey % 3 <> 0 redistribution_allowed, list_value(r_name) uses
+    """select 'SRC-' || n_nationkey source_id, n_name attribution, n_nationkey % 3 <> 0 redistribution_allowed, r_name uses
     from nation join region on n_regionkey = r_regionkey"""
 )
 def registry_round_trip(spark, sf_dir):
@@ -61,7 +61,7 @@ def registry_round_trip(spark, sf_dir):
     listed = [fixtures.source(f"SRC-{r.n_nationkey}", "a" * 64, attribution=r.n_name, redistribution_allowed=r.n_nationkey % 3 != 0, allowed_target_uses=[r.r_name]) for r in rows.collect()]
     files.make("registry")
     files.write("registry/sources.yaml", workspace.to_yaml({"sources": listed}))
-    return workspace.registry(spark, files.root, "sources").select("source_id", "attribution", "redistribution_allowed", F.col("allowed_target_uses").alias("uses"))
+    return workspace.registry(spark, files.root, "sources").select("source_id", "attribution", "redistribution_allowed", F.array_join("allowed_target_uses", ",").alias("uses"))
 
 
 def items_workspace(spark: SparkSession, sf_dir: str) -> doctor.Workspace:
@@ -79,7 +79,7 @@ def workspace_round_trip(spark, sf_dir):
     root = workspace.save(items_workspace(spark, sf_dir), new_folder(spark, "workspace"))
     ws = workspace.load(spark, root)
     return ws.seeds.select(
-        "seed_id", "lineage_id", C.digest(F.col("question")).alias("digest"), F.lit(ws.taxonomy["categories"][0]).alias("category"), F.lit(ws.benchmarks.count()).alias("protected"), F.lit(len(ws.rows("teachers"))).alias("teachers")
+        "seed_id", "lineage_id", C.digest(F.col("question")).alias("digest"), F.lit(ws.taxonomy["categories"][0]).alias("category"), F.lit(ws.benchmarks.count()).cast("long").alias("protected"), F.lit(len(ws.rows("teachers"))).cast("long").alias("teachers")
     )
 
 
