@@ -461,8 +461,8 @@ class Maker:
 
     def paragraph(self) -> str:
         r, n = self.r, self.r.choice((1, 1, 2, 3, 5, 9))
-        if r.random() < 0.08:
-            return self.good(self.words(1, 3) + ".")
+        if r.random() < 0.14:
+            return self.good(self.words(1, 6) + r.choice((".", ".", "", ":", "!")))
         text = " ".join(self.sentence() for _ in range(n))
         if r.random() < 0.25:
             text += f' <a href="/x">{self.words(1, 4)}</a> {self.sentence()}'
