@@ -204,7 +204,7 @@ def simhash_lsh_dedup(spark, sf_dir):
 RE2_PHONE = r"(^|\W)(?:\+?1[-.\s]?)?\(?\d{3}\)?[-.\s]\d{3}[-.\s]\d{4}(\W|$)"
 
 
-def _hits_sql(patterns: dict, text: str) -> str:
+def hits_sql(patterns: dict, text: str) -> str:
     tests = []
     for name in sorted(patterns):
         flags, pattern = patterns[name]
@@ -213,14 +213,14 @@ def _hits_sql(patterns: dict, text: str) -> str:
     return f"array_to_string(list_filter([{', '.join(tests)}], lambda x: x is not null), ',')"
 
 
-@query(f"select doc_id, {_hits_sql(gates.SECRETS, 'text')} secrets, {_hits_sql(gates.PERSONAL, 'text')} pii, {_hits_sql(gates.INJECTION, 'text')} injection from documents")
+@query(f"select doc_id, {hits_sql(gates.SECRETS, 'text')} secrets, {hits_sql(gates.PERSONAL, 'text')} pii, {hits_sql(gates.INJECTION, 'text')} injection from documents")
 def pii_secret_gates(spark, sf_dir):
     """Names of the patterns that match."""
     cols = [F.array_join(gates.hits(F.col("text"), p), ",").alias(n) for n, p in (("secrets", gates.SECRETS), ("pii", gates.PERSONAL), ("injection", gates.INJECTION))]
     return table(spark, sf_dir, "documents").select("doc_id", *cols)
 
 
-@query(f"select conv_id, turn, {_hits_sql(gates.INJECTION, 'text')} injection, {_hits_sql(gates.PERSONAL, 'text')} pii from conversations")
+@query(f"select conv_id, turn, {hits_sql(gates.INJECTION, 'text')} injection, {hits_sql(gates.PERSONAL, 'text')} pii from conversations")
 def injection_gate(spark, sf_dir):
     """G9, G10 over conversations."""
     cols = [F.array_join(gates.hits(F.col("text"), p), ",").alias(n) for n, p in (("injection", gates.INJECTION), ("pii", gates.PERSONAL))]
@@ -247,7 +247,7 @@ def length_and_structure_gates(spark, sf_dir):
 
 
 @query(
-    f"""with g as (select d.doc_id, coalesce(quality, 0) verified, len({strip_sql("text")}) >= 12 a, {_hits_sql(gates.PERSONAL, "text")} = '' b, lang = 'en' c,
+    f"""with g as (select d.doc_id, coalesce(quality, 0) verified, len({strip_sql("text")}) >= 12 a, {hits_sql(gates.PERSONAL, "text")} = '' b, lang = 'en' c,
       coalesce(toxic, 0) / 2.0 similarity from documents d left join labels l using (doc_id))
     select doc_id, (a::int + b::int + c::int) / 3 fraction,
       round(greatest(0, least(1, 0.3::double * ((a::int + b::int + c::int) / 3) + 0.4::double * verified + 0.2::double * (1 - similarity) + 0.1::double * 0.6)), 9) quality,
@@ -512,7 +512,7 @@ def policy_report(spark, sf_dir):
 
 
 @query(
-    f"""with g as (select doc_id, source, [case when len({strip_sql("text")}) < 200 then 'question_length' end, case when {_hits_sql(gates.PERSONAL, "text")} <> '' then 'pii' end,
+    f"""with g as (select doc_id, source, [case when len({strip_sql("text")}) < 200 then 'question_length' end, case when {hits_sql(gates.PERSONAL, "text")} <> '' then 'pii' end,
       case when toxic = 1 then 'verification:exact' end] r from documents left join labels using (doc_id)),
     x as (select doc_id, source, array_to_string(list_filter(r, lambda y: y is not null), ',') reasons from g),
     k as (select doc_id from x where reasons = '' qualify row_number() over (partition by source order by doc_id) <= 5)
