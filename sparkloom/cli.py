@@ -4,6 +4,7 @@ standard error with exit code 1."""
 from __future__ import annotations
 
 import argparse
+import contextlib
 import json
 import sys
 from collections.abc import Callable
@@ -11,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from sparkloom import service
 from sparkloom.errors import EngineError
 from sparkloom.functions.canonical import canonical_json
 from sparkloom.operators import calibration, doctor
@@ -109,6 +111,18 @@ def collect(spark: SparkSession, a: argparse.Namespace) -> bool:
     return True
 
 
+def serve(spark: SparkSession, a: argparse.Namespace) -> bool:
+    """One plane, until it is interrupted; its token comes from the environment."""
+    agent = a.plane == "agent"
+    token = service.token_of(service.AGENT_TOKEN if agent else service.CONTROL_TOKEN)
+    settings = service.Settings(a.path, token if agent else None, None if agent else token, a.lease_seconds)
+    with service.server(spark, a.plane, settings, a.host, a.port) as s:
+        say(f"serving the {a.plane} plane on {s.server_address[0]}:{s.server_address[1]}")
+        with contextlib.suppress(KeyboardInterrupt):
+            s.serve_forever()
+    return True
+
+
 def pilot(spark: SparkSession, a: argparse.Namespace) -> bool:
     """The calibration: tasks leased blind, solved, submitted and compiled; it stops before review."""
     say(calibrate(spark, a.path, a.size, a.run_id))
@@ -181,6 +195,12 @@ def parser() -> argparse.ArgumentParser:
     q.add_argument("--count", type=int, default=1)
     q.add_argument("--seconds", type=float, default=collection.broker.LEASE_SECONDS)
     q.add_argument("--submissions")
+    for plane, port in (("agent", 8411), ("control", 8412)):
+        q = add(f"serve-{plane}", serve, f"the {plane} plane of the queue", "path")
+        q.set_defaults(plane=plane)
+        q.add_argument("--host", default="127.0.0.1")
+        q.add_argument("--port", type=int, default=port)
+        q.add_argument("--lease-seconds", type=int, default=collection.broker.LEASE_SECONDS)
     q = add("calibration-pilot", pilot, "the blind calibration, up to review", "path")
     q.add_argument("--size", type=int, default=1000)
     q.add_argument("--run-id", default="calibration-run")

@@ -221,3 +221,64 @@ def test_chat_client():
 
 def test_tokens_compare():
     assert broker.same_token("a", broker.token_digest("a")) and not broker.same_token("b", broker.token_digest("a")) and not broker.same_token("a", None)
+
+
+def call(server, method, path, token=None, body=None, raw=None):
+    import http.client
+
+    c = http.client.HTTPConnection(*server.server_address, timeout=120)
+    data = raw if raw is not None else None if body is None else json.dumps(body).encode()
+    c.request(method, path, data, {"Authorization": f"Bearer {token}"} if token else {})
+    r = c.getresponse()
+    text = r.read()
+    c.close()
+    return r.status, json.loads(text) if text else None
+
+
+def test_planes(spark, cal):
+    import threading
+
+    from sparkloom import service
+
+    ws, root = cal
+    agent, control = "a" * 40, "c" * 40
+    settings = service.Settings(root, agent, control)
+    planes = {name: service.server(spark, name, settings) for name in ("agent", "control")}
+    for s in planes.values():
+        threading.Thread(target=s.serve_forever, daemon=True).start()
+    try:
+        a, c = planes["agent"], planes["control"]
+        assert call(a, "GET", "/healthz") == (200, {"status": "ok"})
+        assert call(a, "POST", "/v1/tasks/lease")[0] == 401 and call(a, "POST", "/v1/tasks/lease", control)[0] == 401
+        assert call(a, "POST", "/v1/tasks/lease", agent) == (204, None) and call(a, "POST", "/v1/runs", agent, {"run_id": "r"})[0] == 404
+        assert call(c, "POST", "/v1/runs", control, {"run_id": "../x"})[0] == 422
+        status, made = call(c, "POST", "/v1/runs", control, {"run_id": "r"})
+        assert (status, made["state"], made["queued"]) == (201, "collecting", 30) and "inputs" not in made
+        assert call(c, "POST", "/v1/runs", control, {"run_id": "r"})[0] == 409 and "/v1/runs" in call(c, "GET", "/openapi.json", control)[1]["paths"]
+        status, task = call(a, "POST", "/v1/tasks/lease", agent)
+        assert status == 200 and set(task) == {"task_id", "lease_token", "expires_at_unix", "messages"} and len(task["messages"]) == 1
+        path, reply = f"/v1/tasks/{task['task_id']}/responses", {"lease_token": task["lease_token"], "derivation": ["a step"], "answer": "1"}
+        assert call(a, "POST", path, agent, reply | {"lease_token": "x" * 43})[0] == 404 and call(a, "POST", "/v1/tasks/task_0/responses", agent, reply)[0] == 404
+        for bad in (reply | {"derivation": []}, reply | {"more": 1}, reply | {"answer": ""}, [1]):
+            assert call(a, "POST", path, agent, bad)[0] == 422
+        assert call(a, "POST", path, agent, raw=b"{")[0] == 422 and call(a, "POST", path, agent, raw=b"x" * (service.MOST_BODY + 1))[0] == 413
+        assert call(a, "POST", path, agent, reply) == (202, {"status": "recorded"}) and call(a, "POST", path, agent, reply)[0] == 404
+        assert call(c, "GET", "/v1/runs/r", control)[1]["submitted"] == 1 and call(c, "POST", "/v1/runs/r/finalize", control)[0] == 409
+        assert call(c, "GET", "/v1/runs/other", control)[0] == 409
+    finally:
+        for s in planes.values():
+            s.shutdown()
+            s.server_close()
+
+
+def test_service_settings(monkeypatch):
+    from sparkloom import service
+
+    for kwargs in ({}, {"agent_token": "short"}, {"agent_token": " " + "a" * 40}, {"agent_token": "changeme" * 8}, {"agent_token": "a" * 40, "control_token": "a" * 40}, {"agent_token": "a" * 40, "lease_seconds": 10}):
+        with pytest.raises(ConfigurationError):
+            service.Settings("x", **kwargs)
+    monkeypatch.delenv(service.AGENT_TOKEN, raising=False)
+    with pytest.raises(ConfigurationError):
+        service.token_of(service.AGENT_TOKEN)
+    monkeypatch.setenv(service.AGENT_TOKEN, "a" * 40)
+    assert service.token_of(service.AGENT_TOKEN) == "a" * 40
