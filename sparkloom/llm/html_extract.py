@@ -581,7 +581,9 @@ def fit(pages: int = TRAIN_PAGES, seed: int = 5) -> Forest:
 def extract(pages: DataFrame, model: Forest | None = None) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every row; null or empty html gives ''.
 
-    The model, under 1 MB, is fitted on the driver and sent to the workers."""
+    Pages of any length are read whole; repeated rows, null ids and null urls come out as they are,
+    each row for itself, so there are no ties; an empty table gives no rows, and further columns are
+    left out.  The model, under 1 MB, is fitted on the driver and sent to the workers."""
     shared = pages.sparkSession.sparkContext.broadcast(model or fit())
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:

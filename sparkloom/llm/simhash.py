@@ -212,7 +212,10 @@ def within_radius(prints: DataFrame, radius: int = 6, blocks: int = 8, cell: int
 
 
 def document_fingerprints(docs: DataFrame, radius: int = 6, blocks: int = 8) -> DataFrame:
-    """``with_successor`` and, for each row, ``n_links``: other fingerprints within ``radius``."""
+    """``with_successor`` and, for each row, ``n_links``: other fingerprints within ``radius``.
+
+    Null texts are empty ones and link to nothing; repeated rows each follow the one before, in the
+    order of a hash of the text, and have equal fingerprints and links; null ids come last."""
     rows = stored(with_successor(docs), "prints")
     links = within_radius(rows, radius, blocks).withColumnRenamed("fingerprint", "f")
     return rows.join(links, F.col("fingerprint") == F.col("f"), "left").drop("f").withColumn("n_links", F.coalesce("n_links", F.lit(0)))

@@ -248,7 +248,12 @@ def score(docs: DataFrame, model: Model, extra: tuple[str, ...] = ("doc_id",)) -
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """doc_id, held_out, score and predicted for every document."""
+    """doc_id, held_out, score and predicted for every row of ``docs``.
+
+    Null ids are not held out, null texts are scored as empty, texts of any length are read whole;
+    repeated rows come out as often as they are there, and equal texts with equal scores.  A
+    score of exactly 0.5 is predicted 1.  Labels that repeat, are null or belong to no document:
+    see ``fit``.  An empty table gives no rows."""
     model = fit(docs, labels, **options)
     return score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 

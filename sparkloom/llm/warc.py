@@ -262,7 +262,8 @@ def read_archive(spark: SparkSession, folder: str, with_payload: bool = False) -
 
 
 def round_trip(pages: DataFrame, folder: str | None = None, **options) -> DataFrame:
-    """Write the archives, read them back, and give what the records say."""
+    """Write the archives, read them back, and give what the records say: a row for each row of
+    ``pages``, with the rules of ``write_archive`` for nulls, ties and repeated rows."""
     folder = folder or new_folder(pages.sparkSession, "warc")
     write_archive(pages, folder, **options)
     return read_archive(pages.sparkSession, folder)
