@@ -115,3 +115,25 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
     rows = rows.join(found, F.col("row.doc_id").cast("long").eqNullSafe(F.col("d")) & (F.xxhash64(F.coalesce("row.text", F.lit(""))) == F.col("t")), "left_anti")
     return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in names])
+
+
+def sql(masks: tuple[str, ...] = MASKS, need: int = NEED) -> str:
+    """The rows of ``contamination`` in DuckDB: seeds as joined words instead of hashes, and the best
+    stretch of an overlap as the largest rise of its running score."""
+    least = min(map(len, masks))
+    rows = ", ".join(f"({n}, {[i for i, bit in enumerate(mask) if bit == '1']}, {len(mask)})" for n, mask in enumerate(masks))
+    words = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+    seed = "mask, p, array_to_string(list_transform(places, lambda o: w[p + o + 1]), ' ') key"
+    return f"""
+with d as (select doc_id, {words} w from documents),
+i as (select distinct item_id, {words} w from benchmark),
+m(mask, places, size) as (select * from (values {rows}) union all select distinct 100 + len(w), range(0, len(w)), len(w) from i where len(w) between 1 and {least - 1}),
+ds as (select doc_id, {seed} from (select doc_id, w, unnest(range(0, len(w))) p from d), m where p + size <= len(w)),
+its as (select item_id, {seed} from (select item_id, w, unnest(range(0, len(w))) p from i), m where p + size <= len(w) and (mask < 100) = (len(w) >= {least})),
+hits as (select distinct doc_id, item_id, ds.p - its.p shift from ds join its using (mask, key)),
+laid as (select h.doc_id, h.item_id, h.shift, d.w dw, i.w iw, unnest(range(greatest(0, -h.shift), least(len(i.w), len(d.w) - h.shift))) k from hits h join d using (doc_id) join i using (item_id)),
+sums as (select doc_id, item_id, shift, k, len(iw) size, sum(case when dw[shift + k + 1] = iw[k + 1] then 1 else -1 end) over (partition by doc_id, item_id, shift order by k) s from laid),
+rises as (select doc_id, item_id, size, s - least(0, coalesce(min(s) over (partition by doc_id, item_id, shift order by k rows between unbounded preceding and 1 preceding), 0)) rise from sums),
+found as (select doc_id, item_id, max(rise)::int score from rises group by doc_id, item_id, size having max(rise) >= case when size < {least} then size else least({need}, ceil(size * 0.8)) end),
+best as (select doc_id, arg_max(item_id, (score, -item_id)) item_id, max(score) score, count(*) n from found group by 1)
+select doc_id, best.doc_id is not null contaminated, item_id, score, coalesce(n, 0) n_items from d left join best using (doc_id)"""

@@ -90,4 +90,4 @@ select page_id, payload_bytes, payload_digest,
 from p left join f on payload_digest = d
 """
 
-ORACLES: dict[str, str] = {"op7_warc": WARC_SQL, "op10_mixing": mixing.SQL}
+ORACLES: dict[str, str] = {"op2_sentence_spans": sentence_spans.sql(), "op6_contamination": decontaminate.sql(), "op7_warc": WARC_SQL, "op10_mixing": mixing.SQL}

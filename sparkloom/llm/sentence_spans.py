@@ -189,3 +189,31 @@ def dedup_spans(docs: DataFrame, run: int = RUN, least: int = LEAST_WORDS, full:
         )
 
     return batches(rows, work, "doc_id long, n_sentences long, n_removed long, n_chars long, text string")
+
+
+def sql(run: int = RUN, least: int = LEAST_WORDS, full: int = FULL_RUN) -> str:
+    """The rows of ``dedup_spans`` in DuckDB, for ids that do not repeat: a text is taken apart by one
+    pattern into sentences with what follows them, and runs are told apart by their words."""
+    word, other = r"[0-9A-Za-z_\x{80}-\x{10FFFF}]", r"[^0-9A-Za-z_\x{80}-\x{10FFFF}]"
+    # between words of one sentence: no line break, and no .!? before white space
+    inside = rf"(?:[^0-9A-Za-z_\x{{80}}-\x{{10FFFF}}\n.!?]|[.!?]+[^0-9A-Za-z_\x{{80}}-\x{{10FFFF}}\t-\r .!?])*[.!?]*"
+    part = rf"{other}*{word}+(?:{inside}{word}+)*{other}*"
+    plain = f"translate(coalesce(text, ''), '{OTHER_ENDS}', repeat(chr(10), {len(OTHER_ENDS)}))"
+    size = lambda a, e: f"list_sum(list_transform(words[{a} + 1:{e}], lambda x: len(x)))"
+    ahead = "case" + "".join(f" when {size('a', f'a + {k}')} >= {least} then {k}" for k in range(run, full)) + f" else {full} end"
+    back = "case" + "".join(f" when {size(f'a - {k}', 'a')} >= {least} then {k}" for k in range(run, full)) + f" else {full} end"
+    return rf"""
+with p as (select doc_id, coalesce(text, '') text, regexp_extract_all({plain}, '{part}') parts from documents),
+s as (select doc_id, len(parts) n, list_transform(parts, lambda x: regexp_extract_all(lower(x), '{word}+')) words from p),
+spots as (select doc_id, n, words, unnest(range(0, n + 1)) a from s),
+ahead as (select doc_id, words, a, a + {ahead} e from spots where a + {run} <= n),
+f as (select ahead.* from ahead join s using (doc_id) where e <= n),
+b as (select doc_id, words, a - k a, a e from (select *, {back} k from spots where a >= {run}) where k <= a),
+whole as (select doc_id, words, 0 a, n e from s where n > 0 and doc_id not in (select doc_id from f)),
+runs as (select doc_id, a, e, array_to_string(list_transform(words[a + 1:e], lambda x: array_to_string(x, ' ')), ' ') key from (select * from f union select * from b union select * from whole)),
+marked as (select *, min(doc_id) over (partition by key) < doc_id or row_number() over (partition by doc_id, key order by a, e) > 1 again from runs),
+cut as (select doc_id, list_sort(list(distinct k)) gone from (select doc_id, unnest(range(a, e)) k from marked where again) group by 1),
+edges as (select p.doc_id, p.text, n, coalesce(gone, []) gone, list_transform(parts, lambda x: len(x)) sizes from p join s using (doc_id) left join cut using (doc_id)),
+kept as (select doc_id, n, len(gone) removed, case when len(gone) = 0 then text else array_to_string(list_transform(list_filter(range(0, n), lambda k: not list_contains(gone, k)),
+  lambda k: substr(text, 1 + coalesce(list_sum(sizes[1:k]), 0)::bigint, sizes[k + 1]::bigint)), '') end text from edges)
+select doc_id, n n_sentences, removed n_removed, len(text) n_chars, text from kept"""
