@@ -37,8 +37,9 @@ def seeds(rows: DataFrame, h: str, at: str, key: str, masks: tuple[str, ...], ke
     one's keys read from the array, all in one span of generated code; only seeds that a join
     finds leave it."""
     masks = (*masks, *("1" * n for n in lengths))
-    places = F.sequence(F.lit(0), F.size(h) - min(map(len, masks)))
-    rows = rows.where(F.size(h) >= min(map(len, masks))).select(*keep, h, F.explode(places).alias(at))
+    room = F.size(h) - min(map(len, masks))
+    # (for an inner explode the optimizer adds filters that compute the tokens again)
+    rows = rows.select(*keep, h, F.explode_outer(F.when(room >= 0, F.sequence(F.lit(0), room))).alias(at))
     keys = []
     for mask in masks:
         kept = [F.get(F.col(h), F.col(at) + o) for o, bit in enumerate(mask) if bit == "1"]
