@@ -86,7 +86,9 @@ def containment(docs: DataFrame, items: DataFrame, threshold: float, most_broadc
     flat = sets.select("item_id", F.size("s").cast("long").alias("item_shingles"), F.explode("s").alias("x"))
     if flat.count() <= most_broadcast:
         flat = F.broadcast(flat)
-    hits = T.with_shingles(docs, F.col("text"), ["doc_id"]).select("doc_id", F.explode("s").alias("x")).join(flat, "x")
+    # (for an inner explode the optimizer adds a filter on the array, and writes the whole chain of
+    # expressions out again in it; the join drops the nulls of an outer one)
+    hits = T.with_shingles(docs, F.col("text"), ["doc_id"]).select("doc_id", F.explode_outer("s").alias("x")).join(flat, "x")
     rows = hits.groupBy("doc_id", "item_id", "item_shingles").agg(F.count("*").alias("shared"))
     rows = rows.withColumn("containment", F.col("shared") / F.col("item_shingles"))
     return rows.where(F.col("containment") >= threshold).select("doc_id", "item_id", "shared", "item_shingles", "containment")
