@@ -14,7 +14,6 @@ from __future__ import annotations
 import html
 import random
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -60,18 +59,29 @@ TOKEN = re.compile(
 ATTR = re.compile(r"(?:^|[\s/])(?:class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: A slash that ends the tag; one at the end of an unquoted value belongs to the value.
+SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/$")
+
+
+#: What ``cue_bits`` has found, emptied when it holds this many.
+CUES_SEEN: dict[str, tuple[int, bool]] = {}
+MOST_CUES = 20_000
 
 
-@lru_cache(maxsize=20_000)
 def cue_bits(attrs: str) -> tuple[int, bool]:
     """Cue groups named in the attributes, and whether class, id or role is there at all."""
+    if attrs in CUES_SEEN:
+        return CUES_SEEN[attrs]
     bits, some = 0, False
     for m in ATTR.finditer(attrs):
         value, some = m[1] or m[2] or m[3] or "", True
         words = [w.lower() for w in PART.findall(value)]
         for w in (*words, *(a + b for a, b in zip(words, words[1:]))):
             bits |= CUE_BITS.get(w, 0)
-    return bits | (1 << 11 if HIDDEN.search(attrs) else 0), some
+    if len(CUES_SEEN) >= MOST_CUES:
+        CUES_SEEN.clear()
+    CUES_SEEN[attrs] = bits | (1 << 11 if HIDDEN.search(attrs) else 0), some
+    return CUES_SEEN[attrs]
 
 
 class Page:
@@ -141,7 +151,7 @@ class Page:
                 continue
             name, attrs = (m["open"] or m["loose"]).lower(), m["attrs"] or ""
             if name in RAW:
-                if not attrs.endswith("/"):
+                if not SELF_CLOSED.search(attrs):
                     close = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(s, pos)
                     pos = close.end() if close else (n if name in ("script", "style", "textarea", "title") else pos)
                 if name in ("button", "select", "textarea"):
@@ -386,7 +396,8 @@ def extract_texts(sources: list[str | None], model: Forest) -> list[str]:
 # ------------------------------------------------------------- generated pages to learn from
 
 
-BARE = 0.08
+#: Shares of pages without a frame, and of <article> and <main> elements that list links.
+BARE, LISTS = 0.08, 0.1
 
 
 class Maker:
@@ -470,12 +481,14 @@ class Maker:
             text = f"<b>{self.words(1, 4)}</b> " + text
         return self.good(text)
 
-    def body(self) -> str:
+    def body(self, lists: float = 0) -> str:
         r, out = self.r, []
         if r.random() < 0.85:
             out.append(f"<h1>{self.good(self.words(2, 9))}</h1>")
             if r.random() < 0.2:
                 out[-1] = f"<header>{out[-1]}</header>"
+        if r.random() < lists:
+            return "".join(out) + (f"<p>{self.paragraph()}</p>" if r.random() < 0.5 else "") + self.reading(r.randint(3, 14))
         broken = r.random() < 0.3
         for _ in range(r.choice((1, 2, 3, 5, 8, 14, 30))):
             kind = r.random()
@@ -496,12 +509,19 @@ class Maker:
                 out.append("<table>" + "".join("<tr>" + "".join(f"<td>{self.good(self.words(1, 4))}</td>" for _ in range(3)) + "</tr>" for _ in range(r.randint(1, 4))) + "</table>")
             elif kind < 0.95:
                 out.append(f"<figure><img src=x><figcaption>{self.good(self.sentence())}</figcaption></figure>")
-            elif kind < 0.97:
+            elif kind < 0.96:
                 out.append(f"<div>{self.paragraph()}</div>")
             elif len(out) > 1:
                 out.append(self.junk())
         return "".join(out)
 
+    def reading(self, n: int) -> str:
+        """A list of links that is the content: titles of some words, some with a remark."""
+        r, remarks = self.r, self.r.random() < 0.4
+        rows = [f'<a href="/{self.words(1, 1)}">{self.good(self.words(1, 9))}</a>' + (f" {self.sentence(2, 9)}" if remarks and r.random() < 0.7 else "") for _ in range(n)]
+        tag = r.choice(("ul", "ul", "ol"))
+        return f"<{tag}>" + "".join(f"<li>{x}</li>" for x in rows) + f"</{tag}>"
+
     def bare(self) -> str:
         """Text without a frame: a fragment, or a body that holds its blocks itself."""
         r = self.r
@@ -521,7 +541,7 @@ class Maker:
         if r.random() < BARE:
             return self.bare()
         main = r.choice(("article", "article", "main", "div", "div", "section", "td"))
-        content = self.named(main, "content", 0.5 if main in ("article", "main") else 0.85) + self.body()
+        content = self.named(main, "content", 0.5 if main in ("article", "main") else 0.85) + self.body(LISTS if main in ("article", "main") else 0)
         content += (self.reader(r.choice(("div", "section"))) if r.random() < 0.15 else "") + f"</{main}>"
         if main == "td":
             content = f"<table><tr><td>{self.links(5)}</td>{content}</tr></table>"
@@ -538,7 +558,7 @@ class Maker:
         return f"<html><head><title>{self.words(2, 6)}</title></head><body>{''.join(before)}{content}{''.join(after)}</body></html>"
 
 
-TRAIN_PAGES = 1300
+TRAIN_PAGES = 1600
 MODELS: dict[tuple[int, int], Forest] = {}
 
 
@@ -575,6 +595,7 @@ def fit(pages: int = TRAIN_PAGES, seed: int = 5) -> Forest:
         x, *_ = features(made)
         pure = (chars > 0) & ((share > 0.99) | (share < 0.01))
         MODELS[pages, seed] = boost(x[pure], (share[pure] > 0.5).astype(float), 1 + np.log1p(chars[pure]) / 4)
+        CUES_SEEN.clear()  # it goes to the workers with the functions that use it
     return MODELS[pages, seed]
 
 
@@ -584,10 +605,12 @@ def extract(pages: DataFrame, model: Forest | None = None) -> DataFrame:
     Pages of any length are read whole; repeated rows, null ids and null urls come out as they are,
     each row for itself, so there are no ties; an empty table gives no rows, and further columns are
     left out.  The model, under 1 MB, is fitted on the driver and sent to the workers."""
-    shared = pages.sparkSession.sparkContext.broadcast(model or fit())
+    model = model or fit()
+    # arrays only: a broadcast names classes instead of carrying them
+    shared = pages.sparkSession.sparkContext.broadcast((model.bias, model.feature, model.threshold, model.value))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = extract_texts(batch.column(2).to_pylist(), shared.value)
+        texts = extract_texts(batch.column(2).to_pylist(), Forest(*shared.value))
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     kind = pages.schema["page_id"].dataType.simpleString()

@@ -23,7 +23,6 @@ import ipaddress
 import math
 import re
 import unicodedata
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -271,10 +270,15 @@ def writing(octet: str) -> tuple[int, bool]:
     return len(octet), len(octet) > 1 and octet[0] == "0"
 
 
-@lru_cache(maxsize=None)
+#: All octets of each writing; there are six.
+OCTETS: dict[tuple[int, bool], list[str]] = {}
+
+
 def octets(like: tuple[int, bool]) -> list[str]:
     """All octets written so."""
-    return [x for v in range(256) if writing(x := f"{v:0{like[0]}d}") == like]
+    if like not in OCTETS:
+        OCTETS[like] = [x for v in range(256) if writing(x := f"{v:0{like[0]}d}") == like]
+    return OCTETS[like]
 
 
 def address_class(a: int, b: int) -> str:
@@ -285,10 +289,15 @@ def address_class(a: int, b: int) -> str:
     return "public" if a < 224 else "multicast" if a < 240 else "reserved"
 
 
-@lru_cache(maxsize=None)
+#: First two octets of each class and writing, numbered.
+HEADS: dict[tuple, dict[tuple[str, str], int]] = {}
+
+
 def heads_of(kind: str, a: tuple[int, bool], b: tuple[int, bool]) -> dict[tuple[str, str], int]:
-    found = [(x, y) for x in octets(a) for y in octets(b) if address_class(int(x), int(y)) == kind]
-    return {head: i for i, head in enumerate(found)}
+    if (kind, a, b) not in HEADS:
+        found = [(x, y) for x in octets(a) for y in octets(b) if address_class(int(x), int(y)) == kind]
+        HEADS[kind, a, b] = {head: i for i, head in enumerate(found)}
+    return HEADS[kind, a, b]
 
 
 def address_parts(text: str) -> tuple[tuple, tuple[str, ...], dict, list[str], list[str]]:

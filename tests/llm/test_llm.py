@@ -103,7 +103,7 @@ def test_words_do_not_depend_on_pieces(monkeypatch):
         assert (getattr(whole, name) == getattr(cut, name)).all(), name
 
 
-def test_even_ranges(spark):
+def test_even_ranges_of_few_bins(spark):
     r = random.Random(4)
     keys = [r.randrange(10**6) for _ in range(500)] + [10**12, None, None] + [77] * 300
     rows = spark.createDataFrame([(k,) for k in keys], "k long")
@@ -548,6 +548,9 @@ GOLD = [
     (f"<body><article><p>{LONG}</p><aside class='newsletter-signup'><form><label>Mail</label><input><button>Join</button></form></aside><p>{LONG}</p></article><footer>© 2024 Example. All rights reserved.</footer></body>", f"{LONG}\n{LONG}"),
     (f"<body><article><h1>List</h1><ul><li>First thing to do today</li><li>Second thing, rather later</li></ul><p>{LONG}</p></article></body>", f"List\nFirst thing to do today\nSecond thing, rather later\n{LONG}"),
     ("<nav><a href=1>Home</a></nav><footer>imprint</footer>", ""), ("", ""), (None, ""),
+    ("<body><nav><a href=/a>Home</a> <a href=/b>News</a></nav><article><h1>Further reading on rivers</h1><ul>" + "".join(f"<li><a href=/r{i}>A long title about river number {i} and its banks</a></li>" for i in range(8)) + "</ul></article><footer>&copy; Site</footer></body>", "Further reading on rivers\n" + "\n".join(f"A long title about river number {i} and its banks" for i in range(8))),
+    (f"<body><script src=/x/>var a = 1; alert(a);</script><article><h1>Flood</h1><p>{LONG}</p></article><script src='/y'/><p>{LONG}</p></body>", f"Flood\n{LONG}\n{LONG}"),
+    (f"<body><div id=page><div class=masthead><a href=/>The Daily</a><p>News since 1890</p></div><div class=story-text><h2>Flood</h2><p>{LONG}</p><ul class=share-buttons><li><a href=t>Tweet</a><li><a href=f>Share</a></ul><p>{LONG}</p></div><div class=related-links><h3>More</h3><ul><li><a href=1>Fire in the harbour</a><li><a href=2>Snow in May</a></ul></div></div></body>", f"Flood\n{LONG}\n{LONG}"),
 ]
 
 
