@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import decontaminate, html_extract, mixing, near_dedup, sentence_spans, simhash, surrogates, token_rollup, toxicity, warc
+from sparkloom.llm import conversations, decontaminate, html_extract, mixing, near_dedup, sentence_spans, simhash, surrogates, token_rollup, toxicity, warc
 from sparkloom.llm.shared import new_folder, text_key
 
 
@@ -72,9 +72,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_by_document(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable] = {
     f.__name__: f
-    for f in (op1_token_rollup, op2_sentence_spans, op3_simhash, op4_near_duplicates, op5_html_text, op6_contamination, op7_warc, op8_surrogates, op9_toxicity, op10_mixing)
+    for f in (op1_token_rollup, op2_sentence_spans, op3_simhash, op4_near_duplicates, op5_html_text, op6_contamination, op7_warc, op8_surrogates, op9_toxicity, op10_mixing, op11_conversation_repair)
 }
 
 #: What the archives say can be derived from the pages; the file work itself is tested by round trips.
@@ -90,4 +94,4 @@ select page_id, payload_bytes, payload_digest,
 from p left join f on payload_digest = d
 """
 
-ORACLES: dict[str, str] = {"op2_sentence_spans": sentence_spans.sql(), "op6_contamination": decontaminate.sql(), "op7_warc": WARC_SQL, "op10_mixing": mixing.SQL}
+ORACLES: dict[str, str] = {"op2_sentence_spans": sentence_spans.sql(), "op6_contamination": decontaminate.sql(), "op7_warc": WARC_SQL, "op10_mixing": mixing.SQL, "op11_conversation_repair": conversations.SQL}
