@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import centroids, conversations, decontaminate, html_extract, mixing, near_dedup, sentence_spans, simhash, surrogates, token_rollup, toxicity, warc
+from sparkloom.llm import centroids, conversations, decontaminate, html_extract, mixing, near_dedup, sentence_spans, simhash, surrogates, token_rollup, toxicity, url_filter, warc
 from sparkloom.llm.shared import new_folder, text_key
 
 
@@ -80,9 +80,13 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
 
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable] = {
     f.__name__: f
-    for f in (op1_token_rollup, op2_sentence_spans, op3_simhash, op4_near_duplicates, op5_html_text, op6_contamination, op7_warc, op8_surrogates, op9_toxicity, op10_mixing, op11_conversation_repair, op12_centroids)
+    for f in (op1_token_rollup, op2_sentence_spans, op3_simhash, op4_near_duplicates, op5_html_text, op6_contamination, op7_warc, op8_surrogates, op9_toxicity, op10_mixing, op11_conversation_repair, op12_centroids, op13_url_filter)
 }
 
 #: What the archives say can be derived from the pages; the file work itself is tested by round trips.
@@ -98,4 +102,4 @@ select page_id, payload_bytes, payload_digest,
 from p left join f on payload_digest = d
 """
 
-ORACLES: dict[str, str] = {"op2_sentence_spans": sentence_spans.sql(), "op6_contamination": decontaminate.sql(), "op7_warc": WARC_SQL, "op10_mixing": mixing.SQL, "op11_conversation_repair": conversations.SQL, "op12_centroids": centroids.sql()}
+ORACLES: dict[str, str] = {"op2_sentence_spans": sentence_spans.sql(), "op6_contamination": decontaminate.sql(), "op7_warc": WARC_SQL, "op10_mixing": mixing.SQL, "op11_conversation_repair": conversations.SQL, "op12_centroids": centroids.sql(), "op13_url_filter": url_filter.sql()}
