@@ -248,13 +248,13 @@ CELL_KEYS = ["band", "key", "i", "j"]
 CELL_SCHEMA = "band int, key long, i int, j int, seeker boolean, node string, root string"
 
 
-def contenders(members: DataFrame, roots: DataFrame) -> DataFrame:
+def contenders(members: DataFrame, roots: DataFrame, bands: DataFrame) -> DataFrame:
     """The members of buckets that may link different components, in cells.
 
     In each bucket with several components the members outside its largest one (seekers) are
     compared with all members, in cells of about CELL by CELL, and of fewer where their texts are
-    long: a worker holds a cell's texts.  A pair counts in its first common band, and only
-    members of a likely pair stay."""
+    long: a worker holds a cell's texts.  A pair counts in its first common band, by the band keys that
+    made the buckets (``bands``: node and bands), and only members of a likely pair stay."""
     rows = members.join(roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
     rows = rows.select("band", "key", "node", "bytes", "sig", F.coalesce("root", "node").alias("root"))
     each = rows.groupBy("band", "key", "root").agg(F.count("*").alias("count"), F.sum("bytes").alias("bytes"))
@@ -262,31 +262,36 @@ def contenders(members: DataFrame, roots: DataFrame) -> DataFrame:
     open_ = each.groupBy("band", "key").agg(F.count("*").alias("roots"), most.alias("most"), F.sum("count").alias("size"), F.sum("bytes").alias("weight")).where("roots > 1")
     open_ = open_.select("band", "key", F.col("most.root").alias("major"), F.col("most.count").alias("top"), F.col("most.bytes").alias("top_weight"), "size", "weight")
     rows = rows.join(open_.withColumnRenamed("band", "bd").withColumnRenamed("key", "ky"), (F.col("band") == F.col("bd")) & (F.col("key") == F.col("ky")))
+    rows = rows.join(bands.select(F.col("node").alias("b_node"), "bands"), F.col("node") == F.col("b_node"))
     minor = F.col("root") != F.col("major")
     spot = F.xxhash64("node")
     sides = lambda n, b: F.greatest(F.ceil(n / CELL), F.ceil(b / CELL_BYTES)).cast("int")
     whole, small = sides(F.col("size"), F.col("weight")), sides(F.col("size") - F.col("top"), F.col("weight") - F.col("top_weight"))
     in_all = F.transform(F.sequence(F.lit(0), small - 1), lambda i: F.struct(i.alias("i"), F.pmod(spot, whole).cast("int").alias("j"), F.lit(False).alias("seeker")))
     seeks = F.transform(F.sequence(F.lit(0), whole - 1), lambda j: F.struct(F.pmod(spot, small).cast("int").alias("i"), j.alias("j"), F.lit(True).alias("seeker")))
-    rows = rows.select("band", "key", "node", "sig", "root", F.explode(F.when(minor, F.concat(in_all, seeks)).otherwise(in_all)).alias("at"))
-    rows = rows.select("band", "key", "at.i", "at.j", "at.seeker", "node", "root", "sig")
+    # keys of the bands before this one tell whether a pair has met already
+    rows = rows.select("band", "key", "node", "sig", F.slice("bands", 1, F.col("band")).alias("bands"), "root", F.explode(F.when(minor, F.concat(in_all, seeks)).otherwise(in_all)).alias("at"))
+    rows = rows.select("band", "key", "at.i", "at.j", "at.seeker", "node", "root", "sig", "bands")
 
     def work(table: pa.Table):
         edges = group_edges(table, CELL_KEYS)
         seeker = table.column("seeker").to_numpy()
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, HASHES)
         root = table.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
-        band = table.column("band").to_numpy()
+        band, earlier = table.column("band").to_numpy(), table.column("bands").combine_chunks()
+        at, flat = earlier.offsets.to_numpy(), earlier.values.to_numpy()
         keep = np.zeros(len(seeker), bool)
         for lo, hi in zip(edges[:-1], edges[1:]):
             left, right = lo + np.flatnonzero(seeker[lo:hi]), lo + np.flatnonzero(~seeker[lo:hi])
+            keys = flat[at[lo] : at[hi]].reshape(hi - lo, band[lo])
             for part in np.array_split(left, max(1, len(left) * len(right) // 20_000)):
                 equal = sig[part][:, None] == sig[right][None]
                 a, b = np.nonzero((equal.mean(axis=2) >= SURE) & (root[part][:, None] != root[right][None]))
                 if len(a):
-                    first = equal[a, b].reshape(len(a), BANDS, ROWS).all(axis=2).argmax(axis=1) == band[lo]
-                    keep[part[a[first]]] = keep[right[b[first]]] = True
-        yield from table.drop_columns(["sig"]).filter(pa.array(keep)).to_batches()
+                    a, b = part[a], right[b]
+                    first = ~(keys[a - lo] == keys[b - lo]).any(axis=1)
+                    keep[a[first]] = keep[b[first]] = True
+        yield from table.drop_columns(["sig", "bands"]).filter(pa.array(keep)).to_batches()
 
     return streamed(rows, CELL_KEYS, work, CELL_SCHEMA)
 
@@ -363,7 +368,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = stored(texts.dropDuplicates(["node"]), "texts")
     links = stored(verified(pairs, texts, shares), "links")
     roots = stored(components(links), "roots")
-    rows_left = stored(contenders(members, roots), "contenders")
+    rows_left = stored(contenders(members, roots, by_node.select("node", "bands")), "contenders")
     if not rows_left.isEmpty():
         links = stored(links.union(spanning_links(rows_left, texts, shares)), "links")
         roots = stored(components(links), "roots")

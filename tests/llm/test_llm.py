@@ -443,6 +443,17 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, cell):
     assert len(wrong) <= 2, (wrong, len(rows))  # a link at the very threshold may miss all bands
 
 
+def test_a_chance_match_of_short_samples_loses_no_link(spark):
+    """Samples agree by their 16 bits in a band whose keys differ: the pair still counts where its keys are equal."""
+    sig = np.arange(near_dedup.HASHES, dtype=np.uint16).tobytes()
+    rows = [(1, 77, n, 10, sig, "a") for n in "ab"] + [(2, 88, n, 10, sig, "a") for n in "ab"]
+    members = spark.createDataFrame(rows, "band int, key long, node string, bytes long, sig binary, star string")
+    bands = spark.createDataFrame([("a", [5, 77, 88]), ("b", [6, 77, 88])], "node string, bands array<long>")
+    roots = spark.createDataFrame([], "node string, root string")
+    got = near_dedup.contenders(members, roots, bands).collect()
+    assert {(x.band, x.node) for x in got} == {(1, "a"), (1, "b")}
+
+
 def test_near_duplicates_odd(odd, empty):
     got = near_dedup.near_duplicates(odd).collect()
     assert len(got) == len(odd_rows()) and {x.class_id for x in got if x.doc_id in (3, 4)} == {3} and {x.class_id for x in got if x.doc_id in (7, 8)} == {7}
