@@ -26,9 +26,9 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 14, 4
 HASHES = BANDS * ROWS
-#: Pairs whose signatures agree on a smaller share are not verified: over three standard
+#: Pairs whose signatures agree on a smaller share are not verified: over five standard
 #: deviations below the threshold.
-SURE = 0.62
+SURE = 0.5
 DEPTH, WIDTH, BLOCK = 2, 1 << 17, 4096
 #: Members, and bytes of their texts, on a side of a cell.
 CELL, CELL_BYTES = 2000, 8_000_000
