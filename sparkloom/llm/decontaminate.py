@@ -61,36 +61,37 @@ def best_stretch(a: Column, b: Column) -> Column:
 def overlaps(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS, need: int = NEED, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """doc_id, tie (hash of the text), item_id and score of every verified overlap.
 
-    Null and empty texts and items have none.  Repeated rows count once.  The seeds of the items
+    Null and empty texts and items have none, so an empty table gives no rows.  Repeated rows count once;
+    texts are read whole: a long one stands with up to ``HITS`` windows of its hits' own items in a row.  The seeds of the items
     are broadcast when they are few, by a count; otherwise both sides are shuffled.  Hits go back
     to the documents by id and hash, at most ``HITS`` of a document in a row."""
     least = min(map(len, masks))
-    whole = items.select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text")).alias("item")).where(F.size("item") > 0).distinct()
+    whole = items.select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text")).alias("item")).where(F.size("item") > 0).distinct().withColumn("length", F.size("item"))
     # fewer than ``least`` different numbers, however many items
-    lengths = tuple(sorted(r.n for r in whole.select(F.size("item").alias("n")).where(F.col("n") < least).distinct().collect()))
-    test = seeds(whole.where(F.size("item") >= least), "item", "item_at", "key", masks, ["item_id"])
+    lengths = tuple(sorted(r.length for r in whole.select("length").where(F.col("length") < least).distinct().collect()))
+    test = seeds(whole.where(F.col("length") >= least), "item", "item_at", "key", masks, ["item_id", "length"])
     for n in lengths:
-        test = test.unionByName(seeds(whole.where(F.size("item") == n), "item", "item_at", "key", (), ["item_id"], (n,)))
+        test = test.unionByName(seeds(whole.where(F.col("length") == n), "item", "item_at", "key", (), ["item_id", "length"], (n,)))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), tokens(F.col("text")).alias("doc"))
     hits = seeds(rows, "doc", "doc_at", "doc_key", masks, ["doc_id", "tie"], lengths)
     hits = hits.join(F.broadcast(test) if test.count() <= most_broadcast else test, F.col("doc_key") == F.col("key"))
     # the many hits of one overlap share its shift
-    hits = hits.select("doc_id", "tie", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct()
+    hits = hits.select("doc_id", "tie", "item_id", "length", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct()
     bundle = F.pmod(F.xxhash64("item_id", "shift"), F.ceil(F.col("n") / HITS)).alias("bundle")
     counts = hits.groupBy("doc_id", "tie").agg(F.count("*").alias("n")).select(F.col("doc_id").alias("d"), F.col("tie").alias("t"), "n")
-    hits = hits.join(counts, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t"))).select("doc_id", "tie", bundle, "item_id", "shift")
-    hits = hits.groupBy("doc_id", "tie", "bundle").agg(F.collect_list(F.struct("item_id", "shift")).alias("hits")).select(F.col("doc_id").alias("d"), F.col("tie").alias("t"), "hits")
+    hits = hits.join(counts, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t"))).select("doc_id", "tie", bundle, "item_id", "length", "shift")
+    hits = hits.groupBy("doc_id", "tie", "bundle").agg(F.collect_list(F.struct("item_id", "length", "shift")).alias("hits")).select(F.col("doc_id").alias("d"), F.col("tie").alias("t"), "hits")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), "text")
     near = texts.join(hits, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t"))).select("doc_id", "tie", tokens(F.col("text")).alias("doc"), "hits")
-    # per document: the span of tokens that each hit's item would lie on
-    length = whole.select(F.max(F.size("item"))).first()[0] or 0
+    # per document: the span of tokens that each hit's own item would lie on
+    total = whole.select(F.sum("length")).first()[0] or 0
     # (two uses of doc keep the optimizer from computing it inside the lambda)
     start = lambda x: F.greatest(x["shift"], F.lit(0))
-    window = lambda x: F.slice(F.col("doc"), start(x) + 1, F.greatest(F.lit(0), F.least(F.lit(length), F.size("doc") - start(x))))
+    window = lambda x: F.slice(F.col("doc"), start(x) + 1, F.greatest(F.lit(0), F.least(x["length"], F.size("doc") - start(x))))
     lay = F.transform("hits", lambda x: F.struct(x["item_id"].alias("item_id"), x["shift"].alias("shift"), window(x).alias("window")))
     laid = near.select("doc_id", "tie", F.explode(lay).alias("x")).select("doc_id", "tie", "x.*")
-    whole = whole.withColumnRenamed("item_id", "i")
-    found = laid.join(F.broadcast(whole) if length * whole.count() <= 10 * most_broadcast else whole, F.col("item_id").eqNullSafe(F.col("i")))
+    whole = whole.select(F.col("item_id").alias("i"), "item")
+    found = laid.join(F.broadcast(whole) if total <= 10 * most_broadcast else whole, F.col("item_id").eqNullSafe(F.col("i")))
     part = F.slice("item", F.greatest(-F.col("shift"), F.lit(0)) + 1, F.size("window"))
     found = found.select("doc_id", "tie", "item_id", F.size("item").alias("length"), F.slice("window", 1, F.size(part)).alias("window"), part.alias("part"))
     found = found.withColumn("score", best_stretch(F.col("window"), F.col("part")))
@@ -100,7 +101,10 @@ def overlaps(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS,
 
 def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """For every document row: doc_id, contaminated, item_id (of the best overlap, the smaller id
-    when scores tie), score and n_items; null item and score where there is none."""
+    when scores tie), score and n_items; null item and score where there is none.
+
+    Null and empty texts are not contaminated, repeated rows come out as often as they are there, null ids
+    go by their text, texts are read whole, and an empty table gives no rows."""
     found = overlaps(docs, items, **options)
     best = found.groupBy("doc_id", "tie").agg(F.max(F.struct("score", (-F.col("item_id")).alias("rank"))).alias("best"), F.count("*").alias("n_items"))
     best = best.select(F.col("doc_id").alias("d"), F.col("tie").alias("t"), "best", "n_items")
@@ -110,7 +114,8 @@ def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents without a verified overlap, with all their columns."""
+    """The documents without a verified overlap, with all their columns: null and empty texts stay, equal rows
+    share their fate, an empty table stays empty."""
     found = overlaps(docs, items, **options).select(F.col("doc_id").alias("d"), F.col("tie").alias("t")).distinct()
     names = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
