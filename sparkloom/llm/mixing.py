@@ -16,7 +16,7 @@ from sparkloom.llm.shared import even_ranges, stored
 
 WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
-SPACE = r"[\x20\x09-\x0D]"
+SPACE, WORD = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
 LEAD = 7  # hex digits of the order key that place a document in a slice
 MOST_RANGES = 10_000
 
@@ -130,18 +130,30 @@ def taken_by_document(docs: DataFrame, **options) -> DataFrame:
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mix itself, range-sorted by virtual finish time: the columns of ``docs`` for every
     pass of a document, and ``mix_pass``, ``mix_finish`` (1 of a document that its source's target
-    cuts) and ``mix_words``.  The text of a document that is cut is its first ``mix_words`` words."""
+    cuts) and ``mix_words``.  The text of a document that is cut is its first ``mix_words`` words, with the space
+    before and between them; what is taken of equal rows is dealt out as evenly as whole words allow."""
     units, queue = fair_queue(docs, **options)
     names = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
     rows = rows.withColumn("tie", F.md5(F.coalesce("row.text", F.lit(""))))
     q = queue.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("tie").alias("t"), "size", "n", "pass", "key", "finish", "taken")
     rows = rows.join(q, F.col("row.doc_id").cast("long").eqNullSafe(F.col("d")) & F.col("row.source").eqNullSafe(F.col("s")) & (F.col("tie") == F.col("t")))
-    words = F.split(F.regexp_replace("row.text", f"^{SPACE}+", ""), f"{SPACE}+")
-    each = F.ceil(F.col("taken") / F.col("n")).cast("int")
-    text = F.when(each < F.col("size"), F.array_join(F.slice(words, 1, each), " ")).otherwise(F.col("row.text"))
+    partial = F.col("taken") < F.col("size") * F.col("n")
+    several = partial & (F.col("n") > 1)
+    # only a few documents are cut: the rows that such a one repeats are numbered, equal rows together
+    unit = ["d", "s", "t", "pass"]
+    cut = rows.where(several).withColumn("mark", F.xxhash64("row"))
+    cut = cut.groupBy(*unit, "mark").agg(F.count("*").alias("m"), *[F.first(c).alias(c) for c in ("row", "size", "n", "key", "finish", "taken")])
+    upto = F.sum("m").over(Window.partitionBy(*unit).orderBy("mark"))
+    cut = cut.withColumn("upto", upto).withColumn("number", F.explode(F.sequence(F.col("upto") - F.col("m") + 1, F.col("upto"))))
+    rest = rows.where(~several).withColumn("number", F.lit(1).cast("long"))
+    common = ["row", "size", "n", "pass", "key", "finish", "taken", "number"]
+    rows = rest.select(*common).unionByName(cut.select(*common)).withColumn("each", shares(F.col("taken"), F.col("n"), F.col("number"))).where("each > 0")
+    # words with the space before each, so that what is left of a text is left as it was
+    words = F.regexp_extract_all(F.col("row.text"), F.lit(f"{SPACE}*{WORD}+"), F.lit(0))
+    text = F.when(F.col("each") < F.col("size"), F.array_join(F.slice(words, 1, F.col("each").cast("int")), "")).otherwise(F.col("row.text"))
     out = [text.alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in names]
-    extra = [F.col("pass").alias("mix_pass"), F.least("finish", F.lit(1.0)).alias("mix_finish"), F.least(each, F.col("size")).cast("long").alias("mix_words")]
+    extra = [F.col("pass").alias("mix_pass"), F.least("finish", F.lit(1.0)).alias("mix_finish"), F.col("each").alias("mix_words")]
     rows = rows.select(*out, *[x for x, c in zip(extra, ("mix_pass", "mix_finish", "mix_words")) if c not in names], F.least("finish", F.lit(1.0)).alias("__time"), F.col("key").alias("__key"))
     return rows.orderBy("__time", "__key").drop("__time", "__key")
 
