@@ -351,7 +351,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     ``class_id`` is the smallest doc_id of the class, null only where all its ids are;
     ``class_node`` names the class and the text of ``class_id``.  Needs doc_id and text; null
-    texts count as empty ones, repeated rows repeat in the result."""
+    texts count as empty ones, repeated rows repeat in the result, an empty table gives no rows.  Texts are read
+    whole: a worker holds a few megabytes of them at a time, and a longer one alone."""
     spark = docs.sparkSession
     shares = spark.sparkContext.broadcast(shingle_shares(docs))
     rows = stored(signed(docs, shares), "signed")
@@ -380,7 +381,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each class, the one of the smallest id, with all its columns."""
+    """One document of each class, the one of the smallest id, with all its columns.  Null ids come last, null and
+    empty texts are one class, and of rows that repeat id and text one stays."""
     classes = near_duplicates(docs)
     kept = classes.where("node = class_node and doc_id <=> class_id").groupBy("doc_id", "node").count()
     kept = stored(kept.select(F.col("doc_id").alias("k_id"), F.col("node").alias("k_node"), "count"), "kept")

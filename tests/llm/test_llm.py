@@ -626,6 +626,18 @@ def test_contamination(spark):
     assert kept == {k for k, v in got.items() if not v.contaminated}
 
 
+def test_long_items_and_long_texts(spark):
+    """A long item beside short ones: each hit is laid over its own item's length, and a very long text is read whole."""
+    r = random.Random(12)
+    long, short = prose(r, 900), prose(r, 3)
+    filler = prose(r, 9000)
+    rows = [(1, f"{filler} {short} {filler}"), (2, f"{filler} {long}"), (3, filler), (4, " ".join(long.split()[4000:4060]))]
+    bench = spark.createDataFrame([(1, long), (2, short)], "item_id long, text string")
+    got = {x.doc_id: (x.contaminated, x.item_id, x.score) for x in decontaminate.contamination(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    size = lambda t: len(re.findall(r"[^\W_]+", t))
+    assert got == {1: (True, 2, size(short)), 2: (True, 1, size(long)), 3: (False, None, None), 4: (True, 1, 60)}
+
+
 def test_contamination_odd(spark, odd, empty):
     bench = spark.createDataFrame([(1, "same text again"), (2, None)], "item_id long, text string")
     assert decontaminate.contamination(odd, bench).count() == len(odd_rows())
@@ -968,6 +980,20 @@ def test_mixing(spark, odd, empty):
     assert mixing.mix(odd).columns[: len(odd.columns)] == odd.columns
 
 
+def test_the_mix_takes_what_the_report_says(spark):
+    """Equal rows share a cut document's words exactly, whatever their other columns, and a cut text keeps its space."""
+    rows = [(1, "one two\n three", "a", f"x{i % 3}") for i in range(7)] + [(2, "  x\ty  z " * 4, "b", "x"), (3, "w " * 50, "c", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, more string")
+    for budget in (None, 60, 40, 11):
+        want, got, texts = Counter(), Counter(), {1: rows[0][1], 2: rows[7][1], 3: rows[8][1]}
+        for x in mixing.taken_by_document(docs, budget=budget).collect():
+            want[x.doc_id] += x.taken
+        for x in mixing.mix(docs, budget=budget).collect():
+            got[x.doc_id] += x.mix_words
+            assert len(x.text.split()) == x.mix_words > 0 and texts[x.doc_id].startswith(x.text)
+        assert +want == +got
+
+
 def test_the_queue_is_cut_at_the_budget(spark):
     """All sources in one order of finish time, and the first so many words of it."""
     r = random.Random(19)
