@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -902,6 +903,7 @@ def test_toxicity_odd(spark, odd, empty):
     labels = spark.createDataFrame([(3, 1), (7, 0)], "doc_id long, toxic int")
     got = toxicity.toxicity(odd, labels).collect()
     assert len(got) == len(odd_rows()) and all(0 <= x.score <= 1 and x.predicted == int(x.score >= 0.5) for x in got)
+    assert all(x.held_out == (x.doc_id is not None and zlib.crc32(str(x.doc_id).encode()) % 5 == 0) for x in got)
     none = toxicity.toxicity(odd, labels.limit(0)).collect()
     assert all(x.predicted == 0 for x in none)
     assert toxicity.toxicity(empty, labels).count() == 0 and toxicity.drop_toxic(odd, labels.limit(0)).columns == odd.columns
