@@ -282,33 +282,14 @@ def even_ranges(df: DataFrame, key: Column, weight: Column, target: float, fine:
     return Ranges(column, last + 1, [*totals, last_weight])
 
 
-def spark_hash(value: int) -> int:
-    """Spark's hash of an integer column, by which repartition deals rows out (Murmur3, seed 42)."""
-    rotate = lambda x, n: (x << n | x >> (32 - n)) & 0xFFFFFFFF
-    k = rotate((value & 0xFFFFFFFF) * 0xCC9E2D51 & 0xFFFFFFFF, 15) * 0x1B873593 & 0xFFFFFFFF
-    h = (rotate(42 ^ k, 13) * 5 + 0xE6546B64 & 0xFFFFFFFF) ^ 4
-    h = (h ^ h >> 16) * 0x85EBCA6B & 0xFFFFFFFF
-    h = (h ^ h >> 13) * 0xC2B2AE35 & 0xFFFFFFFF
-    h ^= h >> 16
-    return h - (1 << 32) if h >> 31 else h
-
-
 def in_ranges(df: DataFrame, name: str, ranges: Ranges) -> DataFrame:
-    """Deal rows out by their range number: neighbours together, partitions of about equal weight.
-
-    Each partition gets a number whose hash falls to it, so that no two of them meet in one."""
+    """Deal rows out by their range number: neighbours together, partitions of about equal weight."""
     n = max(1, min(ranges.count, max(parts(df.sparkSession), math.ceil(ranges.count / 4))))
-    marks: dict[int, int] = {}
-    value = 0
-    while len(marks) < n:
-        marks.setdefault(spark_hash(value) % n, value)
-        value += 1
     share, before, own = (sum(ranges.totals) or 1) / n, 0.0, []
     for w in ranges.totals:
-        own.append(marks[min(n - 1, int((before + w / 2) / share))])
+        own.append(min(n - 1, int((before + w / 2) / share)))
         before += w
-    deal = F.get(F.from_json(F.lit(str(own)), "array<int>"), F.col(name))
-    return df.withColumn("__deal", deal).repartition(n, "__deal").drop("__deal")
+    return df.repartitionById(n, F.get(F.from_json(F.lit(str(own)), "array<int>"), F.col(name)))
 
 
 # ---------------------------------------------------------------- connected components
