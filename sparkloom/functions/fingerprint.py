@@ -8,10 +8,12 @@ import unicodedata
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SCHEMA = "exact string, shingles array<long>, idx array<int>, weights array<double>, signature long"
+from sparkloom.functions import text as T
+
+SCHEMA = "exact string, shingles array<long>, idx array<int>, weights array<int>, norm long, signature long"
 
 
 def words_of(value: str) -> list[str]:
@@ -41,27 +43,61 @@ def fingerprint_one(value: str | None, dimensions: int) -> tuple | None:
     shingles = sorted(int.from_bytes(hashlib.blake2b(r.encode(), digest_size=8).digest(), "big", signed=True) for r in runs)
     place = (hashes % np.uint64(dimensions)).astype(np.int64)
     sign = np.where((hashes >> np.uint64(8)) & np.uint64(1), 1.0, -1.0)
-    vector = np.bincount(place, sign, dimensions)
-    norm = np.sqrt((vector * vector).sum())
+    vector = np.bincount(place, sign, dimensions).astype(np.int64)
     idx = np.flatnonzero(vector)
-    weights = vector[idx] / norm if norm else vector[idx]
     sig = signature(hashes)
-    return hashlib.sha256(" ".join(words).encode()).hexdigest(), shingles, idx.tolist(), weights.tolist(), sig - (1 << 64) if sig >> 63 else sig
+    return hashlib.sha256(" ".join(words).encode()).hexdigest(), shingles, idx.tolist(), vector[idx].tolist(), int((vector * vector).sum()), sig - (1 << 64) if sig >> 63 else sig
 
 
 def fingerprint(text: Column, dimensions: int = 384) -> Column:
-    """Digest of the normalized text, hashed word trigrams, the unit vector of signed feature
-    hashes in sparse form, and a 64-bit SimHash as a signed long.  Null for null."""
+    """Digest of the normalized text, hashed word trigrams, the vector of signed feature hashes in
+    sparse form with its squared norm, and a 64-bit SimHash as a signed long.  Null for null."""
 
     @F.pandas_udf(SCHEMA)
     def udf(values: pd.Series) -> pd.DataFrame:
-        rows = [fingerprint_one(v, dimensions) or (None,) * 5 for v in values]
-        out = pd.DataFrame(rows, columns=["exact", "shingles", "idx", "weights", "signature"])
-        return out.astype({"signature": "Int64"})
+        rows = [fingerprint_one(v, dimensions) or (None,) * 6 for v in values]
+        out = pd.DataFrame(rows, columns=["exact", "shingles", "idx", "weights", "norm", "signature"])
+        return out.astype({"norm": "Int64", "signature": "Int64"})
 
     return udf(text)
 
 
+def sha256_fingerprints(rows: DataFrame, key: str, text: str, dimensions: int = 384) -> DataFrame:
+    """``key`` and ``fp`` of the same fields as ``fingerprint`` gives, hashed by SHA-256 and made by DataFrame operations
+    alone: features are rows, which a text's bits and vector are sums of.  Texts are normalized without
+    compatibility forms; ``key`` must be unique, and rows with a null text are left out."""
+    words = rows.where(F.col(text).isNotNull()).select(F.col(key).alias("__key"), T.normalize(F.col(text)).alias("__n")).select("__key", "__n", T.tokens(F.col("__n")).alias("__w"))
+    features = words.select("__key", F.explode_outer(T.bigram_features(F.col("__w"))).alias("__f")).select("__key", F.sha2("__f", 256).alias("__hex"))
+    half = lambda at: F.conv(F.substring("__hex", at, 8), 16, 10).cast("long")
+    features = features.select("__key", half(1).alias("__hi"), half(9).alias("__lo"))
+    bits = [F.sum(F.shiftright(F.col("__lo" if k < 32 else "__hi"), k % 32).bitwiseAND(F.lit(1).cast("long"))).alias(f"__b{k}") for k in range(64)]
+    sums = features.groupBy("__key").agg(F.count("__lo").alias("__count"), *bits)
+    signature = F.lit(0).cast("long")
+    for k in range(64):
+        signature = signature.bitwiseOR(F.when(2 * F.coalesce(F.col(f"__b{k}"), F.lit(0)) >= F.col("__count"), F.shiftleft(F.lit(1).cast("long"), k)).otherwise(F.lit(0).cast("long")))
+    signed = sums.select("__key", signature.alias("signature"))
+    # the remainder of the 64-bit number from those of its halves
+    place = F.pmod(F.pmod("__hi", F.lit(dimensions)) * ((1 << 32) % dimensions) + F.pmod("__lo", F.lit(dimensions)), F.lit(dimensions)).cast("int")
+    sign = F.when(F.shiftright("__lo", 8).bitwiseAND(F.lit(1).cast("long")) == 1, 1).otherwise(-1)
+    cells = features.where("__lo is not null").groupBy("__key", place.alias("i")).agg(F.sum(sign).cast("int").alias("w")).where("w <> 0")
+    vectors = cells.groupBy("__key").agg(F.array_sort(F.collect_list(F.struct("i", "w"))).alias("v"), F.sum(F.col("w").cast("long") * F.col("w")).alias("norm"))
+    runs = words.select("__key", F.sha2("__n", 256).alias("exact"), F.transform(T.shingles(F.col("__w")), lambda r: F.conv(F.substring(F.sha2(r, 256), 1, 16), 16, -10).cast("long")).alias("shingles"))
+    out = runs.join(signed, "__key").join(vectors, "__key", "left")
+    none = F.array().cast("array<int>")
+    fp = F.struct("exact", "shingles", F.coalesce("v.i", none).alias("idx"), F.coalesce("v.w", none).alias("weights"), F.coalesce("norm", F.lit(0)).alias("norm"), "signature")
+    return out.select(F.col("__key").alias(key), fp.alias("fp"))
+
+
+def with_fingerprints(rows: DataFrame, keep: list[str], text: str, dimensions: int = 384, hash: str = "blake2b") -> DataFrame:
+    """The columns ``keep``, the first of which is unique, and ``fp``; null for a null text."""
+    if hash == "blake2b":
+        return rows.select(*keep, fingerprint(F.col(text), dimensions).alias("fp"))
+    if hash != "sha256":
+        raise ValueError(f"no fingerprints by {hash}")
+    made = sha256_fingerprints(rows, keep[0], text, dimensions).withColumnRenamed(keep[0], "__key")
+    return rows.select(*keep).join(made, F.col(keep[0]) == F.col("__key"), "left").drop("__key")
+
+
 def band_keys(sig: Column, bands: int) -> Column:
     """(band, key) structs; with one band the key is the whole signature."""
     width = 64 // bands
@@ -85,8 +121,9 @@ def lexical(a: Column, b: Column) -> Column:
     return both / (F.size(a) + F.size(b) - both)
 
 
-def semantic(ai: Column, aw: Column, bi: Column, bw: Column) -> Column:
-    """Dot product of two sparse unit vectors, clamped to 0..1."""
-    right = F.map_from_arrays(bi, bw)
-    total = F.aggregate(F.arrays_zip(ai.alias("i"), aw.alias("w")), F.lit(0.0), lambda s, x: s + x["w"] * F.coalesce(F.try_element_at(right, x["i"]), F.lit(0.0)))
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), total))
+def semantic(a: Column, b: Column) -> Column:
+    """Cosine of the sparse vectors of two fingerprints, clamped to 0..1; 0 where one has no length."""
+    right = F.map_from_arrays(b["idx"], b["weights"])
+    dot = F.aggregate(F.arrays_zip(a["idx"].alias("i"), a["weights"].alias("w")), F.lit(0).cast("long"), lambda s, x: s + x["w"] * F.coalesce(F.try_element_at(right, x["i"]), F.lit(0)))
+    scale = F.sqrt(a["norm"].cast("double") * b["norm"])
+    return F.when(scale > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), dot / scale))).otherwise(F.lit(0.0))

@@ -188,15 +188,81 @@ def benchmark_overlap(spark, sf_dir):
     return R.containment(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 0.86)
 
 
-@query()
-def simhash_lsh_dedup(spark, sf_dir):
-    """the full verdict over BLAKE2b fingerprints; tested against a sequential model."""
+def verdicts(spark, sf_dir, hash: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("record_id"), F.col("source").alias("lineage_id"), F.col("text").alias("question"), C.digest(F.col("text")).alias("content_sha256")
     )
     items = table(spark, sf_dir, "benchmark").select(F.lpad(F.col("item_id").cast("string"), 12, "0").alias("benchmark_id"), F.col("text").alias("question"))
-    out = dedup.decontaminate(docs, items, Quality())
-    return out.select("record_id", "contamination.passed", "contamination.match_type", "contamination.match_id", F.round("contamination.similarity", 6).alias("similarity"))
+    out = dedup.decontaminate(docs, items, Quality(), hash)
+    return out.select("record_id", "contamination.passed", "contamination.match_type", "contamination.match_id", F.round("contamination.similarity", 6).alias("similarity"), "contamination.detail")
+
+
+@query()
+def simhash_lsh_dedup(spark, sf_dir):
+    """the full verdict over BLAKE2b fingerprints; tested against a sequential model."""
+    return verdicts(spark, sf_dir, "blake2b")
+
+
+#: Features, bits, vectors and trigrams of all texts; then every pair that shares a band, scored.
+FINGERPRINT_SQL = f"""with t as (
+  select lpad(doc_id::varchar, 12, '0') id, 0 kind, source lineage, {NORMAL_SQL.format("text")} n, sha256(text) content from documents where text is not null union all
+  select lpad(item_id::varchar, 12, '0'), 1, null, {NORMAL_SQL.format("text")}, null from benchmark where text is not null),
+w as (select *, case when n = '' then [] else string_split(n, ' ') end w from t),
+f as (select id, kind, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || '::' || w[i + 1])) f from w),
+h as (select id, kind, ('0x' || substr(sha256(f), 1, 8))::bigint hi, ('0x' || substr(sha256(f), 9, 8))::bigint lo from f),
+c as (select id, kind, b, sum((case when b < 32 then lo else hi end >> (b % 32)) & 1) ones, count(*) n from h, range(64) r(b) group by id, kind, b),
+s as (select id, kind, (b // 8)::int band, sum(case when 2 * coalesce(ones, 0) >= coalesce(n, 0) then 1 << (b % 8) else 0 end)::int as key
+      from (select id, kind, b from w, range(64) r(b)) left join c using (id, kind, b) group by id, kind, band),
+v as materialized (select id, kind, ((hi::hugeint * 4294967296 + lo) % 384)::int i, sum(case when (lo >> 8) & 1 = 1 then 1 else -1 end)::bigint x from h group by id, kind, i having x <> 0),
+n as (select id, kind, coalesce(sum(x * x), 0)::double n from w left join v using (id, kind) group by id, kind),
+g as materialized (select id, kind, unnest(list_distinct(case when len(w) < 3 then [array_to_string(w, ' ')] else list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) end)) g from w),
+gn as (select id, kind, count(*) n from g group by id, kind),
+"""
+NEAR_SQL = f"lex >= {Quality().near_duplicate_threshold} or sem >= {Quality().semantic_threshold}"
+VERDICT_SQL = FINGERPRINT_SQL + f"""d as (select id, lineage, content, min(id) over (partition by content) first from w where kind = 0),
+p as materialized (select distinct x.id a, y.id b, y.kind from s x join s y using (band, key) where x.kind = 0 and (y.kind = 1 or y.id < x.id) and x.id in (select id from d where first = id)),
+dots as (select a, b, p.kind, sum(x.x * y.x) dot from p join v x on x.id = a and x.kind = 0 join v y on y.id = b and y.kind = p.kind and y.i = x.i group by a, b, p.kind),
+both_ as (select a, b, p.kind, count(*) n from p join g x on x.id = a and x.kind = 0 join g y on y.id = b and y.kind = p.kind and y.g = x.g group by a, b, p.kind),
+scored as (
+  select a, b, p.kind, coalesce(m.n, 0) / (ga.n + gb.n - coalesce(m.n, 0)) lex,
+         case when na.n * nb.n > 0 then greatest(0, least(1, coalesce(dot, 0)::double / sqrt(na.n * nb.n))) else 0 end sem, x.lineage is distinct from y.lineage other
+  from p left join dots using (a, b, kind) left join both_ m using (a, b, kind)
+  join n na on na.id = a and na.kind = 0 join n nb on nb.id = b and nb.kind = p.kind join gn ga on ga.id = a and ga.kind = 0 join gn gb on gb.id = b and gb.kind = p.kind
+  join w x on x.id = a and x.kind = 0 join w y on y.id = b and y.kind = p.kind),
+hits as (
+  select a, min({{'b': b, 'lex': lex, 'sem': sem}}) filter (kind = 1 and ({NEAR_SQL})) item, min({{'b': b, 'lex': lex, 'sem': sem}}) filter (kind = 0 and other and ({NEAR_SQL})) near,
+         max(greatest(lex, sem)) filter (kind = 0) nearest from scored group by a),
+verdict as (
+  select lpad(doc_id::varchar, 12, '0') record_id, case when d.first < d.id then 'exact_record' when item is not null then 'protected_benchmark' when near is not null then 'cross_lineage_near_duplicate' end match_type,
+         case when d.first < d.id then null when item is not null then item when near is not null then near end hit, first, nearest
+  from documents left join d on d.id = lpad(doc_id::varchar, 12, '0') left join hits on a = d.id)
+select record_id, match_type is null passed, match_type, case when match_type = 'exact_record' then first else hit.b end match_id,
+       round(case when match_type = 'exact_record' then 1 when match_type is not null then greatest(hit.lex, hit.sem) else coalesce(nearest, 0) end, 6) similarity,
+       case when match_type = 'exact_record' then 'canonical question/answer duplicate' when match_type is not null then format('lexical={{:.3f}}; semantic={{:.3f}}', hit.lex, hit.sem)
+            when nearest > 0 then format('nearest candidate similarity={{:.3f}}', nearest) else 'no material overlap detected' end detail
+from verdict"""
+
+
+@query(VERDICT_SQL)
+def simhash_sha256_dedup(spark, sf_dir):
+    """The full verdict over SHA-256 fingerprints, which are DataFrame operations."""
+    return verdicts(spark, sf_dir, "sha256")
+
+
+@query(
+    FINGERPRINT_SQL
+    + """vs as (select id, kind, string_agg(i || ':' || x, ',' order by i) vector from v group by id, kind),
+    ss as (select id, kind, string_agg(key, ',' order by band) bands from s group by id, kind)
+    select id record_id, bands, coalesce(vector, '') vector, n.n::bigint norm, gn.n trigrams from w
+    left join vs using (id, kind) join ss using (id, kind) join n using (id, kind) join gn using (id, kind) where kind = 0"""
+)
+def sha256_fingerprints(spark, sf_dir):
+    """Band keys of the signature, the signed feature vector, its squared norm and the number of trigrams."""
+    docs = table(spark, sf_dir, "documents").select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("record_id"), "text")
+    rows = FP.sha256_fingerprints(docs, "record_id", "text")
+    keys = F.array_join(F.transform(FP.band_keys(F.col("fp.signature"), 8), lambda k: k["key"].cast("string")), ",")
+    vector = F.array_join(F.transform(F.arrays_zip(F.col("fp.idx").alias("i"), F.col("fp.weights").alias("w")), lambda x: F.concat(x["i"].cast("string"), F.lit(":"), x["w"].cast("string"))), ",")
+    return rows.select("record_id", keys.alias("bands"), vector.alias("vector"), F.col("fp.norm").alias("norm"), F.size("fp.shingles").cast("long").alias("trigrams"))
 
 
 # ------------------------------------------------------------------ gates

@@ -7,6 +7,7 @@ import random
 import re
 import unicodedata
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,18 +101,22 @@ def test_known_signatures():
     assert FP.signature(FP.feature_hashes(["a"])) == 0x40F89E395B66422F
 
 
-def model_verdicts(candidates, items, q):
+def sha_hashes(words):
+    return np.array([int(hashlib.sha256(f.encode()).hexdigest()[:16], 16) for f in words + [f"{a}::{b}" for a, b in zip(words, words[1:])]], np.uint64)
+
+
+def model_verdicts(candidates, items, q, feature_hashes=FP.feature_hashes):
     """The rule as it reads: one candidate after another."""
 
     def shape(text):
         words = FP.words_of(text)
-        hashes = [int(h) for h in FP.feature_hashes(words)]
+        hashes = [int(h) for h in feature_hashes(words)]
         vector = [0.0] * q.semantic_dimensions
         for h in hashes:
             vector[h % q.semantic_dimensions] += 1.0 if h >> 8 & 1 else -1.0
         norm = math.sqrt(sum(v * v for v in vector)) or 1.0
         runs = frozenset(" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2)))
-        return runs, [v / norm for v in vector], FP.signature(FP.feature_hashes(words))
+        return runs, [v / norm for v in vector], FP.signature(feature_hashes(words))
 
     width = 64 // q.semantic_lsh_bands
 
@@ -144,8 +149,10 @@ def model_verdicts(candidates, items, q):
     return out
 
 
-@pytest.mark.parametrize("bands", [1, 4, 16])
-def test_decontaminate_equals_sequential_model(spark, bands):
+@pytest.mark.parametrize("hash, bands, block", [("blake2b", 1, 1024), ("blake2b", 4, 3), ("blake2b", 16, 1024), ("sha256", 8, 5)])
+def test_decontaminate_equals_sequential_model(spark, monkeypatch, hash, bands, block):
+    monkeypatch.setattr(dedup, "BLOCK", block)
+    monkeypatch.setattr(dedup, "HOT", block)
     r = random.Random(bands)
     base = [" ".join(r.choice("red blue green fast slow cat dog sun moon tree river stone".split()) for _ in range(12)) for _ in range(6)]
 
@@ -158,13 +165,39 @@ def test_decontaminate_equals_sequential_model(spark, bands):
     rows = [(f"r{i:03d}", f"l{r.randrange(8)}", edit(r.choice(base)), f"c{r.randrange(50)}") for i in range(50)] + [("r999", "l1", "", "empty"), ("r998", "l2", "!!", "marks")]
     items = [(f"b{i}", edit(base[i])) for i in range(3)]
     q = Quality(semantic_lsh_bands=bands)
-    got = dedup.decontaminate(spark.createDataFrame(rows, "record_id string, lineage_id string, question string, content_sha256 string"), spark.createDataFrame(items, "benchmark_id string, question string"), q)
-    want = model_verdicts(rows, items, q)
+    got = dedup.decontaminate(spark.createDataFrame(rows, "record_id string, lineage_id string, question string, content_sha256 string"), spark.createDataFrame(items, "benchmark_id string, question string"), q, hash)
+    want = model_verdicts(rows, items, q, sha_hashes if hash == "sha256" else FP.feature_hashes)
     for x in got.select("record_id", "contamination.*").collect():
         assert (x.passed, x.match_type, x.match_id) == want[x.record_id][:3], x
         assert x.similarity == pytest.approx(want[x.record_id][3], abs=1e-9)
 
 
+def test_shared_shingles_however_common(monkeypatch):
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 40, rng.integers(0, 30))).tolist() + [1000] * (i % 2) for i in range(60)]
+    want = [[len(set(a) & set(b)) for b in sets] for a in sets]
+    for hot in (0, 1, 12, 1000):
+        monkeypatch.setattr(dedup, "HOT", hot)
+        got = dedup.shared_shingles(sets)
+        assert (got - np.diag(np.diag(got)) == np.array(want) - np.diag(np.diag(want))).all()
+
+
+def test_sha256_fingerprints_equal_a_plain_form(spark):
+    r = random.Random(6)
+    texts = [" ".join(r.choices("the a river Stone, moves! x_1 9".split(), k=r.randrange(0, 30))) for _ in range(40)] + ["", "!!", "one", "Two words"]
+    rows = spark.createDataFrame(list(enumerate([*texts, None])), "id int, text string")
+    for x in FP.with_fingerprints(rows, ["id"], "text", 384, "sha256").collect():
+        if x.id == len(texts):
+            assert x.fp is None
+            continue
+        words = FP.words_of(texts[x.id])
+        hashes = sha_hashes(words)
+        vector = np.bincount((hashes % np.uint64(384)).astype(int), np.where(hashes >> np.uint64(8) & np.uint64(1), 1, -1), 384).astype(int)
+        assert x.fp.signature % (1 << 64) == FP.signature(hashes) and dict(zip(x.fp.idx, x.fp.weights)) == {i: v for i, v in enumerate(vector.tolist()) if v}
+        runs = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
+        assert x.fp.norm == (vector**2).sum() and {s % (1 << 64) for s in x.fp.shingles} == {int(hashlib.sha256(g.encode()).hexdigest()[:16], 16) for g in runs}
+
+
 def test_registered_dedup_reaches_near_duplicates_of_all_default_bands(spark, tmp_path):
     from sparkloom.plans.registry import simhash_lsh_dedup
 
