@@ -250,20 +250,17 @@ def release_cross_rules(spark, sf_dir):
 
 
 @query(
-    f"""with r as (select lang, case when doc_id % 29 = 0 then 'test' else {split_sql("source")} end split, doc_id % 10 domain from documents where doc_id % 31 <> 0 and doc_id % 37 <> 0 or doc_id % 31 = 0),
-    c as (select count(*) filter (split = 'train') a, count(*) filter (split = 'validation') b, count(*) filter (split = 'test') c, count(distinct lang) k from r)
-    select 'train: ' || a || ' of at least 20000' failure from c where a < 20000 union all select 'validation: ' || b || ' of at least 2000' from c where b < 2000
-    union all select 'test: ' || c || ' of at least 2000' from c where c < 2000 union all select 'categories: ' || k || ' of at least 10' from c where k < 10
-    union all select 'difficulties without a record: advanced, intermediate, introductory'"""
+    f"""with dom(i, name) as (values {", ".join(f"({i}, '{a['domain']}')" for i, a in enumerate(fixtures.behavior_anchors()))}),
+    f(dimension, "value", floor) as (values {", ".join(f"('{d}', '{v}', {n})" for d, v, n in release.POLICY_FLOORS)}),
+    r as (select lang, case when doc_id % 29 = 0 then 'test' else {split_sql("source")} end split, case when doc_id % 31 <> 0 and doc_id % 37 <> 0 then doc_id % 10 end i from documents),
+    c as (select 'split' dimension, split as "value", count(*) n from r group by 2 union all select 'distinct', 'category', count(distinct lang) from r union all select 'domain', name, count(*) from r join dom using (i) group by 2)
+    select dimension, "value", floor::bigint floor, coalesce(n, 0)::bigint have, (floor - coalesce(n, 0))::bigint deficit from f left join c using (dimension, "value") where coalesce(n, 0) < floor"""
 )
 def production_policy(spark, sf_dir):
-    """The facts of a release against the floors of production."""
-    rows = records(spark, sf_dir).where(~F.array_contains("behavior_anchor_ids", "nobody"))
-    empty = F.array().cast("array<string>")
-    rows = rows.select("*", empty.alias("source_ids"), F.lit("t").alias("teacher_id"), F.lit(1).alias("generation_depth"))
-    f = release.facts(rows, {a["anchor_id"]: a["domain"] for a in fixtures.behavior_anchors()})
-    failed = release.policy_failures(f["train"], f["validation"], f["test"], set(f["categories"]), set(f["difficulties"]), set(f["domains"]))
-    return spark.createDataFrame([(x,) for x in failed], "failure string")
+    """The records of a release against the floors of production."""
+    rows = records(spark, sf_dir)
+    domains = {a["anchor_id"]: a["domain"] for a in fixtures.behavior_anchors()}
+    return release.policy_deficits(rows.select("split", "dimensions.category", "dimensions.difficulty", release.domains_of(F.col("behavior_anchor_ids"), domains).alias("domains")))
 
 
 @query("select 'differs-from-selection' code, lpad(doc_id::varchar, 9, '0') key from documents where doc_id % 41 = 0")

@@ -33,8 +33,7 @@ def utc_now() -> str:
 def candidates(seeds: DataFrame, outputs: DataFrame, config, run_id: str, teacher: dict, at: str) -> DataFrame:
     """Raw candidates of seeds with their ``outputs``: split, transform, ids and digests."""
     g = config.generation
-    count = g.candidates_per_seed
-    names = F.array(*[F.lit(t) for t in splits.transform_ids(count)])
+    names = F.array(*[F.lit(t) for t in splits.TRANSFORMS])
     rows = outputs.withColumn("split", splits.assign_split(F.col("lineage_id"), config.split))
     rows = rows.select("*", F.posexplode("outputs").alias("candidate_index", "output")).drop("outputs")
     rows = rows.withColumn("question_transform_id", F.get(names, F.col("candidate_index"))).withColumn("seed_question", F.col("question"))

@@ -129,12 +129,18 @@ def test_doctor(spark):
     assert failed(ws) == {"taxonomy_membership", "generation_depth"}
 
 
-def test_production_policy():
+def test_production_policy(spark, monkeypatch):
+    """Each floor by one record too few, and all of them met."""
     from sparkloom.config import BEHAVIOR_DOMAINS, DIFFICULTIES
 
-    full = (20_000, 2_000, 2_000, set(range(10)), set(DIFFICULTIES), set(BEHAVIOR_DOMAINS))
-    assert release.policy_failures(*full) == []
-    assert len(release.policy_failures(19_999, 1_999, 1_999, set(range(9)), {"advanced"}, set())) == 6
+    monkeypatch.setattr(release, "POLICY_FLOORS", [(d, v, min(n, 12 if d == "split" else 10)) for d, v, n in release.POLICY_FLOORS])
+    rows = [(s, f"c{i % 10}", [*DIFFICULTIES][i % 3], [BEHAVIOR_DOMAINS[i % 10]]) for s in ("train", "validation", "test") for i in range(12)]
+    deficits = lambda rows: {(x.dimension, x.value): x.deficit for x in release.policy_deficits(spark.createDataFrame(rows, "split string, category string, difficulty string, domains array<string>")).collect()}
+    assert deficits(rows) == {}
+    assert deficits(rows[1:]) == {("split", "train"): 1}
+    short = [(s, c.replace("c9", "c8"), d if d != "advanced" else None, [x for x in a if x != BEHAVIOR_DOMAINS[4]]) for s, c, d, a in rows]
+    assert deficits(short) == {("distinct", "category"): 1, ("difficulty", "advanced"): 1, ("domain", BEHAVIOR_DOMAINS[4]): 1}
+    assert len(deficits([])) == len(release.POLICY_FLOORS)
 
 
 def test_calibration_through_the_queue(spark, tmp_path):

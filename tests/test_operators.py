@@ -60,8 +60,9 @@ def test_split_points(spark):
 def test_transforms(spark):
     rows = splits.expand_questions(spark.createDataFrame([("Why {x}?",)], "q string"), "q", 10).collect()
     assert [r.prompt for r in rows] == [t.replace("{question}", "Why {x}?") for t in splits.TRANSFORMS.values()]
+    assert [r.transform_id for r in rows] == [*splits.TRANSFORMS] and [r.candidate_index for r in rows] == [*range(10)]
     with pytest.raises(ConfigurationError):
-        splits.transform_ids(11)
+        splits.expand_questions(spark.createDataFrame([("Why?",)], "q string"), "q", 11)
     with pytest.raises(Exception, match="unknown question transform"):
         col(spark, splits.transform_question(F.lit("q"), F.lit("none")))
 
