@@ -120,7 +120,7 @@ class Config:
         need(self.schema_version in ("1.0", "1.1"), "unknown schema version")
         if self.schema_version == "1.0":
             return
-        need(self.demo_mode == (self.release.corpus_class == "test_fixture"), "demo_mode must be true exactly for test_fixture corpora")
+        need(self.demo_mode == (self.release.corpus_class == "test_fixture"), f"corpus class {self.release.corpus_class} does not go with demo_mode = {self.demo_mode}: fixtures, and only they, are demos")
         if self.release.corpus_class == "production":
             need(self.quality.target_size >= sum(FLOORS.values()), f"production target_size must be at least {sum(FLOORS.values())}")
 

@@ -109,6 +109,7 @@ def verify(candidates: DataFrame, regex: bool = True) -> DataFrame:
         passed = F.when(spec["kind"] == "regex", own).otherwise(passed)
     required, given = F.array_sort(spec["required_citation_ids"]), F.array_sort(cited)
     a, e = first_number(answer), first_number(spec["expected"])
+    # Details are part of the artifacts.
     detail = (
         F.when(spec["kind"] == "exact", "case-insensitive normalized exact comparison")
         .when((spec["kind"] == "numeric") & (a.isNull() | e.isNull()), "numeric value could not be parsed")

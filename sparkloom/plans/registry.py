@@ -660,26 +660,30 @@ def lease_state_machine(spark, sf_dir):
 
 
 @query(
-    """with r as (select unnest(range(0, 1000)) i) select category, count(*) n from r, (values ('inventory-reconciliation'), ('financial-arithmetic'), ('linear-equations'),
+    """select category, count(*) n from supplier, (values ('inventory-reconciliation'), ('financial-arithmetic'), ('linear-equations'),
     ('proportional-allocation'), ('robust-statistics'), ('dependency-planning'), ('set-accounting'), ('structured-aggregation'), ('deductive-logic'), ('program-tracing')) c(category) group by 1"""
 )
 def calibration_solved(spark, sf_dir):
-    """Of 10,000 generated tasks under every transform, those that the blind solver gets right, by family; all of them."""
-    seeds = splits.expand_questions(calibration.bank(spark, 10_000), "question", 10)
-    right = seeds.withColumn("answer", calibration.solve(F.col("prompt"))).where("answer = reference_answer")
-    return right.select("dimensions.category", "seed_id").distinct().groupBy("category").agg(F.count("*").alias("n"))
+    """Of the ten tasks that each supplier's number makes, under every transform, those that the blind solver gets right, by family; all of them."""
+    seeds = calibration.tasks(table(spark, sf_dir, "supplier"), "s_suppkey").select("seed_id", "dimensions.category", "question", "reference_answer")
+    asked = splits.expand_questions(seeds, "question", 10).withColumn("right", calibration.solve(F.col("prompt")) == F.col("reference_answer"))
+    right = asked.groupBy("category", "seed_id").agg(F.every(F.coalesce("right", F.lit(False))).alias("right")).where("right")
+    return right.groupBy("category").agg(F.count("*").alias("n"))
 
 
-@query("select i % 10 slot, case when i % 10 < 3 then 'introductory' when i % 10 < 8 then 'intermediate' else 'advanced' end difficulty, sum(140 + i * 7 + 31 + (i * 11) % 83 - (44 + (i * 13) % 71) - (2 + i % 9))::bigint answers from range(0, 1000) t(i) group by all")
+@query(
+    """select i % 10 slot, case when i % 10 < 3 then 'introductory' when i % 10 < 8 then 'intermediate' else 'advanced' end difficulty,
+    sum(140 + i * 7 + 31 + (i * 11) % 83 - (44 + (i * 13) % 71) - (2 + i % 9))::bigint answers from (select p_partkey i from part) group by all"""
+)
 def calibration_inventory(spark, sf_dir):
-    """One family's closed form, summed by difficulty slot."""
-    rows = calibration.bank(spark, 10_000).where("dimensions.category = 'inventory-reconciliation'")
+    """One family's closed form over the numbers of all parts, summed by difficulty slot."""
+    rows = calibration.tasks(table(spark, sf_dir, "part"), "p_partkey").where("dimensions.category = 'inventory-reconciliation'")
     i = F.substring_index("seed_id", "-", -1).cast("long")
     return rows.groupBy((i % 10).alias("slot"), "dimensions.difficulty").agg(F.sum(F.col("reference_answer").cast("long")).alias("answers"))
 
 
-@query("select item_id, greatest(0, 1000 - len(text)) room, sha256(text) digest, len(text) <= 16384 allowed from benchmark")
+@query(f"""select item_id, greatest(0, 1000 - len(text)) room, sha256(text) digest, len(text) <= 16384 and not contains({FOLD_SQL.format("text")}, 'tion that') and not contains({FOLD_SQL.format("text")}, 'blees') allowed from benchmark""")
 def prompt_guard(spark, sf_dir):
-    """Prompts within bounds that show no private identifier."""
-    rows = broker.guard(table(spark, sf_dir, "benchmark"), "text", ["SRC-PILOT-AUTHORED"])
+    """Prompts within bounds that show no private identifier; some show one, whatever its case."""
+    rows = broker.guard(table(spark, sf_dir, "benchmark"), "text", ["SRC-PILOT-AUTHORED", "Tion That", "BLEES"])
     return rows.select("item_id", F.greatest(F.lit(0), 1000 - F.length("text")).cast("long").alias("room"), C.digest(F.col("text")).alias("digest"), "allowed")
