@@ -1,26 +1,26 @@
 """Quality, coverage and the choice of records.
 
-The greedy choice is sequential, but a record's gain never rises while coverage grows, so a heap
-of stale gains gives the same answer in O(n log n).  It runs on the driver over a compact table
-(id, lineage, quality, eight codes); the number of rows is checked against a limit first.  Where
-lineages and capacity do not interact the choice is a window, and stays distributed.
+The greedy choice takes, again and again, the record of highest quality and gain, the gain being its
+features that no record so far has.  A record's value only falls while coverage grows, so records
+are taken in order of the value they are taken at, and only as many of them bring something new as there
+are features.  These are found on the driver from pages of the best records; all others are
+taken for their quality alone, which is a rank within their lineages and one cut in the global order,
+both in executors.  The driver holds a page, and never all records.
 """
 
 from __future__ import annotations
 
-import heapq
-from collections import Counter
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.config import DIFFICULTIES, DIMENSIONS
 from sparkloom.errors import GateError
 from sparkloom.operators.gates import gate_fraction, gates_pass
+from sparkloom.storage import dispose, stored
 
-#: Rows that the driver's heap takes.
-MOST_ROWS = 1_000_000
 STEP = 0.02
+#: Records that the driver looks at together for those that bring new features.
+PAGE = 2000
 
 
 def quality_score(fraction: Column, verified: Column, similarity: Column, difficulty: Column) -> Column:
@@ -69,47 +69,146 @@ def top_per_lineage(rows: DataFrame, k: int, lineage: str = "lineage_id", score:
     return ranked(rows, lineage, [F.col(score).desc(), F.col(id)]).where(F.col("rank") <= k)
 
 
-def greedy(rows: list[tuple], target: int, per_lineage: int, floors: list[tuple[tuple, int]]) -> list[tuple[object, float]]:
-    """(id, gain) in order of choice, from rows of (id, lineage, quality, features).
-
-    Floors first, in the order given: ranked rows are taken until the floor is met, and one that
-    cannot be met raises.  Then the row of highest quality + STEP * new features, ties by id."""
-    order = sorted(rows, key=lambda r: (-r[2], r[0]))
-    taken, chosen, lineages, covered, counts = set(), [], Counter(), set(), Counter()
-
-    def add(row: tuple) -> bool:
-        if len(chosen) >= target or lineages[row[1]] >= per_lineage:
-            return False
-        fresh = set(row[3]) - covered
-        chosen.append((row[0], float(len(fresh))))
-        taken.add(row[0])
-        lineages[row[1]] += 1
-        covered.update(fresh)
-        counts.update(set(row[3]))
-        return True
-
-    for feature, floor in floors:
-        for row in order:
-            if counts[feature] >= floor:
-                break
-            if feature in row[3] and row[0] not in taken:
-                add(row)
-        if counts[feature] < floor:
-            raise GateError(f"coverage floor cannot be met for {'.'.join(map(str, feature))}: required {floor}, selected {counts[feature]}")
-    value = lambda r: r[2] + STEP * len(set(r[3]) - covered)
-    heap = [(-value(r), r[0], i) for i, r in enumerate(order) if r[0] not in taken]
-    heapq.heapify(heap)
-    while heap and len(chosen) < target:
-        stale, id, i = heapq.heappop(heap)
-        row = order[i]
-        if lineages[row[1]] >= per_lineage:
-            continue
-        now = -value(row)
-        if now != stale:
-            heapq.heappush(heap, (now, id, i))
+def feature_names(columns: dict[str, Column | str]) -> Column:
+    """Features as an array of names, ``dimension=value``; a null value is one of its own."""
+    each = [F.concat(F.lit(f"{d}="), F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("\0"))) for d, c in columns.items()]
+    return F.array_distinct(F.array(*each))
+
+
+def first_rows(rows: DataFrame, order: list[Column], n: int) -> DataFrame:
+    """The first ``n`` rows of a global order.  Range partitions before the one with the cut are kept whole, so no
+    task sorts more than a partition."""
+    if n <= 0:
+        return rows.limit(0)
+    count = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    placed = stored(rows.repartitionByRange(count, *order).withColumn("__range", F.spark_partition_id()), "ordered")
+    sizes = sorted(placed.groupBy("__range").count().collect())  # a row for each partition
+    before = 0
+    for at, size in sizes:
+        if before + size > n:
+            last = placed.where(F.col("__range") == at).orderBy(*order).limit(n - before)
+            return placed.where(F.col("__range") < at).unionByName(last).drop("__range")
+        before += size
+    return placed.drop("__range")
+
+
+def best_first(value: str = "quality") -> list[Column]:
+    return [F.col(value).desc(), F.col("id")]
+
+
+def within_cap(rows: DataFrame, cap: int) -> DataFrame:
+    """Of each lineage the best rows that it has room for beside the ``used`` ones."""
+    place = F.row_number().over(Window.partitionBy("lineage").orderBy(*best_first()))
+    return rows.withColumn("__place", place).where(F.col("__place") <= cap - F.col("used")).drop("__place")
+
+
+def with_used(rows: DataFrame, taken: DataFrame) -> DataFrame:
+    """Rows that are not taken, and how many of their lineage are."""
+    used = taken.groupBy(F.col("lineage").alias("__lineage")).agg(F.count("*").alias("used"))
+    rows = rows.join(taken.select("id"), "id", "left_anti").join(used, F.col("lineage").eqNullSafe(F.col("__lineage")), "left")
+    return rows.withColumn("used", F.coalesce("used", F.lit(0))).drop("__lineage")
+
+
+def fill_floors(table: DataFrame, target: int, cap: int, floors: list[tuple[str, int]]) -> DataFrame:
+    """The rows that the floors take, in turn, each from the best rows that have its feature: id, lineage, quality,
+    features and phase.  Raises where a floor cannot be met."""
+    taken = table.limit(0).withColumn("phase", F.lit(0))
+    total = 0
+    for phase, (feature, floor) in enumerate(floors):
+        have = taken.where(F.array_contains("features", feature)).count()
+        room = min(floor - have, target - total)
+        if floor > have:
+            rows = within_cap(with_used(table.where(F.array_contains("features", feature)), taken), cap)
+            picks = stored(first_rows(rows.drop("used"), best_first(), room).withColumn("phase", F.lit(phase)), "floor")
+            got = picks.count()
+            if have + got < floor:
+                raise GateError(f"{feature} has a floor of {floor}, but only {have + got} records can be taken for it")
+            taken, total = taken.unionByName(picks), total + got
+    return taken
+
+
+def first_gains(taken: DataFrame) -> DataFrame:
+    """id and gain: of how many features a row is the first in the order of taking."""
+    order = F.struct("phase", (-F.col("quality")).alias("q"), "id")
+    firsts = taken.select(order.alias("order"), F.explode("features").alias("f")).groupBy("f").agg(F.min("order").alias("order"))
+    gains = firsts.groupBy(F.col("order.id").alias("__id")).agg(F.count("*").alias("gain"))
+    return taken.join(gains, F.col("id") == F.col("__id"), "left").select("id", F.coalesce("gain", F.lit(0)).cast("double").alias("gain"))
+
+
+def bringing_new(rows: DataFrame, covered: set[str], cap: int) -> list[tuple]:
+    """(id, lineage, value, gain) of the rows that are taken for new features, in order, if the target does not end
+    before.  ``rows``: id, lineage, quality, features, used, and ``ahead``, the best of its lineage.
+
+    A row's lineage is full when its rows that are taken and its better ones, which are taken for their quality,
+    reach the cap.  A page holds the rows of highest value that may be taken; those on it are worked
+    off as long as one of them is better than whatever follows the page."""
+    picks: list[tuple] = []
+    by_lineage: dict = {}
+    while True:
+        # covered features and picks are as many as there are features at most
+        ids = F.array(*[F.lit(p[0]) for p in picks]) if picks else F.array()
+        new = F.size(F.array_except("features", F.array(*[F.lit(f) for f in sorted(covered)]) if covered else F.array().cast("array<string>")))
+        own = F.lit(0)
+        if by_lineage:
+            counts = rows.sparkSession.createDataFrame([(k, len(v)) for k, v in by_lineage.items()], rows.select(F.col("lineage").alias("__l"), F.lit(0).alias("__own")).schema)
+            found = rows.join(F.broadcast(counts), F.col("lineage").eqNullSafe(F.col("__l")), "left")
+            own = F.coalesce("__own", F.lit(0))
         else:
-            add(row)
-    return chosen
+            found = rows
+        value = F.col("quality") + F.lit(STEP) * new
+        better = F.size(F.filter("ahead", lambda a: ((a["quality"] > F.col("value")) | (a["quality"] == F.col("value")) & (a["id"] < F.col("id"))) & (~F.array_contains(ids, a["id"]) if picks else F.lit(True))))
+        found = found.withColumn("new", new).where("new > 0").withColumn("value", value)
+        if picks:
+            found = found.where(~F.col("id").isin([p[0] for p in picks]))
+        page = found.where(F.col("used") + own + better < cap).select("id", "lineage", "quality", "features", "used", "ahead", "value").orderBy(*best_first("value")).limit(PAGE).collect()
+        if not page:
+            return picks
+        end = (-page[-1].value, page[-1].id) if len(page) == PAGE else None
+        while page:
+            best = None
+            for r in page:
+                gain = len(set(r.features) - covered)
+                if not gain:
+                    continue
+                key = (-(r.quality + STEP * gain), r.id)
+                if best is None or key < best[0]:
+                    mine = by_lineage.get(r.lineage, ())
+                    ahead = sum((-a.quality, a.id) < key and a.id not in mine for a in r.ahead)
+                    if r.used + len(mine) + ahead < cap:
+                        best = key, r, gain
+            if best is None or end and best[0] > end:
+                break
+            key, r, gain = best
+            picks.append((r.id, r.lineage, -key[0], float(gain)))
+            by_lineage.setdefault(r.lineage, set()).add(r.id)
+            covered |= set(r.features)
+            page.remove(r)
+
+
+def coverage_selection(rows: DataFrame, target: int, cap: int, floors: list[tuple[str, int]]) -> DataFrame:
+    """id and gain of the records that greedy coverage takes from ``rows``: id, lineage, quality and features (names).
+
+    Floors first, in the order given, each from the best rows with its feature; then the row of highest quality
+    + STEP * new features, ties by id, until ``target``.  No lineage gives more than ``cap`` rows; a null lineage is one."""
+    spark = rows.sparkSession
+    table = stored(rows.select("id", "lineage", "quality", "features"), "eligible")
+    taken = fill_floors(table, target, cap, floors)
+    covered = {r[0] for r in taken.select(F.explode("features")).distinct().collect()}
+    # of a lineage's rows with the same features only the best can be taken
+    place = F.row_number().over(Window.partitionBy("lineage", "features").orderBy(*best_first()))
+    left = with_used(table, taken).where(F.col("used") < cap).withColumn("__place", place).where(F.col("__place") <= cap).drop("__place")
+    left = stored(left, "left")
+    ranked_ = left.withColumn("__place", F.row_number().over(Window.partitionBy("lineage").orderBy(*best_first()))).where(F.col("__place") <= cap)
+    best = ranked_.groupBy(F.col("lineage").alias("__l")).agg(F.collect_list(F.struct("quality", "id")).alias("ahead"))
+    known = stored(left.join(best, F.col("lineage").eqNullSafe(F.col("__l"))).drop("__l"), "known")
+    picks = bringing_new(known, covered, cap)
+    gained = spark.createDataFrame(picks, known.select("id", "lineage", F.col("quality").alias("value"), F.lit(0.0).alias("gain")).schema)
+    plain = with_used(left.drop("used"), taken.select("id", "lineage").unionByName(gained.select("id", "lineage")))
+    plain = within_cap(plain, cap).select("id", F.col("quality").alias("value"), F.lit(0.0).alias("gain"))
+    filled = first_rows(plain.unionByName(gained.select("id", "value", "gain")), best_first("value"), target - taken.count())
+    out = stored(first_gains(taken).unionByName(filled.select("id", "gain")), "chosen")
+    dispose(table, left, known)
+    return out
 
 
 def scored(evaluated: DataFrame) -> DataFrame:
@@ -119,32 +218,14 @@ def scored(evaluated: DataFrame) -> DataFrame:
     return rows.withColumn("quality_score", score)
 
 
-def contenders(rows: DataFrame, per_lineage: int, lineage: str, score: str, id: str, features: list[str]) -> DataFrame:
-    """Rows that ``greedy`` can choose: of a lineage's rows with the same features it only ever takes
-    the ``per_lineage`` best, as gain depends on score and features alone.  Exact, and as few rows as
-    there are lineages by combinations of features; Spark limits ranks before the shuffle too."""
-    place = Window.partitionBy(lineage, *features).orderBy(F.col(score).desc(), F.col(id))
-    return rows.withColumn("__place", F.row_number().over(place)).where(F.col("__place") <= per_lineage).drop("__place")
-
-
-def compact_rows(rows: DataFrame, most_rows: int = MOST_ROWS) -> list:
-    """All rows on the driver; raises, rather than drop any, when there are more than ``most_rows``."""
-    got = rows.limit(most_rows + 1).collect()
-    if len(got) > most_rows:
-        raise GateError(f"over {most_rows} eligible records: choose per lineage first, with top_per_lineage")
-    return got
-
-
-def select(evaluated: DataFrame, quality, most_rows: int = MOST_ROWS) -> DataFrame:
+def select(evaluated: DataFrame, quality) -> DataFrame:
     """The selected records with quality_score, coverage_score and selected."""
     rows = scored(evaluated)
-    spark = rows.sparkSession
-    compact = rows.select("record_id", "lineage_id", "quality_score", *[f"dimensions.{d}" for d in DIMENSIONS])
-    compact = contenders(compact, quality.max_per_lineage, "lineage_id", "quality_score", "record_id", list(DIMENSIONS))
-    table = [(r[0], r[1], r[2], tuple(zip(DIMENSIONS, r[3:]))) for r in compact_rows(compact, most_rows)]
-    floors = [((d, v), n) for d, v, n in quality.floors()]
-    chosen = spark.createDataFrame(greedy(table, quality.target_size, quality.max_per_lineage, floors), "id string, coverage_score double")
-    out = rows.join(chosen, F.col("record_id") == F.col("id")).drop("id")
+    features = feature_names({d: f"dimensions.{d}" for d in DIMENSIONS})
+    floors = [(f"{d}={v}", n) for d, v, n in quality.floors()]
+    eligible = rows.select(F.col("record_id").alias("id"), F.col("lineage_id").alias("lineage"), F.col("quality_score").alias("quality"), features.alias("features"))
+    chosen = coverage_selection(eligible, quality.target_size, quality.max_per_lineage, floors)
+    out = rows.join(chosen.select(F.col("id").alias("__id"), F.col("gain").alias("coverage_score")), F.col("record_id") == F.col("__id")).drop("__id")
     return out.withColumn("selected", F.lit(True))
 
 

@@ -477,11 +477,9 @@ select id p_partkey, gain::double gain from r where n > 0"""
 @query(GREEDY_SQL)
 def greedy_coverage_selection(spark, sf_dir):
     """Floors, then greedy coverage."""
-    rows = table(spark, sf_dir, "part").select("p_partkey", "p_brand", (F.col("p_size") / 50.0).alias("quality"), "p_type", "p_size")
-    rows = selection.contenders(rows, 8, "p_brand", "quality", "p_partkey", ["p_type", "p_size"])
-    got = [(r[0], r[1], r[2], (("brand", r[1]), ("type", r[3]), ("size", r[4]))) for r in selection.compact_rows(rows)]
-    chosen = selection.greedy(got, 100, 8, [(("size", 7), 3)])
-    return spark.createDataFrame(chosen, "p_partkey long, gain double")
+    features = selection.feature_names({"brand": "p_brand", "type": "p_type", "size": "p_size"})
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("lineage"), (F.col("p_size") / 50.0).alias("quality"), features.alias("features"))
+    return selection.coverage_selection(rows, 100, 8, [("size=7", 3)]).select(F.col("id").alias("p_partkey"), "gain")
 
 
 # ------------------------------------------------------------------ referential and registry checks

@@ -344,19 +344,41 @@ def naive(rows, target, per_lineage, floors):
     return [(c[0], c[4]) for c in chosen]
 
 
-def test_lazy_greedy_is_greedy():
-    for seed in range(200):
-        r = random.Random(seed)
-        rows = [(f"r{i:02d}", f"l{r.randrange(6)}", r.choice((0.5, 0.52, 0.7)), (("a", r.randrange(4)), ("b", r.randrange(5)))) for i in range(20)]
-        floors = [(("a", 1), r.randrange(1, 4))]
-        args = rows, r.randrange(3, 12), r.randrange(1, 3), floors
-        try:
-            want = naive(*args)
-        except GateError:
-            with pytest.raises(GateError):
-                selection.greedy(*args)
-        else:
-            assert selection.greedy(*args) == want
+@pytest.mark.parametrize("seed", range(6))
+def test_coverage_selection_is_greedy(spark, monkeypatch, seed):
+    """Ties, full lineages, floors that others fill or nobody can, and pages of a few rows; a third of the rows have one lineage."""
+    monkeypatch.setattr(selection, "PAGE", [3, 1000][seed % 2])
+    r = random.Random(seed)
+    rows = [(f"r{i:03d}", "hot" if i % 3 == 0 else f"l{r.randrange(9)}", r.choice((0.5, 0.52, 0.54, 0.7, r.random())), (f"a={r.randrange(6)}", f"b={r.randrange(9)}", f"c={r.randrange(2)}")) for i in range(90)]
+    floors = [[("a=1", 2), ("b=2", 3)], [("a=1", 3), ("a=0", 1)], [], [("a=1", 60)], [("c=0", 12)], [("b=0", 1)]][seed]
+    args = r.randrange(6, 40), r.randrange(1, 4), floors
+    df = spark.createDataFrame(rows, "id string, lineage string, quality double, features array<string>").repartition(5)
+    try:
+        want = naive(rows, *args)
+    except GateError:
+        with pytest.raises(GateError):
+            selection.coverage_selection(df, *args)
+    else:
+        assert {(x.id, x.gain) for x in selection.coverage_selection(df, *args).collect()} == set(want) and len(want) == len({w[0] for w in want})
+
+
+def test_pages_of_rows_that_bring_new(spark, monkeypatch):
+    """The rows that bring something new, from pages of two, are those of the sequential choice, in its order."""
+    monkeypatch.setattr(selection, "PAGE", 2)
+    r = random.Random(11)
+    rows = [(f"r{i:03d}", f"l{i % 5}", r.choice((0.1, 0.4, 0.42, 0.44, 0.9)), [f"a={r.randrange(9)}", f"b={r.randrange(9)}"]) for i in range(60)]
+    want = [(id, gain) for id, gain in naive(rows, 60, 3, []) if gain]
+    ahead = lambda l: sorted([(x[2], x[0]) for x in rows if x[1] == l], key=lambda x: (-x[0], x[1]))[:3]  # noqa: E731, E741
+    df = spark.createDataFrame([(*x, 0, ahead(x[1])) for x in rows], "id string, lineage string, quality double, features array<string>, used int, ahead array<struct<quality double, id string>>")
+    assert [(x[0], x[3]) for x in selection.bringing_new(df, set(), 3)] == want
+
+
+def test_first_rows_of_a_global_order(spark):
+    rows = spark.createDataFrame([(i % 7, f"{i:03d}") for i in range(100)], "quality int, id string").repartition(6)
+    order = selection.best_first()
+    want = [x.id for x in rows.orderBy(*order).collect()]
+    for n in (0, 1, 13, 50, 99, 100, 500):
+        assert sorted(x.id for x in selection.first_rows(rows, order, n).collect()) == sorted(want[:n])
 
 
 def test_quality_and_features(spark):
