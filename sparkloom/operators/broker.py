@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -104,38 +105,57 @@ class Task:
         return self.state, self.digest, self.expires, self.leases, self.rejected, self.answer
 
 
-FOLDED = "task_id string, state string, leases int, rejected int, answer string"
+#: A task's state; ``at`` and ``seq`` are those of its last event.
+FOLDED = "task_id string, state string, digest string, expires double, leases int, rejected int, answer string, at double, seq long"
+RESUME = "resume"
 
 
-def fold(events: DataFrame, seconds: float = LEASE_SECONDS, now: float | None = None) -> DataFrame:
+def resumed(start: DataFrame) -> DataFrame:
+    """Folded states as events that come before all others of their tasks."""
+    held = F.to_json(F.struct("state", "digest", "expires", "leases", "rejected", "answer", "at", "seq"))
+    return start.select("task_id", F.lit(float("-inf")).alias("at"), F.lit(-1).cast("long").alias("seq"), F.lit(RESUME).alias("action"), F.lit(None).cast("string").alias("token"), held.alias("answer"))
+
+
+def fold(events: DataFrame, seconds: float = LEASE_SECONDS, now: float | None = None, start: DataFrame | None = None) -> DataFrame:
     """The state of every task after its events in order of (at, seq), and at the time ``now``, when
-    leases may have run out since.
+    leases may have run out since.  ``start`` holds states (FOLDED) that events are applied to.
 
     Sorted partitions are streamed, so a task with many events needs no more memory than one
     with few."""
+    names = [c.split()[0] for c in FOLDED.split(", ")]
 
     def run(source: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        task, last, out = None, None, []
+        task, id, last, out = None, None, (0.0, 0), []
 
         def row() -> tuple:
             if now is not None:
                 task.expire(now)
-            return last, task.state, task.leases, task.rejected, task.answer
+            return id, *task.row(), *last
 
         for pdf in source:
-            for id, at, action, token, answer in zip(pdf.task_id, pdf["at"], pdf.action, pdf.token, pdf.answer):
-                if id != last:
+            for key, at, seq, action, token, answer in zip(pdf.task_id, pdf["at"], pdf.seq, pdf.action, pdf.token, pdf.answer):
+                if task is None or key != id:
                     if task is not None:
                         out.append(row())
-                    task, last = Task(), id
-                task.apply(action, at, token, answer, seconds)
-            yield pd.DataFrame(out, columns=["task_id", "state", "leases", "rejected", "answer"])
+                    task, id = Task(), key
+                if action == RESUME:
+                    held = json.loads(answer)
+                    last = held.pop("at"), held.pop("seq")
+                    task = Task(**held)
+                else:
+                    task.apply(action, at, token, answer, seconds)
+                    last = at, seq
+            yield pd.DataFrame(out, columns=names)
             out = []
         if task is not None:
-            yield pd.DataFrame([row()], columns=["task_id", "state", "leases", "rejected", "answer"])
+            yield pd.DataFrame([row()], columns=names)
 
     rows = events.select("task_id", "at", "seq", "action", "token", "answer")
-    return rows.repartition("task_id").sortWithinPartitions("task_id", "at", "seq").mapInPandas(run, FOLDED)
+    if start is not None:
+        rows = rows.unionByName(resumed(start))
+    # dealt by a hash of the id: by the id itself Spark may trust that the sides of the union, joined by it before,
+    # are dealt alike already, which adaptive execution can have changed
+    return rows.repartition(F.xxhash64("task_id")).sortWithinPartitions("task_id", "at", "seq").mapInPandas(run, FOLDED)
 
 
 def claim(tasks: DataFrame, n: int = 1) -> DataFrame:

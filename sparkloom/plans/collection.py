@@ -1,6 +1,6 @@
 """A collection: the tasks of a run handed out to workers and taken back, until the run is compiled.
 
-A collection is a folder: its state, the sealed tasks, and an append-only log of events, from which
+A collection is a folder: its state, the sealed tasks, and an append-only log of events with snapshots, from which
 the state of every task is folded.  States: collecting, ready (all tasks are submitted), finalizing,
 finalized, failed.  Each change of state is one file replaced as a whole, so that a finalization
 that died can be told from one that ended, and taken up again by ``recover``.
@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import secrets
 import time
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +18,11 @@ from sparkloom.config import safe_identifier
 from sparkloom.errors import ConfigurationError, EngineError, GateError, ImmutableArtifactError
 from sparkloom.operators import broker, doctor
 from sparkloom.plans import compile as runs
+from sparkloom.plans.eventlog import EVENTS, EventLog
 from sparkloom.sources import providers
 from sparkloom.sources.jsonl import read_jsonl
 from sparkloom.sources.sinks import Files
 
-EVENTS = "task_id string, seq long, at double, action string, token string, answer string"
 SUBMISSIONS = "task_id string, token string, derivation array<string>, answer string"
 #: What a submission holds: the older one had no derivation.
 CONTRACT, OLDER_CONTRACT = "derivation-and-answer", "answer-only"
@@ -88,29 +87,25 @@ def change(spark: SparkSession, root: str, run_id: str, **values) -> dict:
     return state
 
 
+def log(spark: SparkSession, root: str, run_id: str, seconds: float = broker.LEASE_SECONDS) -> EventLog:
+    """The collection's events; under the current contract, submissions of the older one do not count."""
+    contract = state_of(spark, root, run_id)["contract"]
+    accepts = None if contract == OLDER_CONTRACT else F.expr("action <> 'submit' or get_json_object(answer, '$.derivation') is not null")
+    return EventLog(spark, folder(spark, root, run_id), seconds, contract, accepts)
+
+
 def events(spark: SparkSession, root: str, run_id: str) -> DataFrame:
-    """The log; of a collection of the current contract, submissions of the older one do not count."""
-    files = folder(spark, root, run_id)
-    if not files.exists("events"):
-        return spark.createDataFrame([], EVENTS)
-    rows = spark.read.schema(EVENTS).parquet(f"{files.root}/events/*")
-    if state_of(spark, root, run_id)["contract"] == OLDER_CONTRACT:
-        return rows
-    return rows.where("action <> 'submit' or get_json_object(answer, '$.derivation') is not null")
+    """The whole history of events that count."""
+    return log(spark, root, run_id).history()
 
 
 def append(spark: SparkSession, root: str, run_id: str, rows: DataFrame) -> None:
-    """Events as a folder of their own; it counts once it has its name."""
-    files = folder(spark, root, run_id)
-    name = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
-    files.make("events")
-    rows.select(*[c.split()[0] for c in EVENTS.split(", ")]).write.parquet(f"{files.root}/.{name}")
-    files.rename(f".{name}", f"events/{name}")
+    log(spark, root, run_id).append(rows)
 
 
 def tasks(spark: SparkSession, root: str, run_id: str, seconds: float = broker.LEASE_SECONDS, now: float | None = None) -> DataFrame:
     """The tasks with their state, leases, rejected events and answer, as of ``now``."""
-    folded = broker.fold(events(spark, root, run_id), seconds, time.time() if now is None else now)
+    folded = log(spark, root, run_id, seconds).folded(time.time() if now is None else now)
     folded = folded.select(F.col("task_id").alias("__t"), F.col("state").alias("__s"), "leases", "rejected", F.col("answer").alias("submitted"))
     rows = spark.read.parquet(f"{folder(spark, root, run_id).root}/tasks.parquet")
     rows = rows.join(folded, F.col("task_id") == F.col("__t"), "left").withColumn("state", F.coalesce("__s", "state"))
@@ -127,6 +122,7 @@ def lease(spark: SparkSession, root: str, run_id: str, n: int = 1, seconds: floa
         raise ConfigurationError(f"at most {MOST_LEASES} leases at a time")
     if state_of(spark, root, run_id)["state"] != "collecting":
         return []
+    log(spark, root, run_id, seconds).snapshot_if_due()
     got = broker.claim(tasks(spark, root, run_id, seconds, now), n).select("task_id", "question").collect()
     out = [{"task_id": r.task_id, "question": r.question, "token": secrets.token_urlsafe(32), "expires_at": now + seconds} for r in got]
     if out:

@@ -17,6 +17,10 @@ from sparkloom.functions import fingerprint as FP
 from sparkloom.functions import text as T
 from sparkloom.operators import broker, calibration, dedup, gates, review, selection, splits, verifiers
 from sparkloom.operators import referential as R
+from sparkloom.plans import eventlog
+from sparkloom.sources.sinks import Files
+from sparkloom.storage import new_folder, stored
+from sparkloom.streaming import leases
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
@@ -644,14 +648,45 @@ r as (select task, 0::bigint n, 'queued' state, null::double token, 0.0::double
 select task task_id, arg_max(state, n) state, arg_max(leases, n)::int leases, arg_max(rejected, n)::int rejected from r group by 1"""
 
 
-@query(MACHINE_SQL)
-def lease_state_machine(spark, sf_dir):
-    """The full machine as a fold, one accepted submission a task."""
-    events = table(spark, sf_dir, "events").select(
+def task_events(spark, sf_dir) -> DataFrame:
+    """The events as leases and submissions of their users."""
+    return table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("task_id"), seconds("ts").cast("double").alias("at"), F.col("event_id").alias("seq"), F.when(F.col("event_type").isin("click", "view"), "lease").otherwise("submit").alias("action"),
         F.col("value").cast("string").alias("token"), F.col("props").alias("answer"),
     )
-    return broker.fold(events, 900).select("task_id", "state", "leases", "rejected")
+
+
+@query(MACHINE_SQL)
+def lease_state_machine(spark, sf_dir):
+    """The full machine as a fold, one accepted submission a task."""
+    return broker.fold(task_events(spark, sf_dir), 900).select("task_id", "state", "leases", "rejected")
+
+
+@query(MACHINE_SQL)
+def lease_snapshots(spark, sf_dir):
+    """The same from a log in four parts with a snapshot after each but the last; some events of every part come with the last one, late."""
+    events, log = task_events(spark, sf_dir), eventlog.EventLog(spark, Files(spark, new_folder(spark, "log")), 900)
+    cuts = events.approxQuantile("at", [0.25, 0.5, 0.75], 0.01)
+    part = F.when(F.col("seq") % 97 == 0, 3).when(F.col("at") < cuts[0], 0).when(F.col("at") < cuts[1], 1).when(F.col("at") < cuts[2], 2).otherwise(3)
+    for number in range(4):
+        log.append(events.where(part == number))
+        if number < 3:
+            log.snapshot(grace=0)
+    return stored(log.folded(), "folded").select("task_id", "state", "leases", "rejected")
+
+
+@query(MACHINE_SQL)
+def lease_stream(spark, sf_dir):
+    """The machine as a stream with state over the events, by its receipts."""
+    folder = new_folder(spark, "stream")
+    task_events(spark, sf_dir).write.parquet(f"{folder}/events")
+    stream = spark.readStream.schema(leases.EVENTS).parquet(f"{folder}/events")
+    leases.drain(leases.receipts(stream, 900), f"{folder}/receipts", f"{folder}/checkpoint")
+    rows = spark.read.schema(leases.RECEIPTS).parquet(f"{folder}/receipts").where("seq >= 0")
+    order = F.struct("at", "seq")
+    rows = rows.join(task_events(spark, sf_dir).select("seq", "at"), "seq")
+    counts = [F.count_if(F.col("accepted") & (F.col("action") == "lease")).cast("int").alias("leases"), F.count_if(~F.col("accepted")).cast("int").alias("rejected")]
+    return rows.groupBy("task_id").agg(F.max_by("state", order).alias("state"), *counts)
 
 
 # ------------------------------------------------------------------ calibration

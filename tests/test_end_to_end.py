@@ -193,6 +193,34 @@ def test_remote_teacher(spark):
             providers.check_endpoint(url, resolve=here(address))
 
 
+def test_lease_stream_over_time(spark, tmp_path):
+    """A lease ends without another event of its task, a finished task is forgotten, and late events are dropped; what is held
+    between is read from the checkpoint."""
+    steps = [
+        [("t1", 1, 0.0, "lease", "k", None), ("t2", 2, 10.0, "lease", "k", None), ("t2", 3, 20.0, "submit", "k", "x"), ("t3", 4, 30.0, "lease", "k", None)],
+        [("t3", 5, 40.0, "submit", "no", "x"), ("t4", 6, 2000.0, "lease", "k", None)],
+        [("t1", 7, 3000.0, "lease", "l", None), ("t5", 8, 9000.0, "lease", "k", None)],
+        [("t6", 9, 100.0, "lease", "k", None), ("t2", 10, 9001.0, "lease", "m", None)],
+    ]
+    held = []
+    for n, rows in enumerate(steps):
+        spark.createDataFrame(rows, leases.EVENTS).coalesce(1).write.parquet(str(tmp_path / "in" / f"p{n}"))
+        stream = spark.readStream.schema(leases.EVENTS).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
+        leases.drain(leases.receipts(stream, 900, "1 second", 5000), str(tmp_path / "out"), str(tmp_path / "ckpt"))
+        held.append({x.task_id: (x.state, x.leases, x.rejected) for x in leases.held(spark, str(tmp_path / "ckpt")).collect()})
+    open_, done = ("queued", 1, 0), ("submitted", 1, 0)
+    assert held[0] == {"t1": ("leased", 1, 0), "t2": done, "t3": ("leased", 1, 0)}
+    assert held[1] == {"t1": open_, "t2": done, "t3": ("queued", 1, 1), "t4": ("leased", 1, 0)}
+    assert held[2] == {"t1": ("queued", 2, 0), "t3": ("queued", 1, 1), "t4": open_, "t5": ("leased", 1, 0)}
+    assert held[3] == held[2] | {"t2": ("leased", 1, 0)}
+    got = {(x.task_id, x.seq, x.action): (x.accepted, x.state) for x in spark.read.parquet(str(tmp_path / "out")).collect()}
+    timers = {k[::2]: v for k, v in got.items() if k[1] == -1}
+    assert timers == {("t1", "expire"): (True, "queued"), ("t3", "expire"): (True, "queued"), ("t4", "expire"): (True, "queued"), ("t2", "forget"): (True, "submitted")}
+    assert {k[1]: v for k, v in got.items() if k[1] > 0} == {
+        1: (True, "leased"), 2: (True, "leased"), 3: (True, "submitted"), 4: (True, "leased"), 5: (False, "leased"), 6: (True, "leased"), 7: (True, "leased"), 8: (True, "leased"), 10: (True, "leased"),
+    }
+
+
 def test_lease_stream(spark, tmp_path):
     events = [("t1", 1, 0.0, "lease", "a", None), ("t1", 2, 5.0, "submit", "b", "x"), ("t1", 3, 6.0, "submit", "a", "x"), ("t2", 4, 0.0, "submit", "a", "x")]
     spark.createDataFrame(events, leases.EVENTS).write.parquet(str(tmp_path / "in"))
