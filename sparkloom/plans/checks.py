@@ -14,8 +14,8 @@ from sparkloom.functions import text as T
 from sparkloom.operators import broker, calibration, doctor, gates, review, splits
 from sparkloom.plans import release
 from sparkloom.plans.registry import FOLD_SQL, NORMAL_SQL, SPLIT, hits_sql, query, split_sql, strip_sql, table
-from sparkloom.sources import fixtures, jsonl, providers, sinks, workspace
-from sparkloom.storage import new_folder
+from sparkloom.sources import fixtures, jsonl, providers, shards, sinks, workspace
+from sparkloom.storage import new_folder, stored
 
 DIMS = ("answer_form", "category", "difficulty", "domain", "evidence_mode", "reasoning", "risk", "task")
 CONFIG = Config(SPLIT, Generation("deterministic-teacher"), Quality(target_size=10, coverage_floors={"category": {"en": 10, "de": 1_000_000}}), Release("checks", "1.0.0", "CC-BY-4.0", ("supervised fine-tuning",), ("surveillance",), "calibration"))
@@ -51,6 +51,47 @@ def jsonl_round_trip(spark, sf_dir):
     return back.join(lines, F.col("item_id") == F.col("id")).select("item_id", C.digest(F.col("text")).alias("digest"), "line")
 
 
+def paired_shards(spark, sf_dir, count: int) -> tuple[sinks.Files, dict]:
+    files = sinks.Files(spark, new_folder(spark, "shards"))
+    files.make()
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.to_json(F.struct("doc_id", "text")).alias("data"), F.to_json(F.struct("doc_id", C.digest(F.col("text")).alias("digest"))).alias("side"))
+    return files, shards.write(files, "corpus", rows, "doc_id", ["data", "side"], count)
+
+
+@query("select doc_id, true paired, sha256(text) digest, len(text) chars from documents")
+def sharded_pairs(spark, sf_dir):
+    """Data and metadata in shards of equal numbers, paired by shard and line."""
+    files, _ = paired_shards(spark, sf_dir, 7)
+    rows = shards.read(files, "corpus")
+    data, side = F.from_json("data", "doc_id bigint, text string"), F.from_json("side", "doc_id bigint, digest string")
+    rows = rows.select(data.alias("d"), side.alias("s"))
+    return rows.select("d.doc_id", (F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (C.digest(F.col("d.text")) == F.col("s.digest"))).alias("paired"), "s.digest", F.length("d.text").cast("long").alias("chars"))
+
+
+@query(
+    """with d as (select count(*) n from documents) select * from (values ('clean', 'none', '', -1), ('hurt', 'missing', 'side', 0), ('hurt', 'changed', 'data', 1), ('hurt', 'unlisted', 'data', 99), ('other anchor', 'root', '', -1)) t(run, code, kind, shard), d where d.n > 0"""
+)
+def shard_tampering(spark, sf_dir):
+    """The parts listed in a digest tree against the files that are there, both ways: whole, then with a part lost, one changed
+    and one put in, and under another anchor."""
+    files, tree = paired_shards(spark, sf_dir, 3)
+    runs = [("clean", shards.check(files, "corpus", tree["root"])), ("other anchor", shards.check(files, "corpus", "0" * 64))]
+    kept = [(run, stored(found, "found")) for run, found in runs]
+    part = lambda kind, n: next(x for x in files.names(f"corpus/{kind}") if x.startswith(f"part-{n:05d}"))
+    files.delete(f"corpus/side/{part('side', 0)}")
+    text = files.read(f"corpus/data/{part('data', 1)}").decode()
+    files.write(f"corpus/data/{part('data', 1)}", text + "{}\n")
+    files.write("corpus/data/part-00099.txt", text)
+    kept.append(("hurt", shards.check(files, "corpus", tree["root"])))
+    out = None
+    n = table(spark, sf_dir, "documents").agg(F.count("*").alias("n"))
+    for run, found in kept:
+        rows = found if not found.isEmpty() else spark.createDataFrame([("none", None, None)], "code string, kind string, shard int")
+        rows = rows.select(F.lit(run).alias("run"), "code", F.coalesce("kind", F.lit("")).alias("kind"), F.coalesce("shard", F.lit(-1)).alias("shard"))
+        out = rows if out is None else out.unionByName(rows)
+    return out.join(F.broadcast(n), F.lit(True))
+
+
 @query(
     """select 'SRC-' || n_nationkey source_id, n_name attribution, n_nationkey % 3 <> 0 redistribution_allowed, r_name uses
     from nation join region on n_regionkey = r_regionkey"""
