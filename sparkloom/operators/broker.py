@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.errors import GateError
-from sparkloom.functions.text import found_identifiers
+from sparkloom.functions.identifiers import found_among
 from sparkloom.operators.splits import expand_questions
 
 LEASE_SECONDS = 900
@@ -27,9 +27,8 @@ TASKS = "task_id string, run_id string, seed_id string, candidate_index int, que
 
 def guard(rows: DataFrame, question: str, identifiers: list[str]) -> DataFrame:
     """``rows`` with ``allowed``: within the length limit, and no private identifier to be seen."""
-    hidden = F.array(*[F.lit(i) for i in identifiers]) if identifiers else F.array().cast("array<string>")
-    ok = (F.length(question) <= LONGEST_QUESTION) & (F.size(found_identifiers(F.col(question), hidden)) == 0)
-    return rows.withColumn("allowed", ok)
+    shown = found_among(rows.sparkSession, F.col(question), identifiers)
+    return rows.withColumn("allowed", (F.length(question) <= LONGEST_QUESTION) & (F.size(shown) == 0))
 
 
 def plan(seeds: DataFrame, run_id: str, candidates: int, identifiers: list[str]) -> DataFrame:

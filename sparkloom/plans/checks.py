@@ -11,6 +11,7 @@ from sparkloom.errors import GateError
 from sparkloom.functions import canonical as C
 from sparkloom.functions import fingerprint as FP
 from sparkloom.functions import text as T
+from sparkloom.functions.identifiers import found_among
 from sparkloom.operators import broker, calibration, doctor, gates, review, splits
 from sparkloom.plans import release
 from sparkloom.plans.registry import FOLD_SQL, NORMAL_SQL, SPLIT, hits_sql, query, split_sql, strip_sql, table
@@ -246,6 +247,18 @@ def normalized_compatibility_forms(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", C.digest(T.normalize_exact(F.concat("text", F.lit(" ＡＢＣ ﬁn Ⅻ ³ ẞ Σς ㎞")))).alias("digest"))
 
 
+@query(
+    f"""with i as (select distinct lower(substr(text, 8, 14)) id from benchmark),
+    h as (select doc_id, string_agg(id, '|' order by id) found from documents join i on contains({FOLD_SQL.format("text")}, {FOLD_SQL.format("id")}) group by 1)
+    select doc_id, coalesce(found, '') found from documents left join h using (doc_id)"""
+)
+def many_identifiers(spark, sf_dir):
+    """A piece of every protected item, in small letters, searched for in all documents at once, whatever their case."""
+    rows = table(spark, sf_dir, "benchmark").select(F.lower(F.substring("text", 8, 14)).alias("id")).distinct().limit(doctor.MOST_REGISTRY + 1).collect()
+    found = found_among(spark, F.col("text"), [r.id for r in rows])
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(found, "|").alias("found"))
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as approved records: the language is the category, the source the lineage."""
     id = F.col("doc_id")
@@ -281,7 +294,7 @@ def release_rules(spark, sf_dir):
     """The rules of a record in a release, with its reviewer's authorization."""
     reviewers = spark.createDataFrame([("r-en", "approved", ["en"]), ("r-all", "approved", ["*"]), ("r-gone", "expired", ["*"])], "__r string, __s string, __c array<string>")
     rows = records(spark, sf_dir).join(F.broadcast(reviewers), F.col("review.reviewer") == F.col("__r"), "left")
-    return release.broken(rows, release.review_rules(CONFIG, [a["anchor_id"] for a in fixtures.behavior_anchors()], ["TOKEN ="]))
+    return release.broken(rows, release.review_rules(spark, CONFIG, [a["anchor_id"] for a in fixtures.behavior_anchors()], ["TOKEN ="]))
 
 
 @query(

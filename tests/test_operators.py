@@ -458,3 +458,21 @@ def test_config_limits():
         with pytest.raises(ConfigurationError):
             bad()
     assert build(Quality, {"target_size": 5, "unknown": 1}).target_size == 5
+
+
+def test_many_identifiers_in_one_walk(spark):
+    """50,000 identifiers, some within others, some that fold alike, over texts that hold a few: as one by one."""
+    from sparkloom.functions import identifiers
+
+    r = random.Random(12)
+    ids = [f"SRC-{i:05d}" for i in range(49_990)] + ["src-00007", "SRC-0000", "Straße", "STRASSE", "é", "", "a b", "x" * 300, "ab", "abab"]
+    texts = [" ".join(r.choice([r.choice(ids).swapcase(), "plain", "aBaBaB"]) for _ in range(r.randrange(9))) for _ in range(60)] + ["", None, "É strasse", "no"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(3)
+    got = {x.id: x.found for x in rows.withColumn("found", identifiers.found_among(spark, F.col("text"), ids)).collect()}
+    fold = lambda s: s.lower().replace("ß", "ss")
+    folded = [(i, fold(i)) for i in set(ids) if i]
+    assert got == {n: [] if t is None else sorted(i for i, f in folded if f in fold(t)) for n, t in enumerate(texts)}
+    some = ids[-9:]
+    for few in (0, 100):
+        found = {x.id: x.found for x in rows.withColumn("found", identifiers.found_among(spark, F.col("text"), some, few)).collect()}
+        assert found == {n: [] if t is None else sorted(i for i in set(some) if i and fold(i) in fold(t)) for n, t in enumerate(texts)}
