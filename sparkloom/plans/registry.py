@@ -43,8 +43,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def seconds(column: str):
-    """Whole seconds since 1970 of a timestamp without zone, whatever the session's zone."""
-    return F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {column})")
+    """Whole seconds since 1970 of a timestamp without zone, whatever the session's zone: the nearest, of two the even
+    one, as DuckDB's cast of a double to a whole number."""
+    return F.expr(f"rint(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {column}) / 1e6D)")
 
 
 # DuckDB's forms of what several queries use.
@@ -684,7 +685,7 @@ def lease_stream(spark, sf_dir):
     leases.drain(leases.receipts(stream, 900), f"{folder}/receipts", f"{folder}/checkpoint")
     rows = spark.read.schema(leases.RECEIPTS).parquet(f"{folder}/receipts").where("seq >= 0")
     order = F.struct("at", "seq")
-    rows = rows.join(task_events(spark, sf_dir).select("seq", "at"), "seq")
+    rows = rows.join(task_events(spark, sf_dir).select("task_id", "seq", "at"), ["task_id", "seq"])
     counts = [F.count_if(F.col("accepted") & (F.col("action") == "lease")).cast("int").alias("leases"), F.count_if(~F.col("accepted")).cast("int").alias("rejected")]
     return rows.groupBy("task_id").agg(F.max_by("state", order).alias("state"), *counts)
 
