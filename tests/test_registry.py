@@ -27,7 +27,7 @@ def lease_events(spark):
     return df.select("event_id", F.timestamp_micros("us").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", "props")
 
 
-@pytest.mark.parametrize("name", ["lease_expiry_fold", "lease_snapshots", "lease_state_machine"])
+@pytest.mark.parametrize("name", ["lease_expiry_fold", "lease_snapshots", "lease_state_machine", "lease_stream"])
 def test_leases_by_rounded_seconds(spark, tmp_path, name):
     lease_events(spark).write.parquet(str(tmp_path / "events.parquet"))
     got, wanted = rows_of(spark, tmp_path, name)
