@@ -78,11 +78,15 @@ def shard_tampering(spark, sf_dir):
     files, tree = paired_shards(spark, sf_dir, 3)
     runs = [("clean", shards.check(files, "corpus", tree["root"])), ("other anchor", shards.check(files, "corpus", "0" * 64))]
     kept = [(run, stored(found, "found")) for run, found in runs]
-    part = lambda kind, n: next(x for x in files.names(f"corpus/{kind}") if x.startswith(f"part-{n:05d}"))
-    files.delete(f"corpus/side/{part('side', 0)}")
-    text = files.read(f"corpus/data/{part('data', 1)}").decode()
-    files.write(f"corpus/data/{part('data', 1)}", text + "{}\n")
-    files.write("corpus/data/part-00099.txt", text)
+    # the shard's files: of a large corpus several, each of bounded size
+    pieces = tree["pieces"]
+    of = lambda kind, n: [f"corpus/{kind}/{x}" for i in range(pieces) for x in files.names(f"corpus/{kind}") if x.startswith(f"part-{n * pieces + i:05d}-")]
+    for name in of("side", 0):
+        files.delete(name)
+    changed = of("data", 1)[0]
+    text = files.read(changed).decode()
+    files.write(changed, text + "{}\n")
+    files.write(f"corpus/data/part-{99 * pieces:05d}.txt", text)
     kept.append(("hurt", shards.check(files, "corpus", tree["root"])))
     out = None
     n = table(spark, sf_dir, "documents").agg(F.count("*").alias("n"))

@@ -76,3 +76,23 @@ def test_every_change_of_a_part_is_found(spark, files):
     files.delete("corpus/parts")
     spark.createDataFrame(listed, shards.PARTS).write.json(f"{files.root}/corpus/parts")
     assert ("root", None, None) in {tuple(x) for x in shards.check(files, "corpus", tree["root"]).collect()}
+
+
+def test_no_file_grows_with_its_shard(spark, files, monkeypatch):
+    """A fixed number of shards keeps its numbers, and its files their size; a change in any file is its shard's."""
+    monkeypatch.setattr(shards, "SHARD_BYTES", 2_000)
+    rows, df = records(spark, 600)
+    df = df.unionAll(spark.createDataFrame([("00300", f"{i:05d} of one key", "") for i in range(3000)], df.schema))
+    tree = shards.write(files, "corpus", df, "id", ["data", "side"], 3)
+    names = shards.in_order(files.names("corpus/data"))
+    assert tree["parts"] == 6 and tree["pieces"] > 5
+    assert max(len(files.read(f"corpus/data/{x}")) for x in names) < 20 * shards.SHARD_BYTES
+    got = shards.read(files, "corpus").orderBy("shard", "line").collect()
+    wanted = sorted([(a, b, c or "") for a, b, c in rows] + [("00300", f"{i:05d} of one key", "") for i in range(3000)])
+    assert [(x.data, x.side) for x in got] == [x[1:] for x in wanted] and {x.shard for x in got} == {0, 1, 2}
+    assert shards.check(files, "corpus", tree["root"]).collect() == []
+    part = names[-1]
+    files.write(f"corpus/data/{part}", files.read(f"corpus/data/{part}").decode() + "more\n")
+    files.delete(f"corpus/side/{next(x for x in files.names('corpus/side') if x.startswith('part-00001-'))}")
+    files.write(f"corpus/data/part-{17 * tree['pieces']:05d}.txt", "more\n")
+    assert {tuple(x) for x in shards.check(files, "corpus", tree["root"]).collect()} == {("changed", "data", 2), ("changed", "side", 0), ("unlisted", "data", 17)}
