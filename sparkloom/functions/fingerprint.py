@@ -21,71 +21,61 @@ def words_of(value: str) -> list[str]:
     return re.sub(r"[^\w\s]", " ", folded).split()
 
 
-def feature_hashes(words: list[str]) -> np.ndarray:
-    """Big-endian 64-bit BLAKE2b of every word and of every neighbouring pair."""
-    features = words + [f"{a}::{b}" for a, b in zip(words, words[1:])]
-    raw = b"".join(hashlib.blake2b(f.encode(), digest_size=8).digest() for f in features)
-    return np.frombuffer(raw, ">u8").astype(np.uint64)
+#: The first eight bytes of a digest, by name.
+EIGHT = {"blake2b": lambda b: hashlib.blake2b(b, digest_size=8).digest(), "sha256": lambda b: hashlib.sha256(b).digest()[:8]}
+
+
+def eight_bytes(texts, hash: str) -> np.ndarray:
+    """Big-endian 64-bit numbers of some strings."""
+    eight = EIGHT[hash]
+    return np.frombuffer(b"".join([eight(t.encode()) for t in texts]), ">u8").astype(np.uint64)
+
+
+def feature_hashes(words: list[str], hash: str = "blake2b") -> np.ndarray:
+    """64-bit hashes of every word and of every neighbouring pair."""
+    return eight_bytes(words + [f"{a}::{b}" for a, b in zip(words, words[1:])], hash)
 
 
 def signature(hashes: np.ndarray) -> int:
     """A bit is set when at least half the features have it, so also when there are none."""
-    bits = ((hashes[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).sum(axis=0, dtype=np.int64)
-    return int(np.bitwise_or.reduce(np.where(2 * bits >= len(hashes), np.uint64(1) << np.arange(64, dtype=np.uint64), np.uint64(0))))
+    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * bits >= len(hashes), bitorder="little").tobytes(), "little")
 
 
-def fingerprint_one(value: str | None, dimensions: int) -> tuple | None:
-    if value is None:
-        return None
-    words = words_of(value)
-    hashes = feature_hashes(words)
+def fingerprint_one(words: list[str], dimensions: int, hash: str = "blake2b") -> tuple:
+    hashes = feature_hashes(words, hash)
     runs = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
-    shingles = sorted(int.from_bytes(hashlib.blake2b(r.encode(), digest_size=8).digest(), "big", signed=True) for r in runs)
+    shingles = np.sort(eight_bytes(runs, hash).view(np.int64))
     place = (hashes % np.uint64(dimensions)).astype(np.int64)
     sign = np.where((hashes >> np.uint64(8)) & np.uint64(1), 1.0, -1.0)
     vector = np.bincount(place, sign, dimensions).astype(np.int64)
     idx = np.flatnonzero(vector)
     sig = signature(hashes)
-    return hashlib.sha256(" ".join(words).encode()).hexdigest(), shingles, idx.tolist(), vector[idx].tolist(), int((vector * vector).sum()), sig - (1 << 64) if sig >> 63 else sig
+    return hashlib.sha256(" ".join(words).encode()).hexdigest(), shingles, idx.astype(np.int32), vector[idx].astype(np.int32), int((vector * vector).sum()), sig - (1 << 64) if sig >> 63 else sig
 
 
-def fingerprint(text: Column, dimensions: int = 384) -> Column:
+def fingerprint(text: Column, dimensions: int = 384, hash: str = "blake2b", normal: bool = False) -> Column:
     """Digest of the normalized text, hashed word trigrams, the vector of signed feature hashes in
-    sparse form with its squared norm, and a 64-bit SimHash as a signed long.  Null for null."""
+    sparse form with its squared norm, and a 64-bit SimHash as a signed long.  Null for null.  A ``normal`` text is
+    normalized already: words between single spaces."""
 
     @F.pandas_udf(SCHEMA)
     def udf(values: pd.Series) -> pd.DataFrame:
-        rows = [fingerprint_one(v, dimensions) or (None,) * 6 for v in values]
-        out = pd.DataFrame(rows, columns=["exact", "shingles", "idx", "weights", "norm", "signature"])
-        return out.astype({"norm": "Int64", "signature": "Int64"})
+        words = lambda v: (v.split(" ") if v else []) if normal else words_of(v)
+        rows = [(None,) * 6 if v is None else fingerprint_one(words(v), dimensions, hash) for v in values]
+        # made as whole numbers: beside a null they would pass through doubles, which hold 53 bits
+        whole = {name: pd.array([x[at] for x in rows], "Int64") for name, at in (("norm", 4), ("signature", 5))}
+        return pd.DataFrame({name: pd.Series([x[at] for x in rows], dtype=object) for at, name in enumerate(("exact", "shingles", "idx", "weights"))} | whole)
 
     return udf(text)
 
 
 def sha256_fingerprints(rows: DataFrame, key: str, text: str, dimensions: int = 384) -> DataFrame:
-    """``key`` and ``fp`` of the same fields as ``fingerprint`` gives, hashed by SHA-256 and made by DataFrame operations
-    alone: features are rows, which a text's bits and vector are sums of.  Texts are normalized without
-    compatibility forms; ``key`` must be unique, and rows with a null text are left out."""
-    words = rows.where(F.col(text).isNotNull()).select(F.col(key).alias("__key"), T.normalize(F.col(text)).alias("__n")).select("__key", "__n", T.tokens(F.col("__n")).alias("__w"))
-    features = words.select("__key", F.explode_outer(T.bigram_features(F.col("__w"))).alias("__f")).select("__key", F.sha2("__f", 256).alias("__hex"))
-    half = lambda at: F.conv(F.substring("__hex", at, 8), 16, 10).cast("long")
-    features = features.select("__key", half(1).alias("__hi"), half(9).alias("__lo"))
-    bits = [F.sum(F.shiftright(F.col("__lo" if k < 32 else "__hi"), k % 32).bitwiseAND(F.lit(1).cast("long"))).alias(f"__b{k}") for k in range(64)]
-    sums = features.groupBy("__key").agg(F.count("__lo").alias("__count"), *bits)
-    signature = F.lit(0).cast("long")
-    for k in range(64):
-        signature = signature.bitwiseOR(F.when(2 * F.coalesce(F.col(f"__b{k}"), F.lit(0)) >= F.col("__count"), F.shiftleft(F.lit(1).cast("long"), k)).otherwise(F.lit(0).cast("long")))
-    signed = sums.select("__key", signature.alias("signature"))
-    # the remainder of the 64-bit number from those of its halves
-    place = F.pmod(F.pmod("__hi", F.lit(dimensions)) * ((1 << 32) % dimensions) + F.pmod("__lo", F.lit(dimensions)), F.lit(dimensions)).cast("int")
-    sign = F.when(F.shiftright("__lo", 8).bitwiseAND(F.lit(1).cast("long")) == 1, 1).otherwise(-1)
-    cells = features.where("__lo is not null").groupBy("__key", place.alias("i")).agg(F.sum(sign).cast("int").alias("w")).where("w <> 0")
-    vectors = cells.groupBy("__key").agg(F.array_sort(F.collect_list(F.struct("i", "w"))).alias("v"), F.sum(F.col("w").cast("long") * F.col("w")).alias("norm"))
-    runs = words.select("__key", F.sha2("__n", 256).alias("exact"), F.transform(T.shingles(F.col("__w")), lambda r: F.conv(F.substring(F.sha2(r, 256), 1, 16), 16, -10).cast("long")).alias("shingles"))
-    out = runs.join(signed, "__key").join(vectors, "__key", "left")
-    none = F.array().cast("array<int>")
-    fp = F.struct("exact", "shingles", F.coalesce("v.i", none).alias("idx"), F.coalesce("v.w", none).alias("weights"), F.coalesce("norm", F.lit(0)).alias("norm"), "signature")
-    return out.select(F.col("__key").alias(key), fp.alias("fp"))
+    """``key`` and ``fp`` of the same fields as ``fingerprint`` gives, hashed by SHA-256.  Texts are normalized by Spark,
+    without compatibility forms.  Rows with a null text are left out.  A text's features never leave its row, so this
+    is one narrow stage."""
+    known = rows.where(F.col(text).isNotNull()).select(F.col(key), T.normalize(F.col(text)).alias("__n"))
+    return known.select(key, fingerprint(F.col("__n"), dimensions, "sha256", normal=True).alias("fp"))
 
 
 def with_fingerprints(rows: DataFrame, keep: list[str], text: str, dimensions: int = 384, hash: str = "blake2b") -> DataFrame:
@@ -94,8 +84,8 @@ def with_fingerprints(rows: DataFrame, keep: list[str], text: str, dimensions: i
         return rows.select(*keep, fingerprint(F.col(text), dimensions).alias("fp"))
     if hash != "sha256":
         raise ValueError(f"no fingerprints by {hash}")
-    made = sha256_fingerprints(rows, keep[0], text, dimensions).withColumnRenamed(keep[0], "__key")
-    return rows.select(*keep).join(made, F.col(keep[0]) == F.col("__key"), "left").drop("__key")
+    known = rows.select(*keep, T.normalize(F.col(text)).alias("__n"))
+    return known.select(*keep, F.when(F.col("__n").isNotNull(), fingerprint(F.col("__n"), dimensions, hash, normal=True)).alias("fp"))
 
 
 def band_keys(sig: Column, bands: int) -> Column:

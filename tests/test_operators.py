@@ -199,6 +199,22 @@ def test_sha256_fingerprints_equal_a_plain_form(spark):
         assert x.fp.norm == (vector**2).sum() and {s % (1 << 64) for s in x.fp.shingles} == {int(hashlib.sha256(g.encode()).hexdigest()[:16], 16) for g in runs}
 
 
+def test_a_null_beside_a_text_leaves_its_signature_whole(spark):
+    text = "a river moves stones"
+    rows = spark.createDataFrame([(0, text), (1, None)], "id int, text string").coalesce(1)
+    for hash, hashes in (("blake2b", FP.feature_hashes), ("sha256", sha_hashes)):
+        got = {x.id: x.fp for x in FP.with_fingerprints(rows, ["id"], "text", 384, hash).collect()}
+        assert got[0].signature % (1 << 64) == FP.signature(hashes(FP.words_of(text))), hash
+
+
+def test_a_text_is_fingerprinted_in_its_row(spark, capsys):
+    """No feature is shuffled, and rows with equal keys stay apart."""
+    rows = spark.createDataFrame([("a", "one two"), ("a", "three"), ("b", None)], "id string, text string")
+    made = FP.sha256_fingerprints(rows, "id", "text")
+    made.explain()
+    assert "Exchange" not in capsys.readouterr().out and sorted(len(x.fp.idx) for x in made.collect()) == [1, 3]
+
+
 def test_registered_dedup_reaches_near_duplicates_of_all_default_bands(spark, tmp_path):
     from sparkloom.plans.registry import simhash_lsh_dedup
 
