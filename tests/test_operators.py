@@ -173,6 +173,25 @@ def test_decontaminate_equals_sequential_model(spark, monkeypatch, hash, bands,
         assert x.similarity == pytest.approx(want[x.record_id][3], abs=1e-9)
 
 
+def test_the_verdict_goes_band_by_band(spark, monkeypatch, tmp_path):
+    """Cells of several blocks give the sequential model's verdicts, and no band's shuffle carries another's rows."""
+    monkeypatch.setattr(dedup, "CELL_BYTES", 3000)
+    monkeypatch.setattr(dedup, "BLOCK", 2)
+    kept, written = dedup.stored, []
+    monkeypatch.setattr(dedup, "stored", lambda df, name: written.append(name) or kept(df, name))
+    r = random.Random(12)
+    text = lambda: " ".join(r.choice("red blue green fast slow cat dog sun".split()) for _ in range(9))
+    base = [text() for _ in range(5)]
+    rows = [(f"r{i:03d}", f"l{r.randrange(6)}", r.choice(base) if i % 3 else f"{r.choice(base)} odd", f"c{i}") for i in range(40)]
+    items = [("b0", base[0]), ("b1", text())]
+    q = Quality(semantic_lsh_bands=8)
+    got = dedup.decontaminate(spark.createDataFrame(rows, "record_id string, lineage_id string, question string, content_sha256 string"), spark.createDataFrame(items, "benchmark_id string, question string"), q)
+    want = model_verdicts(rows, items, q, FP.feature_hashes)
+    for x in got.select("record_id", "contamination.*").collect():
+        assert (x.passed, x.match_type, x.match_id) == want[x.record_id][:3] and x.similarity == pytest.approx(want[x.record_id][3], abs=1e-9), x
+    assert written.count("found") == 8 and spark.conf.get(dedup.CLEANUP, "false") == "false"
+
+
 def test_shared_shingles_however_common(monkeypatch):
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.integers(0, 40, rng.integers(0, 30))).tolist() + [1000] * (i % 2) for i in range(60)]
