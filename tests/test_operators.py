@@ -192,6 +192,17 @@ def test_the_verdict_goes_band_by_band(spark, monkeypatch, tmp_path):
     assert written.count("found") == 8 and spark.conf.get(dedup.CLEANUP, "false") == "false"
 
 
+def test_pairs_leave_their_result_alone_on_disk(spark):
+    """Every step of the join is stored and, but for the last, deleted when it has been read."""
+    from sparkloom import storage
+
+    since = len(storage.FOLDERS)
+    rows = spark.createDataFrame([(1, "a b c d e f g h"), (2, "a b c d e f g h i"), (3, "other words than those")], "id int, text string")
+    got = dedup.shingle_pairs(rows, "id", "text", 0.5)
+    kept = [x.rsplit("/", 1)[1].split("-")[0] for x in storage.FOLDERS[since:]]
+    assert [tuple(x) for x in got.collect()] == [(1, 2, 6, 6, 7)] and sorted(kept) == ["pairs", "pairs", "sets"]
+
+
 def test_shared_shingles_however_common(monkeypatch):
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.integers(0, 40, rng.integers(0, 30))).tolist() + [1000] * (i % 2) for i in range(60)]
