@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.llm.shared import even_ranges, stored
+from sparkloom.llm.shared import even_ranges, give_back, stored
 
 WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
@@ -89,6 +89,7 @@ def fair_queue(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_passes:
     room = F.floor("target").cast("long") - (F.col("so_far") - F.col("words"))
     copies = copies.withColumn("served", F.least(F.col("words"), room)).where("served > 0")
     queue = stored(copies.select("doc_id", "source", "tie", "size", "n", "pass", "key", "finish", "served"), "queue")
+    give_back(docs.sparkSession)
     return units, cut_at(queue, goal.agg(F.sum("source_size")).first()[0] or 0 if budget is None else budget, rows_each)
 
 

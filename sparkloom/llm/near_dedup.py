@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.shared import MASK, Words, batches, components, dispose, mix64, pieces, spans, stored, text_key
+from sparkloom.llm.shared import MASK, Words, batches, components, dispose, give_back, mix64, pieces, spans, stored, text_key
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -362,6 +362,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = stored(banded.join(stars, ["band", "key"]).select("band", "key", "node", "bytes", "sig", "star"), "members")
     pairs = likely(members.where("node <> star").select(F.col("node").alias("a"), F.col("star").alias("b")).distinct(), by_node)
     pairs = stored(pairs, "pairs")
+    give_back(spark)
     involved = members.select("node").distinct().join(by_node.select("node", "least.doc_id"), "node").select(F.col("node").alias("n"), F.col("doc_id").alias("d"))
     # one row for each text: its smallest id, so that copies of a text don't meet in one task
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("node"), F.coalesce("text", F.lit("")).alias("text"))
@@ -369,6 +370,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = stored(texts.dropDuplicates(["node"]), "texts")
     links = stored(verified(pairs, texts, shares), "links")
     roots = stored(components(links), "roots")
+    give_back(spark)
     rows_left = stored(contenders(members, roots, by_node.select("node", "bands")), "contenders")
     if not rows_left.isEmpty():
         links = stored(links.union(spanning_links(rows_left, texts, shares)), "links")

@@ -12,9 +12,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.storage import FOLDERS, clean, delete_path, dispose, new_folder, path_of, shared_dir, stored
+from sparkloom.storage import FOLDERS, clean, delete_path, dispose, give_back, new_folder, path_of, shared_dir, stored
 
-__all__ = ["FOLDERS", "clean", "delete_path", "dispose", "new_folder", "path_of", "shared_dir", "stored"]
+__all__ = ["FOLDERS", "clean", "delete_path", "dispose", "give_back", "new_folder", "path_of", "shared_dir", "stored"]
 MASK = (1 << 64) - 1
 
 

@@ -8,9 +8,6 @@ comes from.  Insults are a few words in a long text, so the average is taken ove
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
-import gc
 from types import SimpleNamespace
 
 import numpy as np
@@ -18,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.shared import BYTE_CODE, Words, batches, mix64, pieces
+from sparkloom.llm.shared import BYTE_CODE, Words, batches, give_back, mix64, pieces
 
 GRAMS = (3, 4, 5, 6)
 BUCKETS = 1 << 18
@@ -219,17 +216,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_ROWS_PER_CLAS
     mixed = np.random.default_rng(11).permutation(len(got))
     model = train([got[i][1] for i in mixed], np.array([got[i][2] for i in mixed], np.int64))
     del got, sizes
-    give_back()
+    give_back(docs.sparkSession)
     return model
 
 
-def give_back() -> None:
-    """Return what training freed to the system, where the C library can: the driver lives on."""
-    gc.collect()
-    with contextlib.suppress(OSError, AttributeError):
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 def score(docs: DataFrame, model: Model, extra: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``extra`` of every row, ``score`` and ``predicted``.  Null texts are scored as empty."""
     # about 1 MB whatever the input: the bucket's share of the log-odds is all that scoring needs

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sparkloom.llm import mixing
+from sparkloom.llm import mixing, shared
 from tests.llm.test_llm import prose
 
 
@@ -95,3 +95,22 @@ def test_odd_rows_through_every_stage(spark, tmp_path):
     empty = spark.read.parquet(f"{path}/none/documents.parquet")
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, path).count() == 0, name
+
+
+def test_driver_gives_back(spark):
+    """What a step has freed leaves the driver's heap and its process before the next."""
+    runtime = spark._jvm.Runtime.getRuntime()
+    for _ in range(40):
+        spark.sparkContext._gateway.new_array(spark._jvm.long, 2_000_000)
+    before = runtime.totalMemory() - runtime.freeMemory()
+    shared.give_back(spark)
+    assert before - (runtime.totalMemory() - runtime.freeMemory()) > 300e6
+
+
+def test_each_stage_gives_back(spark, folder, monkeypatch):
+    path, *_ = folder
+    docs, calls = spark.read.parquet(f"{path}/documents.parquet"), []
+    monkeypatch.setattr(shared, "give_back", lambda s: calls.append(s))
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES[:4:2] + corpus_pipeline.STAGES[3:4]):
+        stage(spark, docs, path)
+        assert len(calls) == number + 1
