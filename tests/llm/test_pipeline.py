@@ -98,13 +98,14 @@ def test_odd_rows_through_every_stage(spark, tmp_path):
 
 
 def test_driver_gives_back(spark):
-    """What a step has freed leaves the driver's heap and its process before the next."""
+    """What a step has freed leaves the driver's heap before the next."""
     runtime = spark._jvm.Runtime.getRuntime()
-    for _ in range(40):
-        spark.sparkContext._gateway.new_array(spark._jvm.long, 2_000_000)
-    before = runtime.totalMemory() - runtime.freeMemory()
+    used = lambda: runtime.totalMemory() - runtime.freeMemory()
+    held = [spark.sparkContext._gateway.new_array(spark._jvm.long, 2_000_000) for _ in range(40)]
+    before = used()
+    del held
     shared.give_back(spark)
-    assert before - (runtime.totalMemory() - runtime.freeMemory()) > 300e6
+    assert before - used() > 300e6
 
 
 def test_each_stage_gives_back(spark, folder, monkeypatch):
