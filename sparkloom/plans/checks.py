@@ -80,13 +80,13 @@ def shard_tampering(spark, sf_dir):
     kept = [(run, stored(found, "found")) for run, found in runs]
     # the shard's files: of a large corpus several, each of bounded size
     pieces = tree["pieces"]
-    of = lambda kind, n: [f"corpus/{kind}/{x}" for i in range(pieces) for x in files.names(f"corpus/{kind}") if x.startswith(f"part-{n * pieces + i:05d}-")]
+    names = {kind: shards.in_order(files.names(f"corpus/{kind}")) for kind in tree["kinds"]}
+    of = lambda kind, n: [f"corpus/{kind}/{x}" for x in names[kind] if int(x.split("-")[1]) // pieces == n]
     for name in of("side", 0):
         files.delete(name)
     changed = of("data", 1)[0]
-    text = files.read(changed).decode()
-    files.write(changed, text + "{}\n")
-    files.write(f"corpus/data/part-{99 * pieces:05d}.txt", text)
+    files.copy(changed, f"corpus/data/part-{99 * pieces:05d}.txt")
+    files.copy(changed, changed, "{}\n")
     kept.append(("hurt", shards.check(files, "corpus", tree["root"])))
     out = None
     n = table(spark, sf_dir, "documents").agg(F.count("*").alias("n"))

@@ -53,6 +53,26 @@ class Files:
         if not self.fs.rename(self.path(temporary), self.path(name)):
             raise OSError(f"cannot write {name}")
 
+    def copy(self, name: str, to: str, tail: str = "") -> None:
+        """The bytes of a file and then ``tail``, piece by piece and not through Python, under a temporary name that is then
+        renamed; ``to`` may be the file itself."""
+        folder, _, last = to.rpartition("/")
+        temporary = f"{folder}/.{last}.{uuid.uuid4().hex}".lstrip("/")
+        out = self.fs.create(self.path(temporary), False)
+        try:
+            source = self.fs.open(self.path(name))
+            try:
+                self.spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
+            finally:
+                source.close()
+            if tail:
+                out.write(bytearray(tail.encode()))
+        finally:
+            out.close()
+        self.fs.delete(self.path(to), False)
+        if not self.fs.rename(self.path(temporary), self.path(to)):
+            raise OSError(f"cannot write {to}")
+
     def write_json(self, name: str, value: object) -> None:
         self.write(name, json.dumps(value, indent=2, sort_keys=True) + "\n")
 

@@ -96,3 +96,24 @@ def test_no_file_grows_with_its_shard(spark, files, monkeypatch):
     files.delete(f"corpus/side/{next(x for x in files.names('corpus/side') if x.startswith('part-00001-'))}")
     files.write(f"corpus/data/part-{17 * tree['pieces']:05d}.txt", "more\n")
     assert {tuple(x) for x in shards.check(files, "corpus", tree["root"]).collect()} == {("changed", "data", 2), ("changed", "side", 0), ("unlisted", "data", 17)}
+
+
+def test_copy_in_pieces(spark, tmp_path, monkeypatch):
+    """A file is copied, onto itself too, without its bytes in Python."""
+    files = Files(spark, str(tmp_path))
+    files.write("a.txt", "é\n" * 700_000)
+    monkeypatch.setattr(Files, "read", None)
+    files.copy("a.txt", "b.txt")
+    files.copy("a.txt", "a.txt", "{}\n")
+    assert (tmp_path / "b.txt").read_text() == "é\n" * 700_000 and (tmp_path / "a.txt").read_text() == "é\n" * 700_000 + "{}\n"
+    assert files.names() == [x for x in files.names() if x.endswith("a.txt") or x.endswith("b.txt")]
+
+
+def test_tampering_reads_no_part_on_the_driver(spark, tmp_path, monkeypatch):
+    from sparkloom.plans import checks
+
+    spark.range(60).selectExpr("id doc_id", "repeat('w ', 100) text").write.parquet(str(tmp_path / "documents.parquet"))
+    read = Files.read
+    monkeypatch.setattr(Files, "read", lambda self, name: read(self, name) if name.endswith(".json") else 1 / 0)
+    got = sorted((x.run, x.code, x.kind, x.shard, x.n) for x in checks.shard_tampering(spark, str(tmp_path)).collect())
+    assert got == [("clean", "none", "", -1, 60), ("hurt", "changed", "data", 1, 60), ("hurt", "missing", "side", 0, 60), ("hurt", "unlisted", "data", 99, 60), ("other anchor", "root", "", -1, 60)]
