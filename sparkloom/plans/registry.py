@@ -684,8 +684,8 @@ def lease_stream(spark, sf_dir):
     stream = spark.readStream.schema(leases.EVENTS).parquet(f"{folder}/events")
     leases.drain(leases.receipts(stream, 900), f"{folder}/receipts", f"{folder}/checkpoint")
     rows = spark.read.schema(leases.RECEIPTS).parquet(f"{folder}/receipts").where("seq >= 0")
-    order = F.struct("at", "seq")
-    rows = rows.join(task_events(spark, sf_dir).select("task_id", "seq", "at"), ["task_id", "seq"])
+    # a task's last event may stand there several times: a submission that counts is the last of what counts
+    order = F.struct("at", "seq", F.col("state") == "submitted")
     counts = [F.count_if(F.col("accepted") & (F.col("action") == "lease")).cast("int").alias("leases"), F.count_if(~F.col("accepted")).cast("int").alias("rejected")]
     return rows.groupBy("task_id").agg(F.max_by("state", order).alias("state"), *counts)
 

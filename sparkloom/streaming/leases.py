@@ -19,7 +19,8 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from sparkloom.operators.broker import LEASE_SECONDS, Task
 
 EVENTS = "task_id string, seq long, at double, action string, token string, answer string"
-RECEIPTS = "task_id string, seq long, action string, accepted boolean, state string"
+RECEIPTS = "task_id string, seq long, action string, accepted boolean, state string, at double"
+NAMES = [c.split()[0] for c in RECEIPTS.split(", ")]
 STATE = "state string, digest string, expires double, leases int, rejected int, answer string"
 KEEP_SECONDS = 7 * 86400
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -45,7 +46,7 @@ class Leases(StatefulProcessor):
         out, submitted = [], None
         for at, seq, action, token, answer in sorted((r for f in rows for r in zip(f["at"], f["seq"], f["action"], f["token"], f["answer"])), key=lambda r: r[:2]):
             ok = task.apply(action, at, token, answer, self.seconds)
-            out.append((key[0], seq, action, ok, task.state))
+            out.append((key[0], seq, action, ok, task.state, at))
             submitted = at if ok and action == "submit" else submitted
         self.held.update(task.row())
         if task.state == "leased":
@@ -54,7 +55,7 @@ class Leases(StatefulProcessor):
             self.due(None)
         elif submitted is not None:
             self.due(submitted + self.keep)
-        yield pd.DataFrame(out, columns=["task_id", "seq", "action", "accepted", "state"])
+        yield pd.DataFrame(out, columns=NAMES)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         task = Task(*self.held.get())
@@ -64,7 +65,7 @@ class Leases(StatefulProcessor):
         else:
             task.expire(expiredTimerInfo.getExpiryTimeInMs() / 1000)
             self.held.update(task.row())
-        yield pd.DataFrame([(key[0], -1, action, True, task.state)], columns=["task_id", "seq", "action", "accepted", "state"])
+        yield pd.DataFrame([(key[0], -1, action, True, task.state, expiredTimerInfo.getExpiryTimeInMs() / 1000)], columns=NAMES)
 
     def close(self) -> None:
         pass

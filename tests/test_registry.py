@@ -32,3 +32,12 @@ def test_leases_by_rounded_seconds(spark, tmp_path, name):
     lease_events(spark).write.parquet(str(tmp_path / "events.parquet"))
     got, wanted = rows_of(spark, tmp_path, name)
     assert got == wanted and len(got) == 8
+
+
+@pytest.mark.parametrize("name", ["lease_snapshots", "lease_state_machine", "lease_stream"])
+def test_leases_of_repeated_events(spark, tmp_path, name):
+    """Each event stands there three times: a receipt is counted once."""
+    rows = lease_events(spark)
+    rows.unionByName(rows).unionByName(rows).repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    got, wanted = rows_of(spark, tmp_path, name)
+    assert got == wanted and len(got) == 8
