@@ -522,3 +522,20 @@ def test_many_identifiers_in_one_walk(spark):
     for few in (0, 100):
         found = {x.id: x.found for x in rows.withColumn("found", identifiers.found_among(spark, F.col("text"), some, few)).collect()}
         assert found == {n: [] if t is None else sorted(i for i in set(some) if i and fold(i) in fold(t)) for n, t in enumerate(texts)}
+
+
+def test_bands_in_passes(spark, monkeypatch):
+    """A band done in several passes, each of which shuffles a part of its cells, gives the same verdicts."""
+    r = random.Random(12)
+    words = ["iron", "salt", "lake", "moon", "cork", "fern", "wool", "tide"]
+    texts = [" ".join(r.choice(words) for _ in range(12)) for _ in range(30)]
+    rows = [(f"r{i:02d}", f"l{i % 3}", t + (" again" if i % 4 else ""), f"{i}") for i, t in enumerate(texts + texts[:10])]
+    docs = spark.createDataFrame(rows, "record_id string, lineage_id string, question string, content_sha256 string")
+    items = spark.createDataFrame([("b1", texts[3])], "benchmark_id string, question string")
+    quality, names, write = Quality(semantic_lsh_bands=1), [], dedup.stored
+    monkeypatch.setattr(dedup, "stored", lambda df, name: names.append(name) or write(df, name))
+    verdicts = lambda: sorted((x.record_id, x.contamination) for x in dedup.decontaminate(docs, items, quality, "sha256").collect())
+    whole = verdicts()
+    assert names.count("found") == 1
+    monkeypatch.setattr(dedup, "PASS_BYTES", 1000)
+    assert verdicts() == whole and names.count("found") > 3
