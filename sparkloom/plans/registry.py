@@ -650,10 +650,10 @@ select task task_id, arg_max(state, n) state, arg_max(leases, n)::int leases, ar
 
 
 def task_events(spark, sf_dir) -> DataFrame:
-    """The events as leases and submissions of their users."""
+    """The events as leases and submissions of their users; a token of -0.0 is one of 0.0."""
     return table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("task_id"), seconds("ts").cast("double").alias("at"), F.col("event_id").alias("seq"), F.when(F.col("event_type").isin("click", "view"), "lease").otherwise("submit").alias("action"),
-        F.col("value").cast("string").alias("token"), F.col("props").alias("answer"),
+        (F.col("value") + F.lit(0.0)).cast("string").alias("token"), F.col("props").alias("answer"),
     )
 
 

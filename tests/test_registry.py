@@ -41,3 +41,11 @@ def test_leases_of_repeated_events(spark, tmp_path, name):
     rows.unionByName(rows).unionByName(rows).repartition(3).write.parquet(str(tmp_path / "events.parquet"))
     got, wanted = rows_of(spark, tmp_path, name)
     assert got == wanted and len(got) == 8
+
+
+@pytest.mark.parametrize("name", ["lease_snapshots", "lease_state_machine", "lease_stream"])
+def test_leases_by_tokens_of_both_zeros(spark, tmp_path, name):
+    value = F.when(F.col("event_type") == "click", F.lit(0.0)).otherwise(F.lit(-0.0))
+    lease_events(spark).withColumn("value", value).write.parquet(str(tmp_path / "events.parquet"))
+    got, wanted = rows_of(spark, tmp_path, name)
+    assert got == wanted and len(got) == 8
