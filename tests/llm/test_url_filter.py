@@ -6,7 +6,7 @@ import random
 import re
 from collections import Counter
 
-from sparkloom.llm import url_filter
+from sparkloom.llm import queries, url_filter
 
 SCHEMA = "page_id long, url string"
 
@@ -98,3 +98,36 @@ def test_rules_too_many_to_broadcast(spark, monkeypatch):
     df = spark.createDataFrame(rows, SCHEMA)
     monkeypatch.setattr(url_filter.surest, "__defaults__", (0,))
     assert rows_of(url_filter.judge(df)) == brute(rows)
+
+
+def long_urls(r, n):
+    """Urls of 14 to 22 words, whose labels hang together with words at any place."""
+    pool = [f"w{chr(97 + k)}" for k in range(26)]
+    out = []
+    for _ in range(n):
+        some = r.sample(pool, r.randint(14, 22))
+        host = "a.net" if ("wa" in some and "wb" in some) or r.random() < 0.4 else r.choice(["b.org/fr", "c.info", "d.com"])
+        r.shuffle(some)
+        out.append(f"http://{host}/{'/'.join(some)}?{r.choice(['x', 'y'])}=1")
+    return out
+
+
+def test_rules_from_all_tokens_of_long_urls(spark, tmp_path):
+    r = random.Random(7)
+    words14 = "/".join(f"z{chr(97 + k)}" for k in range(14))
+    # copies of long urls with either label, their label known by the last word alone
+    rows = [f"http://a.net/{words14}/late"] * 40 + [f"http://b.org/fr/{words14}/last?q=2"] * 60 + ["http://c.com/late", "http://c.com/last"] + long_urls(r, 150)
+    rows = list(enumerate(rows))
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/pages.parquet")
+    got = rows_of(queries.op13_url_filter(spark, str(tmp_path)))
+    assert got == brute(rows, mined=10**6)
+    assert {x[1:] for x in got if x[0] in (100, 101)} == {("c.com", "/late", None, "block", "p:late"), ("c.com", "/last", None, "allow", "p:last")}
+
+
+def test_sets_counted_level_by_level(spark, monkeypatch):
+    r = random.Random(8)
+    rows = list(enumerate(urls(r, 300) + long_urls(r, 60) + ODD))
+    df = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(url_filter, "MOST_GROWN", 0)
+    assert rows_of(url_filter.judge(df, support=0.03, confidence=0.8, mined=None)) == brute(rows, support=0.03, confidence=0.8, mined=10**6)
+    assert rows_of(url_filter.judge(df, support=0.03, confidence=0.8)) == brute(rows, support=0.03, confidence=0.8)
