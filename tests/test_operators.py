@@ -192,6 +192,37 @@ def test_the_verdict_goes_band_by_band(spark, monkeypatch, tmp_path):
     assert written.count("found") == 8 and spark.conf.get(dedup.CLEANUP, "false") == "false"
 
 
+def test_lexical_matches_that_vectors_miss(spark):
+    """A word that is repeated often turns the vector and hardly changes the set of trigrams."""
+    r = random.Random(5)
+    rows, items = [], []
+    for k in range(6):
+        base = " ".join(f"w{r.randrange(10**6)}" for _ in range(40))
+        rows += [(f"r{k}a", "one", base, f"{k}a"), (f"r{k}b", r.choice(("one", None)), f"{base} {'odd ' * 90}", f"{k}b"), (f"r{k}c", "two", f"{base} {'odd ' * 95}", f"{k}c")]
+        items += [(f"b{k}", f"{base} {'new ' * 90}")] * (k % 3 == 0)
+    q = Quality(semantic_lsh_bands=16)
+    got = dedup.decontaminate(spark.createDataFrame(rows, "record_id string, lineage_id string, question string, content_sha256 string"), spark.createDataFrame(items, "benchmark_id string, question string"), q)
+    want = model_verdicts(rows, items, q)
+    for x in got.select("record_id", "contamination.*").collect():
+        assert (x.passed, x.match_type, x.match_id) == want[x.record_id][:3], x
+        assert x.similarity == pytest.approx(want[x.record_id][3], abs=1e-9)
+
+
+def test_sets_travel_only_where_they_can_decide(spark, monkeypatch):
+    """Bands send vectors alone, and of texts that share few trigrams no set is sent at all."""
+    r = random.Random(9)
+    texts = [" ".join(f"w{r.randrange(60)}" for _ in range(200)) for _ in range(40)]
+    rows = [(f"r{i:02d}", f"l{i}", t, f"{i}") for i, t in enumerate([*texts, f"{texts[0]} again"])]
+    kept, sent = dedup.stored, {}
+    monkeypatch.setattr(dedup, "stored", lambda df, name: sent.setdefault(name, []).append(kept(df, name)) or sent[name][-1])
+    docs = spark.createDataFrame(rows, "record_id string, lineage_id string, question string, content_sha256 string")
+    items = spark.createDataFrame([("b", "another kind of text")], "benchmark_id string, question string")
+    got = dedup.decontaminate(docs, items, Quality(semantic_lsh_bands=4)).select("record_id", "contamination.match_id").collect()
+    assert {x.record_id: x.match_id for x in got if x.match_id} == {"r40": "r00"}
+    assert [sorted(x.row for x in some.collect()) for some in sent["fields"]][-1] == [x.row for x in sent["fingerprints"][0].where("id in ('r00', 'r40')").orderBy("row").collect()]
+    assert sum(some.count() for some in sent["fields"]) <= 6
+
+
 def test_pairs_leave_their_result_alone_on_disk(spark):
     """Every step of the join is stored and, but for the last, deleted when it has been read."""
     from sparkloom import storage
