@@ -311,6 +311,24 @@ def test_shingle_pairs_lose_nothing(spark):
     assert got == want and len(want) >= 5
 
 
+def test_shingle_pairs_store_sets_of_pairs_alone(spark, monkeypatch):
+    """Prefixes in which common trigrams stand last lose no pair, and only sets of texts in pairs are stored."""
+    r = random.Random(4)
+    common = " ".join(f"c{k}" for k in range(12))
+    texts = [f"{common} {' '.join(f'w{r.randrange(10**6)}' for _ in range(r.randrange(2, 40)))}" for _ in range(40)]
+    texts += [f"{t} more" for t in texts[:6]] + [" ".join(f"u{r.randrange(10**6)}" for _ in range(50)) for _ in range(20)]
+    sets = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} for w in map(str.split, texts)]
+    want = {(i, j): len(a & b) for i, a in enumerate(sets) for j, b in enumerate(sets) if i < j and len(a & b) / len(a | b) >= 0.7}
+    kept, sent = dedup.stored, {}
+    monkeypatch.setattr(dedup, "stored", lambda df, name: sent.setdefault(name, []).append(kept(df, name)) or sent[name][-1])
+    monkeypatch.setattr(dedup, "COMMON", 3)
+    monkeypatch.setattr(dedup, "PASS_BYTES", 20_000)
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = {(x.id_a, x.id_b): x.inter for x in dedup.shingle_pairs(rows, "id", "text", 0.7).collect()}
+    assert got == want and len(want) >= 6 and len(sent["levels"]) == 1
+    assert sent["sets"][0].count() < 40 and not {"met", "shared"} <= sent.keys()
+
+
 # ---------------------------------------------------------------- gates and verifiers
 
 POSITIVE = {
