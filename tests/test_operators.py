@@ -268,6 +268,14 @@ def test_a_null_beside_a_text_leaves_its_signature_whole(spark):
         assert got[0].signature % (1 << 64) == FP.signature(hashes(FP.words_of(text))), hash
 
 
+def test_a_word_is_hashed_once(monkeypatch):
+    seen = []
+    monkeypatch.setitem(FP.EIGHT, "sha256", lambda b: seen.append(b) or hashlib.sha256(b).digest()[:8])
+    words = "river stone river stone river".split()
+    FP.word_hash.cache_clear()
+    assert FP.feature_hashes(words, "sha256").tolist() == sha_hashes(words).tolist() and seen.count(b"river") == seen.count(b"stone") == 1
+
+
 def test_a_text_is_fingerprinted_in_its_row(spark, capsys):
     """No feature is shuffled, and rows with equal keys stay apart."""
     rows = spark.createDataFrame([("a", "one two"), ("a", "three"), ("b", None)], "id string, text string")
