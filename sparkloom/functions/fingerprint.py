@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import re
 import unicodedata
@@ -32,15 +31,10 @@ def eight_bytes(texts, hash: str) -> np.ndarray:
     return np.frombuffer(b"".join([eight(t.encode()) for t in texts]), ">u8").astype(np.uint64)
 
 
-@functools.lru_cache(1 << 17)
-def word_hash(word: str, hash: str) -> int:
-    """The number of a word; most words of a text have come before."""
-    return int.from_bytes(EIGHT[hash](word.encode()), "big")
-
-
 def feature_hashes(words: list[str], hash: str = "blake2b") -> np.ndarray:
-    """64-bit hashes of every word and of every neighbouring pair."""
-    alone = np.array([word_hash(w, hash) for w in words], np.uint64)
+    """64-bit hashes of every word and of every neighbouring pair; a word of a text is hashed once."""
+    place = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    alone = eight_bytes(place, hash)[[place[w] for w in words]] if words else np.zeros(0, np.uint64)
     return np.concatenate([alone, eight_bytes([f"{a}::{b}" for a, b in zip(words, words[1:])], hash)])
 
 
